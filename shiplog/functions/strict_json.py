@@ -1,22 +1,24 @@
 """Strict decoding of JSON text against a fixed specification, as Spark columns.
 
 `from_json` is lenient: it turns numbers into strings, cannot tell a missing field from an
-explicit null, and ignores text after the document. Here the text is parsed once into a VARIANT
-and both the verdict and the typed value are read from it.
+explicit null, and ignores text after the document and repeated keys. So the text is also parsed
+into a VARIANT, which settles what `from_json` lets through.
 
 Rules per field:
   required   must be there, of the right type, not null
   default    may be missing (then 0 / false / []), must not be null
   optional   may be missing or null
+
+The expressions are built as SQL text: a specification has some hundred fields, and one parse of a
+text is far quicker than as many calls into the JVM.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,15 +28,15 @@ REQUIRED, DEFAULT, OPTIONAL = "required", "default", "optional"
 @dataclass(frozen=True)
 class Scalar:
     spark_type: T.DataType
-    zero: object
-    accepts: Callable[[Column], Column]
+    zero: str
+    accepts: Callable[[str], str]
 
 
-STRING = Scalar(T.StringType(), "", lambda kind: kind == "STRING")
-BIGINT = Scalar(T.LongType(), 0, lambda kind: kind == "BIGINT")
-BOOLEAN = Scalar(T.BooleanType(), False, lambda kind: kind == "BOOLEAN")
+STRING = Scalar(T.StringType(), "''", lambda kind: f"{kind} = 'STRING'")
+BIGINT = Scalar(T.LongType(), "0L", lambda kind: f"{kind} = 'BIGINT'")
+BOOLEAN = Scalar(T.BooleanType(), "false", lambda kind: f"{kind} = 'BOOLEAN'")
 DOUBLE = Scalar(
-    T.DoubleType(), 0.0, lambda kind: kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+    T.DoubleType(), "0D", lambda kind: f"regexp_like({kind}, '^(BIGINT|DOUBLE|DECIMAL.*)$')"
 )
 
 
@@ -54,9 +56,9 @@ class Obj:
         return T.StructType([T.StructField(f.name, f.type.spark_type) for f in self.fields])
 
     @property
-    def shape(self) -> T.StructType:
+    def unpacked_type(self) -> str:
         """One level unpacked, the values left as VARIANT."""
-        return T.StructType([T.StructField(f.name, T.VariantType()) for f in self.fields])
+        return "struct<" + ",".join(f"{f.name}:variant" for f in self.fields) + ">"
 
 
 @dataclass(frozen=True)
@@ -73,81 +75,115 @@ def obj(*fields: Field) -> Obj:
     return Obj(fields)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` once and use it several times in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def parse_document(text: Column) -> Column:
-    """VARIANT of `text` if it is exactly one JSON document, else NULL.
-
-    The parser stops at the end of the first document, so the text is wrapped in an array whose
-    second element is a mark. A text that closes the array early, adds elements or trails after
-    the document is not followed by the mark; a text that holds the mark itself is refused.
-    """
-    mark = F.hex(F.xxhash64(text))
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    return _let(
-        wrapped.try_cast("array<variant>"),
-        lambda parts: F.when(
-            (F.size(parts) == 2)
-            & (F.get(parts, F.lit(1)).try_cast("string") == mark)
-            & ~F.contains(text, mark),
-            F.get(parts, F.lit(0)),
-        ),
-    )
+# ---------------------------------------------------------------- exact check on a VARIANT
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+def _inner(variable: str) -> str:
+    return f"{variable}_"
 
 
-def _wrong(value: Column, type_: Scalar | Obj | Arr, presence: str) -> Column:
-    """True if a VARIANT value breaks the specification; never NULL."""
+def _is_wrong(value: str, type_: Scalar | Obj | Arr, presence: str, var: str) -> str:
+    """SQL condition, never NULL: a VARIANT value breaks the specification."""
     if isinstance(type_, Scalar):
-        fits = F.coalesce(type_.accepts(F.schema_of_variant(value)), F.lit(False))
+        wrong = f"not coalesce({type_.accepts(f'schema_of_variant({value})')}, false)"
     elif isinstance(type_, Obj):
-        fits = ~_let(value.try_cast(type_.shape), lambda o: object_wrong(o, type_))
+        # exists() over a one-element array evaluates the unpacking once for all fields.
+        unpacked = f"try_cast({value} as {type_.unpacked_type})"
+        wrong = f"exists(array({unpacked}), {var} -> {_object_is_wrong(var, type_)})"
     else:
-        fits = ~_let(value.try_cast("array<variant>"), lambda a: _array_wrong(a, type_))
+        element = type_.element
+        elements = f"try_cast({value} as array<variant>)"
+        each = OPTIONAL if type_.null_elements else REQUIRED
+        fails = _is_wrong(var, element, each, _inner(var))
+        wrong = f"coalesce(exists({elements}, {var} -> {fails}), true)"
     if presence == REQUIRED:
-        return value.isNull() | ~fits
+        return f"({value} is null or {wrong})"
     if presence == DEFAULT:
-        return value.isNotNull() & ~fits
-    return value.isNotNull() & ~F.is_variant_null(value) & ~fits
+        return f"({value} is not null and {wrong})"
+    return f"({value} is not null and not is_variant_null({value}) and {wrong})"
 
 
-def object_wrong(unpacked: Column, spec: Obj) -> Column:
-    """True if a value unpacked with `spec.shape` is no object or has a wrong field."""
-    return unpacked.isNull() | _any(
-        [_wrong(unpacked[f.name], f.type, f.presence) for f in spec.fields]
-    )
+def _object_is_wrong(unpacked: str, spec: Obj) -> str:
+    fields = [
+        _is_wrong(f"{unpacked}.`{f.name}`", f.type, f.presence, _inner(unpacked))
+        for f in spec.fields
+    ]
+    return f"({unpacked} is null or {' or '.join(fields)})"
+
+
+# ---------------------------------------------------------------- quick acceptance
+#
+# Most texts are accepted without the exact check, which unpacks every object. Where `from_json`
+# reports no error, numbers, booleans and nesting have the right types. It leaves open:
+#   a string field given something else   top level: asked of the VARIANT; below: the typed text
+#                                         would read like a JSON number, boolean, list or object
+#   a null where none is allowed          the text holds the word null and the value is NULL
+#   a required field that is missing      the value is NULL
+#   "NaN" and the like for a number       the value is not finite
+# Any of these signs, also one that is there by chance, hands the text to the exact check.
+
+_LITERAL = r"^(-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?|true|false|[\[{].*)$"
+
+
+def _is_doubtful(value: str, type_: Scalar | Obj | Arr, presence: str, var: str) -> str:
+    """SQL condition on the typed value, never NULL."""
+    signs = []
+    if presence == REQUIRED:
+        signs.append(f"{value} is null")
+    elif presence == DEFAULT:
+        signs.append(f"(_holds_null and {value} is null)")
+    if type_ is STRING:
+        signs.append(f"coalesce(regexp_like({value}, r'{_LITERAL}'), false)")
+    elif type_ is DOUBLE:
+        signs.append(f"not coalesce(abs({value}) < double('Infinity'), true)")
+    elif isinstance(type_, Arr):
+        each = OPTIONAL if type_.null_elements else REQUIRED
+        inner = _is_doubtful(var, type_.element, each, _inner(var))
+        signs.append(f"coalesce(exists({value}, {var} -> {inner}), false)")
+    elif isinstance(type_, Obj):
+        inner = [
+            _is_doubtful(f"{value}.`{f.name}`", f.type, f.presence, var) for f in type_.fields
+        ]
+        signs.append(f"({value} is not null and ({' or '.join(inner)}))")
+    return f"({' or '.join(signs)})" if signs else "false"
 
 
-def _array_wrong(elements: Column, spec: Arr) -> Column:
-    presence = OPTIONAL if spec.null_elements else REQUIRED
-    if isinstance(spec.element, Obj):
-        entry = spec.element
-        if not spec.null_elements:
-            unpacked = F.transform(elements, lambda e: e.try_cast(entry.shape))
-            return elements.isNull() | F.exists(unpacked, lambda o: object_wrong(o, entry))
-    return elements.isNull() | F.exists(elements, lambda e: _wrong(e, spec.element, presence))
+def _is_plain(spec: Obj) -> str:
+    """SQL condition, never NULL: the text needs no exact check."""
+    conditions = ["_typed._corrupt is null"]
+    for f in spec.fields:
+        if f.type is STRING:
+            kind = f"schema_of_variant(variant_get(_parsed, '$[0].{f.name}', 'variant'))"
+            kinds = "'STRING', 'VOID'" if f.presence == OPTIONAL else "'STRING'"
+            absent = "true" if f.presence == OPTIONAL else "false"
+            conditions.append(f"coalesce({kind} in ({kinds}), {absent})")
+        else:
+            doubtful = _is_doubtful(f"_typed.`{f.name}`", f.type, f.presence, "e")
+            conditions.append(f"not {doubtful}")
+    return " and ".join(conditions)
 
 
-def _filled(value: Column, type_: Scalar | Obj | Arr, presence: str) -> Column:
-    """The typed value with defaults in place of missing fields."""
+# ---------------------------------------------------------------- typed value
+
+
+def _filled(value: str, type_: Scalar | Obj | Arr, presence: str, var: str) -> str:
+    """SQL of the typed value with defaults in place of missing fields."""
     if isinstance(type_, Scalar):
-        return F.coalesce(value, F.lit(type_.zero)) if presence == DEFAULT else value
+        return f"coalesce({value}, {type_.zero})" if presence == DEFAULT else value
     if isinstance(type_, Obj):
-        filled = F.struct(
-            *[_filled(value[f.name], f.type, f.presence).alias(f.name) for f in type_.fields]
-        )
-        return filled if presence == REQUIRED else F.when(value.isNotNull(), filled)
+        parts = [
+            f"'{f.name}', {_filled(f'{value}.`{f.name}`', f.type, f.presence, var)}"
+            for f in type_.fields
+        ]
+        filled = f"named_struct({', '.join(parts)})"
+        return filled if presence == REQUIRED else f"if({value} is null, null, {filled})"
+    source = value
     if _has_defaults(type_.element):
-        inner = OPTIONAL if type_.null_elements else REQUIRED
-        value = F.transform(value, lambda e: _filled(e, type_.element, inner))
+        each = OPTIONAL if type_.null_elements else REQUIRED
+        value = f"transform({value}, {var} -> {_filled(var, type_.element, each, _inner(var))})"
     if presence == DEFAULT:
-        return F.coalesce(value, F.array().cast(type_.spark_type))
+        empty = f"cast(array() as {type_.spark_type.simpleString()})"
+        return f"if({source} is null, {empty}, {value})"
     return value
 
 
@@ -157,22 +193,44 @@ def _has_defaults(type_: Scalar | Obj | Arr) -> bool:
     return isinstance(type_, Arr) and _has_defaults(type_.element)
 
 
-def decoded(unpacked_ok: Column, document: Column, spec: Obj) -> Column:
-    """The typed record where `unpacked_ok`, else NULL."""
-    return F.when(
-        unpacked_ok, _let(document.try_cast(spec.spark_type), lambda r: _filled(r, spec, REQUIRED))
-    )
+# ---------------------------------------------------------------- decoding
+
+_DOCUMENT = "variant_get(_parsed, '$[0]', 'variant')"
 
 
-def with_decoded(df, text: str, spec: Obj, out: str):
+def with_decoded(
+    df: DataFrame, text: str, spec: Obj, out: str, quick: bool = True
+) -> DataFrame:
     """Add column `out`: the decoded record, NULL where the text does not meet `spec`.
 
-    The steps are separate projections so that the parse and the unpacking happen once per row.
+    The parser stops at the end of the first document. So the text is put into an array before a
+    mark made from it: a text that closes the array, adds elements or trails after the document
+    is not followed by the mark as the second and last element. A text that holds its own mark is
+    refused. Repeated keys make the parse fail.
     """
+    mark = f"hex(xxhash64({text}))"
+    typed_schema = T.StructType([*spec.spark_type, T.StructField("_corrupt", T.StringType())])
+    typed = F.from_json(text, typed_schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    one_object = (
+        f"coalesce(try_variant_get(_parsed, '$[1]', 'string') = {mark}"
+        f" and variant_get(_parsed, '$[2]', 'variant') is null"
+        f" and not contains({text}, {mark})"
+        rf" and (startswith({text}, '{{') or regexp_like({text}, r'^\s*\{{')), false)"
+    )
+    fits = f"not {_is_wrong(_DOCUMENT, spec, REQUIRED, 'o')}"
+    if quick:
+        fits = f"if({_is_plain(spec)}, true, {fits})"
     return (
-        df.withColumn("_document", parse_document(F.col(text)))
-        .withColumn("_unpacked", F.col("_document").try_cast(spec.shape))
-        .withColumn("_fits", ~object_wrong(F.col("_unpacked"), spec))
-        .withColumn(out, decoded(F.col("_fits"), F.col("_document"), spec))
-        .drop("_document", "_unpacked", "_fits")
+        df.withColumns(
+            {
+                "_parsed": F.expr(f"try_parse_json(concat('[', {text}, ',\"', {mark}, '\"]'))"),
+                "_typed": typed,
+                "_holds_null": F.contains(F.col(text), F.lit("null")),
+            }
+        )
+        .withColumn("_fits", F.expr(f"if({one_object}, {fits}, false)"))
+        .withColumn(
+            out, F.expr(f"if(_fits, {_filled('_typed', spec, REQUIRED, 'e')}, null)")
+        )
+        .drop("_parsed", "_typed", "_holds_null", "_fits")
     )

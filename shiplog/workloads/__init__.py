@@ -1 +1,6 @@
+"""The operators run on the given tables, each beside plain SQL for the same result."""
 
+from shiplog.workloads import usage
+from shiplog.workloads.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "usage"]
