@@ -199,10 +199,13 @@ _DOCUMENT = "variant_get(_parsed, '$[0]', 'variant')"
 
 
 def with_decoded(
-    df: DataFrame, text: str, spec: Obj, out: str, quick: bool = True
+    df: DataFrame, text: str, spec: Obj, out: str, *, quick: bool = True
 ) -> DataFrame:
     """Add column `out`: the decoded record, NULL where the text does not meet `spec`.
 
+    The record is the single output of a generator. As a plain column, a later filter on it would
+    be pushed below the projections and would parse the text again for every use of the parse.
+
     The parser stops at the end of the first document. So the text is put into an array before a
     mark made from it: a text that closes the array, adds elements or trails after the document
     is not followed by the mark as the second and last element. A text that holds its own mark is
@@ -220,17 +223,13 @@ def with_decoded(
     fits = f"not {_is_wrong(_DOCUMENT, spec, REQUIRED, 'o')}"
     if quick:
         fits = f"if({_is_plain(spec)}, true, {fits})"
-    return (
-        df.withColumns(
-            {
-                "_parsed": F.expr(f"try_parse_json(concat('[', {text}, ',\"', {mark}, '\"]'))"),
-                "_typed": typed,
-                "_holds_null": F.contains(F.col(text), F.lit("null")),
-            }
-        )
-        .withColumn("_fits", F.expr(f"if({one_object}, {fits}, false)"))
-        .withColumn(
-            out, F.expr(f"if(_fits, {_filled('_typed', spec, REQUIRED, 'e')}, null)")
-        )
-        .drop("_parsed", "_typed", "_holds_null", "_fits")
+    parsed = df.withColumns(
+        {
+            "_parsed": F.expr(f"try_parse_json(concat('[', {text}, ',\"', {mark}, '\"]'))"),
+            "_typed": typed,
+            "_holds_null": F.contains(F.col(text), F.lit("null")),
+        }
     )
+    value = _filled("_typed", spec, REQUIRED, "e")
+    record = F.expr(f"array(if({one_object} and {fits}, {value}, null))")
+    return parsed.select(*df.columns, F.explode_outer(record).alias(out))

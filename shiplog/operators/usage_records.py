@@ -16,7 +16,8 @@ INDEX_STAGE, PART_STAGE, RECORD_STAGE = 0, 1, 2
 
 def decode_lines(lines: DataFrame) -> DataFrame:
     """Drop blank lines; add `record`, NULL where a line breaks the specification."""
-    return with_decoded(lines.filter(has_content(F.col("line"))), "line", schemas.USAGE_RECORD, "record")
+    written = lines.filter(has_content(F.col("line")))
+    return with_decoded(written, "line", schemas.USAGE_RECORD, "record")
 
 
 def repeats_key(breakdown: Column, keys: tuple[str, ...]) -> Column:
