@@ -70,15 +70,15 @@ def resume_points(orgs: DataFrame, imports: DataFrame, last_runs: DataFrame) ->
 
 
 def plan_days(points: DataFrame, end_day: Column) -> DataFrame:
-    """(org_slug, report_day, end_day) for every day from start to end; none if start > end."""
-    return (
-        points.withColumn("end_day", end_day.cast("date"))
-        .filter(F.col("start_day") <= F.col("end_day"))
-        .select(
-            "org_slug",
-            F.explode(
-                F.sequence("start_day", "end_day", F.make_dt_interval(days=F.lit(1)))
-            ).alias("report_day"),
-            "end_day",
-        )
+    """(org_slug, report_day, end_day) for every day from start to end; none if start > end.
+
+    The guard sits around `sequence` itself: reversed bounds raise, and a filter before it may be
+    evaluated after it.
+    """
+    days = F.when(
+        F.col("start_day") <= F.col("end_day"),
+        F.sequence("start_day", "end_day", F.make_dt_interval(days=F.lit(1))),
+    )
+    return points.withColumn("end_day", end_day.cast("date")).select(
+        "org_slug", F.explode(days).alias("report_day"), "end_day"
     )

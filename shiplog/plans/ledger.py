@@ -11,6 +11,8 @@ An import is a sequence of events; its current state is a fold over them:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -188,6 +190,6 @@ def elapsed_seconds(runs: DataFrame) -> DataFrame:
     )
 
 
-def all_succeeded(results: DataFrame, ok: str = "ok") -> DataFrame:
-    """One row: whether every scope succeeded."""
-    return results.agg(F.coalesce(F.bool_and(ok), F.lit(True)).alias("succeeded"))
+def all_succeeded(results: DataFrame, ok: str = "ok", by: Sequence[str] = ()) -> DataFrame:
+    """Whether every scope succeeded: one row, or one per run named by the columns `by`."""
+    return results.groupBy(*by).agg(F.coalesce(F.bool_and(ok), F.lit(True)).alias("succeeded"))

@@ -150,19 +150,24 @@ class Store:
 
     # ------------------------------------------------------------ publishing
     # A folder cannot be overwritten while it is read, and an overwrite cut short may have dropped
-    # partitions. So the new content is written aside in full, then copied over the table, then
-    # marked. A copy that was cut short is repeated when the store is opened again.
+    # partitions. So the new content is written aside in full and marked complete, then copied over
+    # the table and marked published. A copy that was cut short is repeated when the store is
+    # opened again; content that is not marked complete was never used.
 
     def _publish(self, name: str, rows: DataFrame) -> None:
+        parts = TABLES[name].partitions
         path = f"{self.root}/_publish/{name}/{uuid.uuid4().hex}"
-        sized = self._sized(name, rows) if TABLES[name].partitions else rows
-        self._write(name, sized, path)
+        if parts:
+            self._sized(name, rows).write.partitionBy(*parts).parquet(path)
+        else:
+            rows.write.parquet(path)
+        self._mark(path, "_COMPLETE")
         self._copy_over(name, path)
 
     def _copy_over(self, name: str, path: str) -> None:
         schema = _stored_schema(TABLES[name])
         self._write(name, self.spark.read.schema(schema).parquet(path), self._path(name))
-        self._fs.create(self._hadoop_path(f"{path}/_PUBLISHED")).close()
+        self._mark(path, "_PUBLISHED")
         self._fs.delete(self._hadoop_path(path), True)
 
     def _finish_publishing(self) -> None:
@@ -172,12 +177,15 @@ class Store:
                 continue
             for status in self._fs.listStatus(self._hadoop_path(waiting)):
                 path = f"{waiting}/{status.getPath().getName()}"
-                complete = self._exists(f"{path}/_SUCCESS")
+                complete = self._exists(f"{path}/_COMPLETE")
                 if complete and not self._exists(f"{path}/_PUBLISHED"):
                     self._copy_over(name, path)
                 else:
                     self._fs.delete(self._hadoop_path(path), True)
 
+    def _mark(self, path: str, mark: str) -> None:
+        self._fs.create(self._hadoop_path(f"{path}/{mark}")).close()
+
     # ------------------------------------------------------------ paths
 
     def _path(self, name: str) -> str:
