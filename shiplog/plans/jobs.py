@@ -97,7 +97,7 @@ def import_usage(
     """
     spark, now = store.spark, F.lit(as_of).cast("timestamp")
     scopes = _scopes(store, orgs, "org_slug")
-    last_runs = staged(ledger.latest_run_per_org(store.read("usage_runs")), "last-runs")
+    last_runs = ledger.latest_run_per_org(store.read("usage_runs"))
     marks = day_plan.org_watermarks(scopes, last_runs, F.lit(initial), now, watermark)
     imports = _start_imports(
         store,
@@ -161,17 +161,16 @@ def import_usage(
     )
     store.merge("usage_facts", usage_facts.fold_facts(facts), touched=days)
 
-    summary = staged(
+    summary = (
         scopes.select("org_slug")
         .join(usage_days.import_summary(judged), "org_slug", "left")
         .fillna({"days_advanced": 0, "records_persisted": 0})
-        .withColumn("succeeded", ~F.col("halted_by").eqNullSafe(F.lit("fail"))),
-        "usage-summary",
+        .withColumn("succeeded", ~F.col("halted_by").eqNullSafe(F.lit("fail")))
+        .withColumn("group_full_path", ledger.org_key(F.col("org_slug")))
     )
     outcome = staged(
-        imports.join(
-            summary.withColumn("group_full_path", ledger.org_key(F.col("org_slug"))),
-            "group_full_path",
+        summary.join(
+            imports.select("group_full_path", "import_id", "last_seq"), "group_full_path"
         ),
         "usage-outcome",
     )
@@ -208,7 +207,7 @@ def import_usage(
         )
         .coalesce(1),
     )
-    return summary
+    return outcome.drop("group_full_path", "import_id", "last_seq")
 
 
 def reimport_days(
@@ -408,7 +407,7 @@ def import_merge_requests(
         "updated_after",
         "last_cursor",
     )
-    chains = staged(chains.join(_place_of(scopes), "group_key"), "chains")
+    chains = chains.join(_place_of(scopes), "group_key")
     keys = ["group_key", "request_key"]
     answers = _latest(store.spark, landing, (landed.MR_PAGE,)).join(chains, keys)
     # A resumed chain starts at the page that was asked with the cursor, a new one without.
@@ -439,7 +438,7 @@ def import_merge_requests(
     )
 
     processed = rows.groupBy("group_key").agg(F.count(F.lit(1)).alias("processed"))
-    summary = staged(
+    summary = (
         chains.select(*keys)
         .join(bounds, keys, "left")
         .join(processed, "group_key", "left")
@@ -453,10 +452,14 @@ def import_merge_requests(
                 "finished"
             ),
             "error",
+        )
+    )
+    outcome = staged(
+        summary.join(
+            imports.select("group_full_path", "import_id", "last_seq"), "group_full_path"
         ),
-        "mr-summary",
+        "mr-outcome",
     )
-    outcome = staged(imports.join(summary, "group_full_path"), "mr-outcome")
     store.append(
         "import_events",
         ledger.event_rows(
@@ -478,7 +481,7 @@ def import_merge_requests(
         )
         .coalesce(1),
     )
-    return summary
+    return outcome.drop("import_id", "last_seq")
 
 
 def collect(

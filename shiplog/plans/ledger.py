@@ -140,14 +140,20 @@ def event_rows(
     n: Column | None = None,
     message: Column | None = None,
 ) -> DataFrame:
-    """Ledger events for rows that carry import_id and last_seq; `step` orders them in a run."""
+    """Ledger events for rows that carry import_id and last_seq; `step` orders them in a run.
+
+    Rows that are to create an import also carry its scope and watermark.
+    """
     event = F.lit(event) if isinstance(event, str) else event
     nothing = F.lit(None)
+    scope = {"group_full_path": "string", "import_type": "string", "updated_after": "timestamp"}
     return rows.select(
         "import_id",
         *[
-            F.when(event == "created", F.col(c)).alias(c)
-            for c in ("group_full_path", "import_type", "updated_after")
+            (F.when(event == "created", F.col(c)) if c in rows.columns else nothing)
+            .cast(t)
+            .alias(c)
+            for c, t in scope.items()
         ],
         (F.col("last_seq") + step).cast("bigint").alias("seq"),
         event.alias("event"),

@@ -22,7 +22,8 @@ ORDERS_SQL = """o AS (
 
 
 def change_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    columns = "orderkey custkey orderstatus orderdate orderpriority totalprice".split()
+    orders = table(spark, sf_dir, "orders", *[f"o_{c}" for c in columns])
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
         "o_orderkey key",

@@ -425,9 +425,8 @@ FROM r WHERE bytes_before < {_BUDGET}""",
 )
 def diff_byte_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of an order as blocks of its text."""
-    blocks = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey", *_LINE_ORDER, f"{_LINE_BLOCK} block"
-    )
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", *_LINE_ORDER)
+    blocks = lines.selectExpr("l_orderkey", *_LINE_ORDER, f"{_LINE_BLOCK} block")
     return within_budget(blocks, ["l_orderkey"], _LINE_ORDER, _BUDGET).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n_bytes", "bytes_before",
         "bytes_used",
@@ -478,7 +477,8 @@ _CATEGORY = "CASE WHEN event_id % 2 = 0 THEN 'Bugfix' ELSE event_type END"
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies with and without fences, and three kinds of invalid ones."""
-    return table(spark, sf_dir, "events").selectExpr(
+    columns = ("event_id", "user_id", "event_type")
+    return table(spark, sf_dir, "events", *columns).selectExpr(
         "event_id",
         f"""concat('{{"category":"', {_CATEGORY}, '","title":"', {_TITLE},
             '","summary":"s', user_id, '","extra":', event_id, '}}') good""",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.session import configure
+from shiplog.session import configure, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,5 +26,7 @@ def query(name: str, oracle: str) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A base table; with `columns`, only these, spread over all cores for work on texts."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows.select(*columns)) if columns else rows

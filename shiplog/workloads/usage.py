@@ -139,7 +139,7 @@ FROM l WHERE regexp_matches(line, '\S') GROUP BY source""",
 )
 def usage_parts_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as report parts: the lines of all parts of a source in one order."""
-    parts = table(spark, sf_dir, "documents").selectExpr(
+    parts = table(spark, sf_dir, "documents", "source", "doc_id", "text").selectExpr(
         "source org_slug", "date'2024-01-01' report_day", "doc_id part_no", "text body"
     )
     lines = lines_of_bodies(parts).filter(has_content(F.col("line")))

@@ -28,7 +28,8 @@ EVENTS_SQL = """ev AS (
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    columns = ("event_id", "ts", "user_id", "event_type", "value", "props")
+    return table(spark, sf_dir, "events", *columns).selectExpr(
         "event_id",
         "ts",
         "cast(ts as date) report_day",
