@@ -13,7 +13,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog import schemas
 from shiplog.functions.temporal import format_rfc3339, report_end_day
 from shiplog.functions.text import scope_names
 from shiplog.operators import enrich, merge, pages, usage_days, usage_facts, usage_records
@@ -69,13 +68,28 @@ def _start_imports(store: Store, scopes: DataFrame, as_of) -> DataFrame:
     return imports
 
 
-def _latest(spark, landing: DataFrame, feeds: Sequence[str]) -> DataFrame:
-    answers = landing.filter(F.col("feed").isin(*feeds))
+def _latest(answers: DataFrame) -> DataFrame:
     return landed.latest_answers(
         answers, staged(landed.repeated_requests(answers), "repeated-requests")
     )
 
 
+def _within(landing: DataFrame, spans: DataFrame) -> DataFrame:
+    """Answers whose request key is a day in the span of their org.
+
+    The outer bounds go into the scan as literals, so that files of other days are skipped.
+    """
+    bounds = spans.agg(F.min("first_day"), F.max("last_day")).first()
+    first, last = (str(b) if b else "" for b in bounds)
+    day = F.col("request_key")
+    return (
+        landing.filter(day.between(first, last))
+        .join(spans.withColumnRenamed("org_slug", "group_key"), "group_key")
+        .filter(day.between(F.col("first_day").cast("string"), F.col("last_day").cast("string")))
+        .drop("first_day", "last_day")
+    )
+
+
 # ---------------------------------------------------------------- usage
 
 
@@ -95,7 +109,7 @@ def import_usage(
     `part_lines` gives the lines of the parts where they lie in files (see `read_part_files`);
     otherwise the landed bodies are split. Returns one summary row per org.
     """
-    spark, now = store.spark, F.lit(as_of).cast("timestamp")
+    now = F.lit(as_of).cast("timestamp")
     scopes = _scopes(store, orgs, "org_slug")
     last_runs = ledger.latest_run_per_org(store.read("usage_runs"))
     marks = day_plan.org_watermarks(scopes, last_runs, F.lit(initial), now, watermark)
@@ -112,12 +126,19 @@ def import_usage(
     end_day = report_end_day(now, F.lit(lag_days))
     plan = staged(day_plan.plan_days(points, end_day), "day-plan")
 
-    answers = _latest(spark, landing, (landed.USAGE_INDEX, landed.USAGE_PART))
-    planned = plan.select(
-        F.col("org_slug").alias("group_key"),
-        F.col("report_day").cast("string").alias("request_key"),
+    # Report texts are only ever joined with lists of one row per org, or with short lists of
+    # exceptions. Both are written out, so Spark knows their size when it picks the join.
+    spans = staged(
+        plan.groupBy("org_slug").agg(
+            F.min("report_day").alias("first_day"), F.max("report_day").alias("last_day")
+        ),
+        "org-spans",
+    )
+    answers = _latest(
+        _within(landing, spans).filter(
+            F.col("feed").isin(landed.USAGE_INDEX, landed.USAGE_PART)
+        )
     )
-    answers = answers.join(planned, ["group_key", "request_key"], "left_semi")
     index = staged(landed.usage_index(answers), "usage-index")
 
     # Days behind an index that holds the org up cannot commit; their parts are not read.
@@ -129,20 +150,32 @@ def import_usage(
     )
     readable = staged(
         committed_prefix(by_index, ["org_slug"], "report_day", F.col("holds"))
-        .filter(F.col("kind") == "ok")
-        .select(*usage_days.DAY),
-        "readable-days",
-    )
-    part_rows = landed.usage_part_answers(answers).join(readable, usage_days.DAY, "left_semi")
-    part_rows = part_rows.join(index.select(*usage_days.DAY, "n_parts"), usage_days.DAY).filter(
-        F.col("part_no") < F.col("n_parts")
-    )
-    parts = staged(part_rows.drop("body"), "usage-parts")
+        .groupBy("org_slug")
+        .agg(F.max("report_day").alias("last_readable")),
+        "readable-spans",
+    )
+    part_rows = (
+        landed.usage_part_answers(answers)
+        .join(readable, "org_slug")
+        .filter(F.col("report_day") <= F.col("last_readable"))
+        .drop("last_readable")
+    )
+    listed = staged(
+        part_rows.drop("body")
+        .join(index.select(*usage_days.DAY, "n_parts"), usage_days.DAY, "left")
+        .withColumn("listed", F.coalesce(F.col("part_no") < F.col("n_parts"), F.lit(False))),
+        "usage-parts",
+    )
+    parts = listed.filter("listed")
+    part_key = [*usage_days.DAY, "part_no"]
     if part_lines is None:
-        lines = usage_parts.lines_of_bodies(part_rows.filter(F.col("error").isNull()))
+        strays = staged(listed.filter("not listed").select(*part_key), "stray-parts")
+        lines = usage_parts.lines_of_bodies(
+            part_rows.filter(F.col("error").isNull()).join(strays, part_key, "left_anti")
+        )
     else:
-        good = parts.filter(F.col("error").isNull()).select(*usage_days.DAY, "part_no")
-        lines = part_lines.join(good, [*usage_days.DAY, "part_no"], "left_semi")
+        good = staged(parts.filter(F.col("error").isNull()).select(*part_key), "good-parts")
+        lines = part_lines.join(good, part_key, "left_semi")
     # The one pass over the report text.
     checked = staged(
         usage_records.check_records(usage_records.decode_lines(lines)).drop("line"),
@@ -150,15 +183,16 @@ def import_usage(
     )
 
     judged = staged(usage_days.judge_days(plan, index, parts, checked), "judged-days")
-    days = staged(
-        usage_days.committed_days(judged)
-        .filter(F.col("verdict") == "commit")
-        .select(*usage_days.DAY),
-        "committed-days",
+    committed = staged(
+        usage_days.committed_days(judged).select(*usage_days.DAY, "verdict"), "committed-days"
     )
-    facts = usage_facts.facts_of_records(
-        checked.join(days, usage_days.DAY, "left_semi"), now
+    # Up to an org's last committed day, every day with records has committed.
+    last = committed.groupBy("org_slug").agg(F.max("report_day").alias("last_committed"))
+    good_records = checked.join(staged(last, "committed-spans"), "org_slug").filter(
+        F.col("report_day") <= F.col("last_committed")
     )
+    facts = usage_facts.facts_of_records(good_records, now)
+    days = committed.filter(F.col("verdict") == "commit").select(*usage_days.DAY)
     store.merge("usage_facts", usage_facts.fold_facts(facts), touched=days)
 
     summary = (
@@ -222,11 +256,15 @@ def reimport_days(
     plan = staged(
         days.select(*usage_days.DAY, F.lit(None).cast("date").alias("end_day")), "day-plan"
     )
-    answers = _latest(store.spark, landing, (landed.USAGE_INDEX, landed.USAGE_PART))
-    index = staged(
-        landed.usage_index(answers).join(plan, usage_days.DAY, "left_semi"), "usage-index"
+    wanted = plan.select(
+        F.col("org_slug").alias("group_key"), F.col("report_day").cast("string").alias("request_key")
     )
-    part_rows = landed.usage_part_answers(answers).join(plan, usage_days.DAY, "left_semi")
+    answers = landing.filter(F.col("feed").isin(landed.USAGE_INDEX, landed.USAGE_PART))
+    answers = _latest(answers.join(wanted, ["group_key", "request_key"], "left_semi"))
+    index = staged(landed.usage_index(answers), "usage-index")
+    part_rows = landed.usage_part_answers(answers)
+    listed = index.select(*usage_days.DAY, "n_parts")
+    part_rows = part_rows.join(listed, usage_days.DAY).filter(F.col("part_no") < F.col("n_parts"))
     parts = staged(part_rows.drop("body"), "usage-parts")
     lines = usage_parts.lines_of_bodies(part_rows.filter(F.col("error").isNull()))
     checked = staged(
@@ -300,10 +338,10 @@ def import_projects(
     Returns (group_full_path, pages, error). Pages before a bad one are merged all the same.
     """
     scopes = _scopes(store, groups, "group_full_path")
-    answers = _latest(store.spark, landing, (landed.PROJECT_PAGE,))
-    answers = answers.filter(F.col("request_key") == run).join(
-        _place_of(scopes).select("group_key"), "group_key", "left_semi"
+    answers = landing.filter(
+        (F.col("feed") == landed.PROJECT_PAGE) & (F.col("request_key") == run)
     )
+    answers = _latest(answers.join(F.broadcast(_place_of(scopes)), "group_key").drop("place"))
     judged = staged(pages.judge_pages(answers, "projects"), "project-pages")
     committed, bounds = _committed_pages(judged)
     rows = flatten_projects(committed).join(_place_of(scopes), "group_key")
@@ -316,9 +354,7 @@ def import_projects(
     )
 
 
-def _answers_for(
-    store: Store, landing: DataFrame, mrs: DataFrame, summarizer: Summarizer, now
-) -> DataFrame:
+def _answers_for(store: Store, mrs: DataFrame, summarizer: Summarizer, now) -> DataFrame:
     """Valid model answers for change requests, as (mr_id, prompt_hash, model, answer).
 
     Replies are stored before they are used, keyed by the prompt: a repeated task or run neither
@@ -350,7 +386,10 @@ def _summarized(
     if summarizer is None:
         empty = F.lit(None).cast("string")
         return mrs.withColumns({c: empty for c in merge.MERGE_REQUEST_POLICY.keep_known})
-    changes = landed.mr_changes(_latest(store.spark, landing, (landed.MR_CHANGES,)))
+    # Only the change lists that are needed are decoded.
+    wanted = mrs.select(F.concat_ws("/", "project_id", "mr_iid").alias("request_key"))
+    answers = landing.filter(F.col("feed") == landed.MR_CHANGES)
+    changes = landed.mr_changes(_latest(answers.join(wanted, "request_key", "left_semi")))
     # Without readable changes there is no prompt and the model columns stay NULL.
     text = diff_text_of_changes(F.col("changes"), summarizer.max_bytes)
     prompted = (
@@ -362,9 +401,7 @@ def _summarized(
         .drop("changes")
     )
     prompted = staged(prompted, "prompts")
-    answers = _answers_for(
-        store, landing, prompted.filter(F.col("prompt").isNotNull()), summarizer, now
-    )
+    answers = _answers_for(store, prompted.filter(F.col("prompt").isNotNull()), summarizer, now)
     return enrich.attach_answers(prompted, answers, ["mr_id", "prompt_hash"]).drop(
         "prompt", "prompt_hash"
     )
@@ -407,9 +444,13 @@ def import_merge_requests(
         "updated_after",
         "last_cursor",
     )
-    chains = chains.join(_place_of(scopes), "group_key")
+    # One row per configured group.
+    chains = staged(chains.join(_place_of(scopes), "group_key"), "chains")
     keys = ["group_key", "request_key"]
-    answers = _latest(store.spark, landing, (landed.MR_PAGE,)).join(chains, keys)
+    answers = landing.filter(F.col("feed") == landed.MR_PAGE)
+    answers = _latest(answers.join(chains.select(*keys), keys)).join(
+        chains.select(*keys, "last_cursor"), keys
+    )
     # A resumed chain starts at the page that was asked with the cursor, a new one without.
     starts = staged(
         answers.filter(F.col("after_cursor").eqNullSafe(F.col("last_cursor")))
@@ -430,7 +471,10 @@ def import_merge_requests(
         firsts = merge.first_arrivals(
             rows.withColumns({f"_{c}": F.col(c) for c in order}), ["mr_id"], [f"_{c}" for c in order]
         )
-        rows = merge.new_only(firsts, store.read("merge_requests"), ["mr_id"])
+        firsts = staged(firsts, "first-arrivals")
+        # The table may be far larger than the batch: its ids are cut down to the batch first.
+        known = merge.existing(store.read("merge_requests").select("mr_id"), firsts, ["mr_id"])
+        rows = merge.new_only(firsts, known, ["mr_id"])
     rows = staged(rows, "merge-requests")
     batch = _summarized(store, landing, rows, summarizer, now)
     store.merge(
@@ -552,5 +596,4 @@ __all__ = [
     "parse_scopes",
     "reimport_days",
     "require_success",
-    "schemas",
 ]
