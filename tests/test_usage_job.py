@@ -153,13 +153,25 @@ def test_bad_days_commit_nothing(spark, tmp_path):
         "repeated key": lines(usage_record(2, "2024-03-01"), repeated),
         "unreadable day": lines(usage_record(1, "2024-3-1")),
     }
-    for number, (message, body) in enumerate(bad.items()):
-        store = Store(spark, str(tmp_path / str(number)))
-        store.create()
-        summary = run(spark, store, [index("2024-03-01", 1), part("2024-03-01", 0, body)])
-        assert rows(summary, "days_advanced", "succeeded") == [(0, False)]
-        assert message in summary.first().error
-        assert store.read("usage_facts").count() == 0
+    store = Store(spark, str(tmp_path))
+    store.create()
+    answers = []
+    for org, body in enumerate(bad.values()):
+        answers += [
+            index("2024-03-01", 1, org=str(org)),
+            part("2024-03-01", 0, body, org=str(org)),
+        ]
+    summary = jobs.import_usage(
+        store,
+        landing(spark, answers),
+        [str(org) for org in range(len(bad))],
+        as_of=NOW,
+        initial=FIRST,
+    ).orderBy("org_slug")
+    for row, message in zip(summary.collect(), bad, strict=True):
+        assert (row.days_advanced, row.succeeded) == (0, False)
+        assert message in row.error
+    assert store.read("usage_facts").count() == 0
 
 
 def test_reimport_keeps_missing_users_and_replaces_children(spark, tmp_path):
