@@ -64,15 +64,25 @@ def project_columns(node: Column) -> list[Column]:
     ]
 
 
+def _placed_nodes(pages: DataFrame) -> DataFrame:
+    """(group_key, page_no, pos, node) of the pages' nodes; pages without nodes give no row.
+
+    The outer form, because Spark derives a filter from the other one and would evaluate the
+    decoded nodes once more for it.
+    """
+    nodes = pages.select("group_key", "page_no", F.posexplode_outer("nodes").alias("pos", "node"))
+    return nodes.filter(F.col("pos").isNotNull())
+
+
 def flatten_merge_requests(pages: DataFrame) -> DataFrame:
     """One row per node of (group_key, page_no, nodes), with its place in the page."""
-    nodes = pages.select("group_key", "page_no", F.posexplode("nodes").alias("pos", "node"))
-    return nodes.select("group_key", "page_no", "pos", *merge_request_columns(F.col("node")))
+    columns = merge_request_columns(F.col("node"))
+    return _placed_nodes(pages).select("group_key", "page_no", "pos", *columns)
 
 
 def flatten_projects(pages: DataFrame) -> DataFrame:
-    nodes = pages.select("group_key", "page_no", F.posexplode("nodes").alias("pos", "node"))
-    return nodes.select("group_key", "page_no", "pos", *project_columns(F.col("node")))
+    columns = project_columns(F.col("node"))
+    return _placed_nodes(pages).select("group_key", "page_no", "pos", *columns)
 
 
 def merged_since(mrs: DataFrame, watermark: Column) -> DataFrame:

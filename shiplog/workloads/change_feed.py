@@ -74,7 +74,8 @@ def pages_of(nodes: DataFrame, connection: str, feed: str) -> DataFrame:
       named_struct('count', total, 'nodes', nodes, 'pageInfo', named_struct(
         'endCursor', concat('c', page_no), 'hasNextPage', page_no < last_no))))),
       map('ignoreNullFields', 'false'))"""
-    return pages.join(counted, "group_key").selectExpr(
+    # There are twenty groups at most, by construction.
+    return pages.join(F.broadcast(counted), "group_key").selectExpr(
         f"'{feed}' feed",
         "group_key",
         "'all' request_key",

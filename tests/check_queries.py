@@ -24,10 +24,9 @@ def duck(sf_dir):
 
 
 def comparable(columns, rows):
+    """Sorted columns and rows; as text, so that 1, 1.0 and True differ."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(columns), sorted(
-        (tuple(r[i] for i in order) for r in rows), key=lambda r: tuple(map(repr, r))
-    )
+    return sorted(columns), sorted(repr(tuple(r[i] for i in order)) for r in rows)
 
 
 def compare(spark, con, name, sf_dir):
@@ -67,7 +66,7 @@ def main():
         print(f"\nDIFF  {name}: {len(got[1])} rows, sql {len(want[1])}, {took:.1f}s")
         if got[0] != want[0]:
             print("  columns", got[0], want[0])
-        a, b = set(map(repr, got[1])), set(map(repr, want[1]))
+        a, b = set(got[1]), set(want[1])
         print("  only spark", sorted(a - b)[:3], "\n  only sql  ", sorted(b - a)[:3], flush=True)
     print(f"\n{bad} bad")
 
