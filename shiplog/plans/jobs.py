@@ -429,12 +429,14 @@ def import_merge_requests(
     mark = day_plan.run_watermark(
         ledger.latest_run(store.read("collector_runs")), F.lit(initial), now, watermark
     )
+    # One value, as text: it comes back as the same instant in any zone of the driver.
+    mark = mark.select(format_rfc3339(F.col("updated_after"))).first()[0]
     imports = _start_imports(
         store,
-        scopes.crossJoin(F.broadcast(mark)).select(
+        scopes.select(
             "group_full_path",
             F.lit(ledger.MERGE_REQUEST_IMPORT).alias("import_type"),
-            "updated_after",
+            F.lit(mark).cast("timestamp").alias("updated_after"),
         ),
         now,
     )

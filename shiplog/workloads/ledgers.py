@@ -190,19 +190,21 @@ _AS_OF = "2024-01-31 00:00:00"
     f"""WITH {_IMPORTS_SQL},
 old AS (SELECT no FROM imports WHERE status IN ('completed', 'failed')
         AND last_activity_at < TIMESTAMP '{_AS_OF}' - INTERVAL 10 DAY)
-SELECT 'imp-' || no AS import_id, count(*) AS events, (SELECT count(*) FROM old) AS removed
-FROM hist WHERE no NOT IN (SELECT no FROM old) GROUP BY no""",
+SELECT 'imp-' || no AS import_id, count(*) AS events, false AS removed
+FROM hist WHERE no NOT IN (SELECT no FROM old) GROUP BY no
+UNION ALL SELECT 'imp-' || no, 0, true FROM old""",
 )
 def import_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What stays of the ledger, beside the number of imports removed."""
+    """The events that stay, and the imports that go."""
     history = _import_events(spark, sf_dir)
     as_of = F.lit(_AS_OF).cast("timestamp")
     expired = ledger.expired_imports(ledger.fold_imports(history), as_of, 10)
-    removed = expired.agg(F.count(F.lit(1)).alias("removed"))
     kept = ledger.retained_events(history, expired)
     counts = kept.groupBy("import_id").agg(F.count(F.lit(1)).alias("events"))
-    # `removed` is a single row.
-    return counts.join(F.broadcast(removed))
+    gone = expired.select("import_id", F.lit(0).cast("bigint").alias("events"))
+    return counts.withColumn("removed", F.lit(False)).unionByName(
+        gone.withColumn("removed", F.lit(True))
+    )
 
 
 @query(
