@@ -14,14 +14,14 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert driver.QUERIES.keys() == driver.ORACLES.keys()
 
 
 def test_entry(spark):
     assert driver.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.QUERIES)
 def test_query_equals_sql(spark, con, name):
     got, want = compare(spark, con, name, SF_DIR)
     assert got == want
