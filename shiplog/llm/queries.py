@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shiplog.llm.common import read
+from shiplog.llm.language_id import language_id
+from shiplog.llm.packing import pack
+from shiplog.llm.pii import personal_data
 from shiplog.llm.token_counts import token_counts
+from shiplog.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +20,29 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
+    "op5_personal_data": op5_personal_data,
+    "op7_language_id": op7_language_id,
+    "op9_packing": op9_packing,
 }
 #: SQL has no tokenizer, learned model, alignment or packing: these queries are tested against
 #: brute force, held-out labels and round trips in tests/llm.

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplog.llm.common import tokenizer_path
+from shiplog.llm.parts import PartTable
 
 # Fixed value: the pre-tokenizer's pattern of byte-level BPE vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.iinfo(np.int32).max
-#: Entries a task's table may hold before it starts again, and symbols merged at once.
-TABLE_ENTRIES = 800_000
+#: Symbols merged at once.
 ROUND_SYMBOLS = 2_000_000
 
 
@@ -103,15 +103,15 @@ def merged_counts(merges: Merges, pieces: list[bytes]) -> np.ndarray:
 
 
 class Counter:
-    """Token counts of texts; keeps the counts of what it has seen between spaces."""
+    """Token counts of texts."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             self.merges = Merges(json.load(f))
         self.pattern = regex.compile(PRE_TOKEN)
-        self.special = regex.compile("|".join(map(regex.escape, self.merges.specials)) or r"(?!)")
-        self.inner: dict[str, int | None] = {}
-        self.head: dict[str, int | None] = {}
+        specials = self.merges.specials
+        self.special = regex.compile("|".join(map(regex.escape, specials)) or r"(?!)")
+        self.table = PartTable(self.totals, specials)
 
     def merged(self, pieces: list[bytes]) -> list[int]:
         """Symbols of each piece, merged in groups of bounded size."""
@@ -124,36 +124,24 @@ class Counter:
         return counts
 
     def totals(self, texts: list[str]) -> list[int]:
-        """Sums over the pre-tokens of each text, each distinct pre-token merged once."""
-        cut = [[p.encode() for p in self.pattern.findall(t)] for t in texts]
+        """Sums over the pre-tokens of each text, each distinct pre-token merged once.
+
+        Letters only, a space before them or not, are one pre-token.
+        """
+        cut = [
+            [t.encode()]
+            if t.removeprefix(" ").isalpha()
+            else [p.encode() for p in self.pattern.findall(t)]
+            for t in texts
+        ]
         distinct = list({p for pieces in cut for p in pieces})
         of = dict(zip(distinct, self.merged(distinct), strict=True))
         return [sum(map(of.__getitem__, pieces)) for pieces in cut]
 
-    def learn(self, table: dict[str, int | None], new: set[str], before: str) -> None:
-        """White space beside a space may change the cut: such parts get None.
-
-        A part of letters only is one pre-token, with the space before it.
-        """
-        words = [p for p in new if p.isalpha()]
-        table.update(zip(words, self.merged([(before + p).encode() for p in words]), strict=True))
-        others = [p for p in new if not p.isalpha()]
-        table.update(dict.fromkeys(others))
-        plain = [p for p in others if p and not p[0].isspace() and not p[-1].isspace()]
-        table.update(zip(plain, self.totals([before + p for p in plain]), strict=True))
-        if not before:
-            table[""] = 0
-
     def count(self, texts: list[str]) -> list[int]:
-        if len(self.inner) + len(self.head) > TABLE_ENTRIES:
-            self.inner, self.head = {}, {}
-        cut = [t.split(" ") for t in texts]
-        self.learn(self.head, {c[0] for c in cut} - self.head.keys(), "")
-        self.learn(self.inner, {p for c in cut for p in c[1:]} - self.inner.keys(), " ")
-        out, inner = [], self.inner.__getitem__
-        for text, (head, *rest) in zip(texts, cut, strict=True):
-            found = [self.head[head], *map(inner, rest)]
-            if None in found or self.special.search(text):
+        out = []
+        for text, found in zip(texts, self.table.look_up(texts), strict=True):
+            if found is None:
                 parts = self.special.split(text)
                 found = [len(parts) - 1, *self.totals(parts)]
             out.append(sum(found))
