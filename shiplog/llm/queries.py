@@ -10,6 +10,8 @@ from shiplog.llm.common import read
 from shiplog.llm.language_id import language_id
 from shiplog.llm.packing import pack
 from shiplog.llm.pii import personal_data
+from shiplog.llm.simhash import simhash_groups
+from shiplog.llm.suffix_dedup import without_repeats
 from shiplog.llm.token_counts import token_counts
 from shiplog.llm.toxicity import toxicity
 
@@ -25,10 +27,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -40,7 +50,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
+    "op3_simhash_dedup": op3_simhash_dedup,
     "op5_personal_data": op5_personal_data,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
     "op9_packing": op9_packing,
 }
