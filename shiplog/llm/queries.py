@@ -10,6 +10,7 @@ from shiplog.llm.common import read
 from shiplog.llm.language_id import language_id
 from shiplog.llm.packing import pack
 from shiplog.llm.pii import personal_data
+from shiplog.llm.quality_rules import quality
 from shiplog.llm.simhash import simhash_groups
 from shiplog.llm.suffix_dedup import without_repeats
 from shiplog.llm.token_counts import token_counts
@@ -31,6 +32,11 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return quality(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -51,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op5_personal_data": op5_personal_data,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
