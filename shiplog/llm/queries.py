@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shiplog.llm.common import read
+from shiplog.llm.decontamination import contaminated
 from shiplog.llm.language_id import language_id
+from shiplog.llm.packed_output import read_sequences, write_packed
 from shiplog.llm.packing import pack
 from shiplog.llm.pii import personal_data
 from shiplog.llm.quality_rules import quality
@@ -15,6 +18,7 @@ from shiplog.llm.simhash import simhash_groups
 from shiplog.llm.suffix_dedup import without_repeats
 from shiplog.llm.token_counts import token_counts
 from shiplog.llm.toxicity import toxicity
+from shiplog.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,10 +53,21 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return contaminated(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_packed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_root(spark)}/llm/packed-{uuid.uuid4().hex}"
+    write_packed(read(spark, sf_dir, "documents", "doc_id", "text"), path)
+    return read_sequences(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -61,7 +76,9 @@ QUERIES: dict[str, Query] = {
     "op5_personal_data": op5_personal_data,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
+    "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
+    "op10_packed_output": op10_packed_output,
 }
 #: SQL has no tokenizer, learned model, alignment or packing: these queries are tested against
 #: brute force, held-out labels and round trips in tests/llm.
