@@ -45,41 +45,65 @@ def diff_text_of_changes(changes: Column, max_bytes: int) -> Column:
 
 
 def within_budget(
-    blocks: DataFrame, keys: Sequence[str], order: Sequence[str], max_bytes: int
+    blocks: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    max_bytes: int,
+    slice_of: Column | None = None,
 ) -> DataFrame:
     """Rows of `blocks` (keys, order, block) that contribute to their group's text.
 
-    Adds `n_bytes`, `bytes_before` and `bytes_used`. A group may hold any number of blocks: the
-    rank limit is applied before the shuffle (Spark prunes each task's rows per group), and a long
-    block travels cut to the budget.
+    Adds `n_bytes`, `bytes_before` and `bytes_used`. Blocks may have any length, also none, and a
+    group may hold any number of them; the plan is the same for every budget.
+
+    `slice_of` cuts a group along the order: it never falls as the order goes on (by default the
+    first order column). Bytes are summed by slice before the shuffle, running offsets come from
+    the sums, and only the blocks of slices that start below the budget meet in a window, each
+    slice in its own, each block cut to the budget.
     """
-    place = Window.partitionBy(*keys).orderBy(*order)
+    cut = F.col(order[0]) if slice_of is None else slice_of
+    sized = blocks.withColumns({"_slice": cut, "n_bytes": F.octet_length("block").cast("bigint")})
+    group = Window.partitionBy(*keys).orderBy("_slice")
+    sums = sized.groupBy(*keys, "_slice").agg(F.sum("n_bytes").alias("_sum"))
+    earlier = F.sum("_sum").over(group.rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        F.col("_slice").alias("_start_of"),
+        F.coalesce(earlier, F.lit(0)).alias("_start"),
+    ).filter(F.col("_start") < max_bytes)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     reach = (
-        blocks.withColumn("n_bytes", F.octet_length("block").cast("bigint"))
-        .withColumn("block", byte_prefix(F.col("block"), F.lit(max_bytes)))
-        .withColumn("_rank", F.row_number().over(place))
-        .filter(F.col("_rank") <= _most_blocks(max_bytes))
-    )
-    before = F.coalesce(
-        F.sum("n_bytes").over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        sized.withColumn("block", byte_prefix(F.col("block"), F.lit(max_bytes)))
+        .join(starts, [*same, F.col("_slice").eqNullSafe(F.col("_start_of"))])
+        .drop("_start_of", *[f"_{k}" for k in keys])
     )
+    place = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    inside = F.sum("n_bytes").over(place.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        reach.withColumn("bytes_before", before)
+        reach.withColumn("bytes_before", F.col("_start") + F.coalesce(inside, F.lit(0)))
         .filter(F.col("bytes_before") < max_bytes)
         .withColumn("bytes_used", F.least("n_bytes", F.lit(max_bytes) - F.col("bytes_before")))
-        .drop("_rank")
+        .drop("_slice", "_start")
     )
 
 
 def diff_text(
-    blocks: DataFrame, keys: Sequence[str], order: Sequence[str], max_bytes: int
+    blocks: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    max_bytes: int,
+    slice_of: Column | None = None,
 ) -> DataFrame:
     """(keys, diff_text): the text of every group; at most the budget is collected per group."""
-    used = within_budget(blocks, keys, order, max_bytes).select(
-        *keys, F.struct(*order, byte_prefix(F.col("block"), F.col("bytes_used")).alias("text")).alias("b")
+    used = within_budget(blocks, keys, order, max_bytes, slice_of)
+    # Blocks without bytes add nothing, however many there are.
+    used = used.filter(F.col("bytes_used") > 0).select(
+        *keys,
+        F.struct(*order, byte_prefix(F.col("block"), F.col("bytes_used")).alias("text")).alias("b"),
     )
-    return used.groupBy(*keys).agg(
+    texts = used.groupBy(*keys).agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list("b")), lambda b: b["text"]), ""
         ).alias("diff_text")
     )
+    return texts

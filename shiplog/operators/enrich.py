@@ -14,6 +14,8 @@ from shiplog.functions.strict_json import with_decoded
 from shiplog.functions.text import FENCE, strip_fences
 
 ATTEMPTS = 3
+#: Tasks that call the model at once.
+PARALLEL_CALLS = 64
 
 # The categories asked for.
 CATEGORIES = ("Feature", "Bugfix", "Refactor", "Platform", "Chore")
@@ -56,8 +58,21 @@ def audit_replies(answers: DataFrame) -> DataFrame:
     )
 
 
+def _no_constant(name: str) -> None:
+    raise ValueError(name)
+
+
+def _no_repeats(pairs: list[tuple]) -> dict:
+    if len({k for k, _ in pairs}) < len(pairs):
+        raise ValueError("repeated key")
+    return dict(pairs)
+
+
 def readable(reply: str) -> bool:
-    """Whether a reply is worth keeping, decided in the task so that it can ask again."""
+    """Whether a reply is worth keeping, decided in the task so that it can ask again.
+
+    By the rules of the strict decoder: no repeated key, no number that is none.
+    """
     text = reply.strip()
     while text.startswith(FENCE + "json"):
         text = text[len(FENCE) + 4 :]
@@ -66,18 +81,21 @@ def readable(reply: str) -> bool:
     while text.endswith(FENCE):
         text = text[: -len(FENCE)]
     try:
-        answer = json.loads(text)
+        answer = json.loads(text, object_pairs_hook=_no_repeats, parse_constant=_no_constant)
     except ValueError:
         return False
     keys = ("category", "title", "summary")
     return isinstance(answer, dict) and all(isinstance(answer.get(k), str) for k in keys)
 
 
-def ask_model(prompts: DataFrame, complete: Callable[[str], str]) -> DataFrame:
+def ask_model(
+    prompts: DataFrame, complete: Callable[[str], str], parallel: int = PARALLEL_CALLS
+) -> DataFrame:
     """(mr_id, prompt_hash, reply) for (mr_id, prompt_hash, prompt).
 
     Up to three attempts per prompt; an exception or an unreadable reply is tried again. `reply` is
-    NULL when all attempts failed.
+    NULL when all attempts failed. The prompts are dealt over `parallel` tasks, a number that
+    adaptive execution leaves alone: calls cost time, however short the texts are.
     """
 
     def attempt(text: str) -> str | None:
@@ -100,7 +118,8 @@ def ask_model(prompts: DataFrame, complete: Callable[[str], str]) -> DataFrame:
                 }
             )
 
-    return prompts.select("mr_id", "prompt_hash", "prompt").mapInPandas(
+    dealt = prompts.select("mr_id", "prompt_hash", "prompt").repartition(parallel)
+    return dealt.mapInPandas(
         ask, "mr_id string, prompt_hash string, reply string"
     )
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,17 +26,22 @@ from shiplog.sources import landing as landed
 from shiplog.sources import usage_parts
 
 
+PartLines = DataFrame | Callable[[Sequence[str], date, date], DataFrame]
+
+
 class CollectionFailed(Exception):
     """Raised after the ledgers were written."""
 
 
 @dataclass(frozen=True)
 class Summarizer:
-    """A model call that returns the reply to a prompt, and how much of a diff it is given."""
+    """A model call that returns the reply to a prompt, how much of a diff it is given, and how
+    many tasks call it at once."""
 
     complete: Callable[[str], str]
     model: str
     max_bytes: int = 8000
+    parallel: int = enrich.PARALLEL_CALLS
 
 
 def parse_scopes(text: str, spark) -> list[str]:
@@ -74,6 +79,21 @@ def _latest(answers: DataFrame) -> DataFrame:
     )
 
 
+def _between(landing: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Answers within the least and greatest request key of `wanted`, as literals in the scan."""
+    first, last = wanted.agg(F.min("request_key"), F.max("request_key")).first()
+    return landing.filter(F.col("request_key").between(first or "", last or ""))
+
+
+def _lines_in_files(
+    part_lines: PartLines, orgs: Sequence[str], first: date | None, last: date | None
+) -> DataFrame:
+    """Lines of the parts in files; a reader is told which orgs and days are wanted."""
+    if isinstance(part_lines, DataFrame):
+        return part_lines
+    return part_lines(orgs, first or date.min, last or date.min)
+
+
 def _within(landing: DataFrame, spans: DataFrame) -> DataFrame:
     """Answers whose request key is a day in the span of their org.
 
@@ -101,13 +121,14 @@ def import_usage(
     as_of: datetime,
     lag_days: int = 2,
     initial: datetime | None = None,
-    part_lines: DataFrame | None = None,
+    part_lines: PartLines | None = None,
     watermark: str = "completed_at",
 ) -> DataFrame:
     """Import the usage days that have become available, for all orgs.
 
-    `part_lines` gives the lines of the parts where they lie in files (see `read_part_files`);
-    otherwise the landed bodies are split. Returns one summary row per org.
+    `part_lines` gives the lines of the parts where they lie in files: a table of them or, so
+    that only the planned orgs and days are read, a function of orgs, first and last day (see
+    `part_files`); otherwise the landed bodies are split. Returns one summary row per org.
     """
     now = F.lit(as_of).cast("timestamp")
     scopes = _scopes(store, orgs, "org_slug")
@@ -175,7 +196,8 @@ def import_usage(
         )
     else:
         good = staged(parts.filter(F.col("error").isNull()).select(*part_key), "good-parts")
-        lines = part_lines.join(good, part_key, "left_semi")
+        first, last = good.agg(F.min("report_day"), F.max("report_day")).first()
+        lines = _lines_in_files(part_lines, orgs, first, last).join(good, part_key, "left_semi")
     # The one pass over the report text.
     checked = staged(
         usage_records.check_records(usage_records.decode_lines(lines)).drop("line"),
@@ -221,7 +243,8 @@ def import_usage(
         )
         .unionByName(
             ledger.event_rows(
-                outcome,
+                # An import that waits for a day to land stays in progress, with its cursor.
+                outcome.filter(~F.col("halted_by").eqNullSafe(F.lit("wait"))),
                 F.when(F.col("succeeded"), "completed").otherwise("failed"),
                 now,
                 step=3,
@@ -245,12 +268,18 @@ def import_usage(
 
 
 def reimport_days(
-    store: Store, landing: DataFrame, days: DataFrame, *, as_of: datetime
+    store: Store,
+    landing: DataFrame,
+    days: DataFrame,
+    *,
+    as_of: datetime,
+    part_lines: PartLines | None = None,
 ) -> DataFrame:
     """Import given (org_slug, report_day) again, whatever the cursor says.
 
-    For reports that came or were corrected after the cursor had passed their day. Ledgers and
-    cursors are left alone. Returns the judged days; each good one is merged.
+    For reports that came or were corrected after the cursor had passed their day; `part_lines`
+    as for `import_usage`. Ledgers and cursors are left alone. Returns the judged days; each
+    good one is merged.
     """
     now = F.lit(as_of).cast("timestamp")
     plan = staged(
@@ -260,13 +289,21 @@ def reimport_days(
         F.col("org_slug").alias("group_key"), F.col("report_day").cast("string").alias("request_key")
     )
     answers = landing.filter(F.col("feed").isin(landed.USAGE_INDEX, landed.USAGE_PART))
-    answers = _latest(answers.join(wanted, ["group_key", "request_key"], "left_semi"))
+    answers = _latest(_between(answers, wanted).join(wanted, ["group_key", "request_key"], "left_semi"))
     index = staged(landed.usage_index(answers), "usage-index")
     part_rows = landed.usage_part_answers(answers)
     listed = index.select(*usage_days.DAY, "n_parts")
     part_rows = part_rows.join(listed, usage_days.DAY).filter(F.col("part_no") < F.col("n_parts"))
     parts = staged(part_rows.drop("body"), "usage-parts")
-    lines = usage_parts.lines_of_bodies(part_rows.filter(F.col("error").isNull()))
+    if part_lines is None:
+        lines = usage_parts.lines_of_bodies(part_rows.filter(F.col("error").isNull()))
+    else:
+        good = parts.filter(F.col("error").isNull()).select(*usage_days.DAY, "part_no")
+        first, last = plan.agg(F.min("report_day"), F.max("report_day")).first()
+        # The orgs that the caller lists to be imported again.
+        orgs = [r.org_slug for r in plan.select("org_slug").distinct().collect()]
+        lines = _lines_in_files(part_lines, orgs, first, last)
+        lines = lines.join(good, [*usage_days.DAY, "part_no"], "left_semi")
     checked = staged(
         usage_records.check_records(usage_records.decode_lines(lines)).drop("line"),
         "usage-records",
@@ -290,7 +327,8 @@ def _committed_pages(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     bounds has one row per chain; the nodes are read once, filtered by it.
     """
     keys = ["group_key", "request_key"]
-    narrow = pages.chain_breaks(judged.drop("nodes"))
+    sized = judged.withColumn("batch_count", F.coalesce(F.size("nodes"), F.lit(0)))
+    narrow = pages.chain_breaks(sized.drop("nodes"))
     bad = F.col("error").isNotNull() | F.col("broken")
     links = staged(narrow.withColumn("bad", bad), "page-links")
     failures = first_failures(links, keys, "page_no", F.col("bad"))
@@ -303,7 +341,8 @@ def _committed_pages(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     last = good.groupBy(*keys).agg(
         F.max("page_no").alias("last_page"),
         F.count(F.lit(1)).alias("pages"),
-        F.max_by(F.struct("end_cursor", "has_next_page"), "page_no").alias("_end"),
+        F.max_by(F.struct("end_cursor", "has_next_page", "total_count"), "page_no").alias("_end"),
+        F.sum("batch_count").alias("batch_count"),
     )
     bounds = staged(
         links.select(*keys)
@@ -314,8 +353,10 @@ def _committed_pages(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
             *keys,
             "last_page",
             "pages",
+            "batch_count",
             "_end.end_cursor",
             "_end.has_next_page",
+            "_end.total_count",
             "error",
         ),
         "chain-bounds",
@@ -360,11 +401,18 @@ def _answers_for(store: Store, mrs: DataFrame, summarizer: Summarizer, now) -> D
     Replies are stored before they are used, keyed by the prompt: a repeated task or run neither
     changes committed text nor asks again for what was answered.
     """
-    known = store.read("model_replies").filter(F.col("model") == summarizer.model)
     key = ["mr_id", "prompt_hash"]
+    asked = mrs.select(*key, "prompt").dropDuplicates(key)
+
+    def valid() -> DataFrame:
+        """Usable stored replies to these prompts; only those are parsed."""
+        stored = store.read("model_replies").filter(F.col("model") == summarizer.model)
+        stored = stored.join(asked.select(*key), key, "left_semi")
+        return enrich.parse_replies(stored).filter(F.col("answer").isNotNull())
+
+    # A stored reply that does not parse is asked for again.
     fresh = enrich.ask_model(
-        mrs.select(*key, "prompt").dropDuplicates(key).join(known.select(*key), key, "left_anti"),
-        summarizer.complete,
+        asked.join(valid().select(*key), key, "left_anti"), summarizer.complete, summarizer.parallel
     ).filter(F.col("reply").isNotNull())
     store.append(
         "model_replies",
@@ -372,12 +420,12 @@ def _answers_for(store: Store, mrs: DataFrame, summarizer: Summarizer, now) -> D
             *key, F.lit(summarizer.model).alias("model"), "reply", now.alias("stored_at")
         ),
     )
-    replies = store.read("model_replies").filter(F.col("model") == summarizer.model)
     # Two attempts of one job may both have stored a reply; the first one counts.
-    first = replies.groupBy(*key, "model").agg(
-        F.min_by("reply", F.struct("stored_at", "reply")).alias("reply")
+    return (
+        valid()
+        .groupBy(*key, "model")
+        .agg(F.min_by("answer", F.struct("stored_at", "reply")).alias("answer"))
     )
-    return enrich.parse_replies(first)
 
 
 def _summarized(
@@ -388,7 +436,7 @@ def _summarized(
         return mrs.withColumns({c: empty for c in merge.MERGE_REQUEST_POLICY.keep_known})
     # Only the change lists that are needed are decoded.
     wanted = mrs.select(F.concat_ws("/", "project_id", "mr_iid").alias("request_key"))
-    answers = landing.filter(F.col("feed") == landed.MR_CHANGES)
+    answers = _between(landing.filter(F.col("feed") == landed.MR_CHANGES), wanted)
     changes = landed.mr_changes(_latest(answers.join(wanted, "request_key", "left_semi")))
     # Without readable changes there is no prompt and the model columns stay NULL.
     text = diff_text_of_changes(F.col("changes"), summarizer.max_bytes)
@@ -421,7 +469,8 @@ def import_merge_requests(
     """Import landed change-request pages of all groups.
 
     A chain's request key is the watermark of its import as RFC 3339 text. Returns one row per
-    group: processed, pages, succeeded, finished, error. An import whose next page has not been
+    group: processed, pages, batch_count (nodes of the pages), total_count (what the API says
+    there are), succeeded, finished, error. An import whose next page has not been
     landed stays in progress.
     """
     now = F.lit(as_of).cast("timestamp")
@@ -479,9 +528,11 @@ def import_merge_requests(
         rows = merge.new_only(firsts, known, ["mr_id"])
     rows = staged(rows, "merge-requests")
     batch = _summarized(store, landing, rows, summarizer, now)
-    store.merge(
-        "merge_requests", merge.fold_batch(batch, merge.MERGE_REQUEST_POLICY, order)
-    )
+    folded = merge.fold_batch(batch, merge.MERGE_REQUEST_POLICY, order)
+    if upsert:
+        store.merge("merge_requests", folded)
+    else:
+        store.insert("merge_requests", folded)
 
     processed = rows.groupBy("group_key").agg(F.count(F.lit(1)).alias("processed"))
     summary = (
@@ -492,6 +543,8 @@ def import_merge_requests(
             F.col("group_key").alias("group_full_path"),
             F.coalesce("processed", F.lit(0)).cast("bigint").alias("processed"),
             F.coalesce("pages", F.lit(0)).cast("bigint").alias("pages"),
+            F.coalesce("batch_count", F.lit(0)).cast("bigint").alias("batch_count"),
+            "total_count",
             "end_cursor",
             F.col("error").isNull().alias("succeeded"),
             (F.col("error").isNull() & ~F.coalesce("has_next_page", F.lit(True))).alias(
@@ -566,10 +619,15 @@ def collect(
 
 
 def require_success(results: DataFrame, ok: str = "succeeded") -> None:
-    """Raise if any scope failed, for schedulers that watch the exit code."""
-    failed = results.filter(~F.col(ok)).limit(20).collect()
-    if failed:
-        raise CollectionFailed("; ".join(str(r.asDict()) for r in failed))
+    """Raise if any scope failed, for schedulers that watch the exit code.
+
+    The message counts all of them and shows the first twenty.
+    """
+    failed = results.filter(~F.col(ok))
+    total = failed.count()
+    if total:
+        shown = "; ".join(str(r.asDict()) for r in failed.limit(20).collect())
+        raise CollectionFailed(f"{total} scopes failed: {shown}")
 
 
 def clean_imports(store: Store, *, as_of: datetime, days: int) -> int:

@@ -37,8 +37,12 @@ def import_status(text: Column) -> Column:
 
 
 def fold_imports(events: DataFrame) -> DataFrame:
-    """Current state of every created import. Events of unknown imports have no effect."""
-    event, seq = F.col("event"), F.col("seq")
+    """Current state of every created import. Events of unknown imports have no effect.
+
+    Events of one number, as two jobs that run at once may write, go by time, kind and content.
+    """
+    event = F.col("event")
+    seq = F.struct("seq", "at", "event", "cursor", "n", "message")
     status = (
         F.when(event.isin("created", "reset"), IN_PROGRESS)
         .when(event == "completed", COMPLETED)
@@ -93,10 +97,14 @@ def latest_resumable(imports: DataFrame) -> DataFrame:
     )
 
 
-def import_id(group: Column, import_type: Column, started_at: Column) -> Column:
-    """The same on every attempt of a task, unlike a random id."""
+def import_id(group: Column, import_type: Column, started_at: Column, number: Column) -> Column:
+    """The same on every attempt of a task, unlike a random id.
+
+    `number` counts the earlier imports of the scope: a scheduler may start several with the
+    same time.
+    """
     micros = F.unix_micros(started_at).cast("string")
-    return F.sha2(F.concat_ws("|", group, import_type, micros), 256)
+    return F.sha2(F.concat_ws("|", group, import_type, micros, number.cast("string")), 256)
 
 
 def resume_or_create(scopes: DataFrame, imports: DataFrame, as_of: Column) -> DataFrame:
@@ -113,9 +121,13 @@ def resume_or_create(scopes: DataFrame, imports: DataFrame, as_of: Column) -> Da
             "last_seq",
         ).alias("_open"),
     )
+    scope = ["group_full_path", "import_type"]
+    earlier = imports.groupBy(*scope).agg(F.count(F.lit(1)).alias("_earlier"))
     found = F.col("_open").isNotNull()
-    new_id = import_id(F.col("group_full_path"), F.col("import_type"), as_of)
-    return scopes.join(open_imports, ["group_full_path", "import_type"], "left").select(
+    number = F.coalesce("_earlier", F.lit(0))
+    new_id = import_id(F.col("group_full_path"), F.col("import_type"), as_of, number)
+    known = scopes.join(open_imports, scope, "left").join(earlier, scope, "left")
+    return known.select(
         "group_full_path",
         "import_type",
         F.coalesce("_open.import_id", new_id).alias("import_id"),

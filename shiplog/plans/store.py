@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiplog import schemas
+from shiplog.operators.audits import REQUIRED_COLUMNS, audit
 from shiplog.operators.merge import MERGE_REQUEST_POLICY, PROJECT_POLICY, MergePolicy, merge_by_key
 from shiplog.operators.usage_facts import USAGE_POLICY
 from shiplog.session import staged
@@ -21,6 +22,10 @@ from shiplog.session import staged
 BUCKET = "key_bucket"
 
 
+class BrokenTable(Exception):
+    """Rows that a table must not hold: found before they replaced any, or in new partitions."""
+
+
 @dataclass(frozen=True)
 class Table:
     schema: T.StructType
@@ -52,7 +57,6 @@ class Store:
         self.root = self.root.rstrip("/")
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         self._fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        self._finish_publishing()
 
     # ------------------------------------------------------------ reading
 
@@ -109,10 +113,27 @@ class Store:
         target = self._touched(name, touched)
         if target.isEmpty():
             self._write(name, self._sized(name, batch), self._path(name))
+            self._refuse_broken(name, self._touched(name, touched))
             return
         merged = merge_by_key(target.select(*table.schema.fieldNames()), batch, table.policy)
         self._publish(name, self._with_partitions(name, merged))
 
+    def insert(self, name: str, folded: DataFrame) -> None:
+        """Add rows whose keys the table does not hold: files are added, none is read or changed."""
+        table = TABLES[name]
+        batch = staged(self._with_partitions(name, folded), f"{name}-batch")
+        self._refuse_broken(name, batch)
+        self._sized(name, batch).write.mode("append").partitionBy(*table.partitions).parquet(
+            self._path(name)
+        )
+
+    def _refuse_broken(self, name: str, rows: DataFrame) -> None:
+        """Raise if rows lack a required value or repeat a key."""
+        policy = TABLES[name].policy
+        broken = audit(rows, policy.keys, REQUIRED_COLUMNS[name]).collect()  # a row per rule
+        if broken:
+            raise BrokenTable(f"{name}: " + "; ".join(str(r.asDict()) for r in broken))
+
     def replace(self, name: str, rows: DataFrame) -> None:
         """Replace a table as a whole."""
         self._publish(name, rows.select(*TABLES[name].schema.fieldNames()))
@@ -150,9 +171,9 @@ class Store:
 
     # ------------------------------------------------------------ publishing
     # A folder cannot be overwritten while it is read, and an overwrite cut short may have dropped
-    # partitions. So the new content is written aside in full and marked complete, then copied over
-    # the table and marked published. A copy that was cut short is repeated when the store is
-    # opened again; content that is not marked complete was never used.
+    # partitions. So the new content is written aside in full, audited and marked complete, then
+    # copied over the table and marked published. A copy that was cut short is repeated by
+    # `recover`; content that is not marked complete was never used.
 
     def _publish(self, name: str, rows: DataFrame) -> None:
         parts = TABLES[name].partitions
@@ -161,6 +182,9 @@ class Store:
             self._sized(name, rows).write.partitionBy(*parts).parquet(path)
         else:
             rows.write.parquet(path)
+        if TABLES[name].policy:
+            schema = _stored_schema(TABLES[name])
+            self._refuse_broken(name, self.spark.read.schema(schema).parquet(path))
         self._mark(path, "_COMPLETE")
         self._copy_over(name, path)
 
@@ -170,7 +194,9 @@ class Store:
         self._mark(path, "_PUBLISHED")
         self._fs.delete(self._hadoop_path(path), True)
 
-    def _finish_publishing(self) -> None:
+    def recover(self) -> None:
+        """Finish or clear what jobs that died have left. Call it only while no job runs: opening
+        a store never does this, as it cannot tell a dead job from a running one."""
         for name in TABLES:
             waiting = f"{self.root}/_publish/{name}"
             if not self._exists(waiting):

@@ -47,12 +47,3 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Let costly work per row use all cores although the input came in few splits.
-
-    An input of at least as many splits as cores, as any large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

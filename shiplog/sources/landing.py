@@ -37,29 +37,35 @@ def land(rows: DataFrame, path: str) -> None:
 
 
 def repeated_requests(landing: DataFrame) -> DataFrame:
-    """Requests landed more than once, with the time of their latest answer.
-
-    Found from the narrow key columns; bodies take no part. Normally few.
-    """
+    """Requests landed more than once; found from the narrow key columns, normally few."""
     return (
         landing.groupBy(*REQUEST)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.max("landed_at").alias("_latest"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
         .filter("_copies > 1")
-        .select(*[F.col(c).alias(f"_{c}") for c in REQUEST], "_latest")
+        .select(*[F.col(c).alias(f"_{c}") for c in REQUEST])
     )
 
 
 def latest_answers(landing: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
-    """The latest answer of every request.
+    """One answer for every request: the latest, and of several at that time the one whose
+    content has the greatest hash. Landing is append-only, so the same answer may lie there twice.
 
     With `repeated` written out by the caller, its known size lets Spark broadcast it and leave
-    the bodies where they are.
+    the bodies where they are; only those of repeated requests are compared.
     """
     if repeated is None:
         repeated = repeated_requests(landing)
     same = [landing[c].eqNullSafe(repeated[f"_{c}"]) for c in REQUEST]
-    older = landing["landed_at"] < repeated["_latest"]
-    return landing.join(repeated, [*same, older], "left_anti")
+    single = landing.join(repeated, same, "left_anti")
+    rest = [c for c in landing.columns if c not in REQUEST]
+    content = F.struct("landed_at", F.xxhash64(*rest), "status", "after_cursor", "body")
+    best = (
+        landing.join(repeated, same, "left_semi")
+        .groupBy(*REQUEST)
+        .agg(F.max_by(F.struct(*rest), content).alias("_best"))
+        .select(*REQUEST, *[F.col(f"_best.{c}").alias(c) for c in rest])
+    )
+    return single.unionByName(best)
 
 
 def status_kind(status: Column) -> Column:

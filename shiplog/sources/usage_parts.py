@@ -6,6 +6,9 @@ Both readers give (org_slug, report_day, part_no, block_start, line_no, line). T
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,16 +34,37 @@ def lines_of_bodies(parts: DataFrame) -> DataFrame:
     )
 
 
-def read_part_files(spark: SparkSession, root: str) -> DataFrame:
+def part_files(
+    spark: SparkSession, root: str
+) -> Callable[[Sequence[str], date, date], DataFrame]:
+    """A reader of the files under `root` for the jobs, which tell it what they have planned."""
+    return lambda orgs, first, last: read_part_files(spark, root, orgs, first, last)
+
+
+def read_part_files(
+    spark: SparkSession,
+    root: str,
+    orgs: Sequence[str] | None = None,
+    first_day: date | None = None,
+    last_day: date | None = None,
+) -> DataFrame:
     """Lines of files <root>/org_slug=<org>/report_day=<day>/<part number>.jsonl.
 
-    A large file is read in splits by many tasks: the byte offset of the split orders the splits
+    Orgs and days are given here: a filter on the result would not reach the folders, as the line
+    number stands between. A large file is read in splits by many tasks: the byte offset of the split orders the splits
     of a file, and the row counter of the task orders the lines of a split.
     """
+    files = spark.read.schema("value string, org_slug string, report_day date").text(
+        root, lineSep="\n", pathGlobFilter="*.jsonl"
+    )
+    if orgs is not None:
+        files = files.filter(F.col("org_slug").isin(*orgs))
+    if first_day is not None:
+        files = files.filter(F.col("report_day") >= F.lit(first_day))
+    if last_day is not None:
+        files = files.filter(F.col("report_day") <= F.lit(last_day))
     return (
-        spark.read.schema("value string, org_slug string, report_day date")
-        .text(root, lineSep="\n", pathGlobFilter="*.jsonl")
-        .select(
+        files.select(
             "org_slug",
             "report_day",
             F.regexp_extract("_metadata.file_name", r"(\d+)\.jsonl$", 1)

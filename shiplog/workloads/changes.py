@@ -433,6 +433,42 @@ def diff_byte_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SHORT_BUDGET, _WIDE_BUDGET = 100, 100_000
+
+
+def _short_or_wide(budget: int, block: str) -> str:
+    return f"""WITH b AS (SELECT *, strlen({block})::BIGINT AS n_bytes FROM lineitem),
+r AS (SELECT *, coalesce(sum(n_bytes) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, {_LINE_PLACE}
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS bytes_before FROM b)
+SELECT l_suppkey, l_orderkey, l_linenumber, n_bytes, bytes_before,
+       least(n_bytes, {budget} - bytes_before)::BIGINT AS bytes_used
+FROM r WHERE bytes_before < {budget}"""
+
+
+def _supplier_budget(spark: SparkSession, sf_dir: str, budget: int, block: str) -> DataFrame:
+    order = ["l_orderkey", *(c for c in _LINE_ORDER if c != "l_suppkey")]
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_suppkey", *order, f"{block} block")
+    # Orders come in runs of 512: a supplier's blocks are spread over many slices.
+    used = within_budget(lines, ["l_suppkey"], order, budget, F.expr("l_orderkey div 512"))
+    return used.select(
+        "l_suppkey", "l_orderkey", "l_linenumber", "n_bytes", "bytes_before", "bytes_used"
+    )
+
+
+@query("diff_byte_budget_short", _short_or_wide(_SHORT_BUDGET, "repeat('x', (l_partkey % 5)::INT)"))
+def diff_byte_budget_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of no to four bytes, all lines of a supplier."""
+    return _supplier_budget(
+        spark, sf_dir, _SHORT_BUDGET, "repeat('x', cast(l_partkey % 5 as int))"
+    )
+
+
+@query("diff_byte_budget_wide", _short_or_wide(_WIDE_BUDGET, _LINE_BLOCK))
+def diff_byte_budget_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A budget of which a thousandth of the blocks' number would already be large."""
+    return _supplier_budget(spark, sf_dir, _WIDE_BUDGET, _LINE_BLOCK)
+
+
 _TEXT_BUDGET = 10000
 _HEX_PAIR = "substr(h, 2 * ({n}) + 1, 2) BETWEEN '80' AND 'BF'"
 
@@ -461,7 +497,8 @@ def diff_text_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         file_block(F.col("doc_id").cast("string"), F.col("text")).alias("block"),
     )
-    return diff_text(blocks, ["source"], ["doc_id"], _TEXT_BUDGET).select(
+    slices = F.expr("doc_id div 256")
+    return diff_text(blocks, ["source"], ["doc_id"], _TEXT_BUDGET, slices).select(
         "source",
         F.md5("diff_text").alias("text_md5"),
         F.octet_length("diff_text").alias("n_bytes"),

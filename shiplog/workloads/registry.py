@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplog.session import configure, spread
+from shiplog.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,6 @@ def query(name: str, oracle: str) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A base table; with `columns`, only these, spread over all cores for work on texts."""
+    """A base table; with `columns`, only these."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows.select(*columns)) if columns else rows
+    return rows.select(*columns) if columns else rows

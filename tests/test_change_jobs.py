@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shiplog.functions.text import FENCE
 from shiplog.plans import jobs, ledger
-from shiplog.plans.store import Store
+from shiplog.plans.store import BrokenTable, Store
 
 GROUP, OTHER = "acme/web", "acme/ops"
 SINCE = "2020-03-01T00:00:00Z"
@@ -301,7 +301,7 @@ def test_retention_keeps_what_is_exactly_as_old(spark, tmp_path):
     assert jobs.clean_imports(store, as_of=utc(2024, 1, 12), days=10) == 0
 
 
-def test_interrupted_publishing_is_finished_on_opening(spark, tmp_path):
+def test_interrupted_publishing_is_finished_by_recovery(spark, tmp_path):
     store = Store(spark, str(tmp_path), buckets=2)
     store.create()
     columns = "p_id string, p_name string, p_path string, p_full_path string, p_web_url string, topics array<string>"
@@ -317,7 +317,54 @@ def test_interrupted_publishing_is_finished_on_opening(spark, tmp_path):
         store.merge("projects", new)
     assert store.read("projects").filter("p_name = 'new'").count() == 0
     reopened = Store(spark, str(tmp_path), buckets=2)
+    # Opening touches nothing: the other job may still be running.
+    assert rows(reopened.read("projects"), "p_name") == [("old",)] * 6
+    assert list((tmp_path / "_publish" / "projects").iterdir())
+    reopened.recover()
     names = rows(reopened.read("projects"), "p_id", "p_name")
     assert names == [("p0", "old"), ("p1", "new"), *[(f"p{i}", "old") for i in range(2, 6)]]
     assert not list((tmp_path / "_publish" / "projects").iterdir())
     assert copy_over
+
+
+def test_page_landed_twice_counts_once_and_totals_are_told(store):
+    answers = 2 * [page(0, [node(1, "2020-03-02T00:00:00Z"), node(2)], total=7)]
+    result = collect(store, answers)
+    assert rows(result, "processed", "pages", "batch_count", "total_count") == [(1, 1, 2, 7)]
+
+
+def test_new_ids_leave_files_alone(store, tmp_path):
+    def files():
+        folder = tmp_path / "store" / "merge_requests"
+        return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+    collect(store, [page(0, [node(i, "2020-03-02T00:00:00Z") for i in range(9)])])
+    before = files()
+    later = "2020-03-10T00:00:00Z"
+    more = [page(0, [node(i, "2020-03-12T00:00:00Z") for i in range(5, 15)], since=later)]
+    result = collect(store, more, as_of=utc(2020, 3, 20), initial=utc(2020, 3, 10))
+    assert rows(result, "processed") == [(6,)]
+    assert before.items() <= files().items()
+    assert store.read("merge_requests").count() == 15
+
+
+def test_useless_stored_reply_is_asked_again(store):
+    answers = [page(0, [node(1, "2020-03-02T00:00:00Z")]), changes(1, [("a.py", "+x")])]
+    reply = '{"category":"Other","title":"t","summary":"s"}'
+
+    first = jobs.Summarizer(lambda _: reply.replace('"t"', '"old"'), "m", parallel=2)
+    collect(store, answers, summarizer=first, upsert=True)
+    useless = F.lit('{"category":"Other","title":"t","summary":"s","x":1,"x":2}')
+    store.replace("model_replies", store.read("model_replies").withColumn("reply", useless))
+    again = [page(0, [node(1, "2020-03-12T00:00:00Z")], since="2020-03-10T00:00:00Z"), answers[1]]
+    options = {"as_of": utc(2020, 3, 20), "initial": utc(2020, 3, 10), "upsert": True}
+    collect(store, again, summarizer=jobs.Summarizer(lambda _: reply, "m", parallel=2), **options)
+    assert rows(store.read("merge_requests"), "mr_id", "mr_ai_title") == [("mr-1", "t")]
+
+
+def test_broken_rows_do_not_reach_a_table(store):
+    columns = "p_id string, p_name string, p_path string, p_full_path string, p_web_url string, topics array<string>"
+    store.merge("projects", store.spark.createDataFrame([("p1", "n", "", "", "", [])], columns))
+    with pytest.raises(BrokenTable, match="p_name"):
+        store.merge("projects", store.spark.createDataFrame([("p1", None, "", "", "", [])], columns))
+    assert rows(store.read("projects"), "p_id", "p_name") == [("p1", "n")]

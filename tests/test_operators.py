@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shiplog.functions.temporal import format_rfc3339, report_end_day, rfc3339, strict_day
 from shiplog.functions.text import BLOCK_OVERHEAD, FENCE, byte_prefix, file_block, strip_fences
 from shiplog.operators import enrich, merge, pages
-from shiplog.operators.budget import diff_text, diff_text_of_changes
+from shiplog.operators.budget import diff_text, diff_text_of_changes, within_budget
 from shiplog.operators.prefix import committed_prefix
 from shiplog.plans import day_plan, ledger
 
@@ -99,8 +99,17 @@ def test_diff_text_in_both_forms(spark):
     for budget in (0, 1, 14, 15, first - 1, first, first + 1, exact_two, 97, 98, 99, 100, whole, whole + 5):
         want = text_by_hand(files, budget)
         assert changes.select(diff_text_of_changes(F.col("changes"), budget)).first()[0] == want
-        got = diff_text(blocks, ["mr"], ["pos"], budget).collect()
-        assert [r.diff_text for r in got] == ([want] if budget > 0 else [])
+        for slices in (None, F.expr("pos div 5"), F.lit(0)):
+            got = diff_text(blocks, ["mr"], ["pos"], budget, slices).collect()
+            assert [r.diff_text for r in got] == ([want] if budget > 0 else [])
+
+
+def test_short_blocks_reach_the_budget(spark):
+    blocks = spark.range(50).selectExpr("1 mr", "id pos", "repeat('x', 4) block")
+    got = within_budget(blocks, ["mr"], ["pos"], 100, F.expr("pos div 7"))
+    assert rows(got, "pos", "bytes_before", "bytes_used") == sorted(
+        ((i, 4 * i, 4) for i in range(25)), key=repr
+    )
 
 
 def test_block_overhead_is_the_fixed_text(spark):
@@ -174,6 +183,30 @@ def test_model_is_asked_three_times_at_most(spark, tmp_path):
     assert {p: calls.count(p) for p in set(calls)} == {"plain": 1, "late": 3, "vague": 2, "never": 3}
 
 
+def test_model_calls_are_dealt_over_all_tasks(spark):
+    prompts = spark.range(1000).selectExpr("cast(id as string) mr_id", "'h' prompt_hash", "'p' prompt")
+    asked = enrich.ask_model(prompts.dropDuplicates(["mr_id"]), lambda _: "no", parallel=8)
+    counts = [r["count"] for r in asked.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == 8 and max(counts) < 200
+
+
+def test_one_rule_for_replies(spark):
+    good = '"category":"Other","title":"t","summary":"s"'
+    replies = {
+        f"{{{good}}}": True,
+        f'{{{good},"x":1,"y":{{"z":null}}}}': True,
+        f'{{{good},"x":1,"x":2}}': False,
+        f'{{{good},"title":"u"}}': False,
+        f'{{{good},"x":NaN}}': False,
+        f"{{{good}}} done": False,
+        '{"category":"Other","title":"t"}': False,
+    }
+    df = spark.createDataFrame([(r,) for r in replies], "reply string")
+    parsed = {r.reply: r.answer is not None for r in enrich.parse_replies(df).collect()}
+    assert parsed == replies
+    assert {r: enrich.readable(r) for r in replies} == replies
+
+
 def test_times(spark):
     texts = {
         "2024-02-29T10:00:00Z": "2024-02-29T10:00:00Z",

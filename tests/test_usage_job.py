@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 from conftest import landing, lines, rows, usage_record, utc
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from shiplog.operators.usage_facts import breakdown, raw_payload
 from shiplog.plans import jobs, ledger
 from shiplog.plans.store import Store
-from shiplog.sources.usage_parts import read_part_files
+from shiplog.sources.usage_parts import part_files, read_part_files
 
 ORG = "acme"
 NOW = utc(2024, 3, 4, 9)
@@ -242,3 +243,72 @@ def test_part_files_are_read_in_line_order_across_splits(spark, tmp_path):
     last = {u: max(i for i in range(4000) if i % 7 == u) for u in range(7)}
     last[3] = -1
     assert rows(store.read("usage_facts"), "user_id", "loc_added_sum") == sorted(last.items(), key=repr)
+
+
+def good_day(day, user=1, minute=0):
+    return [index(day, 1, minute=minute), part(day, 0, lines(usage_record(user, day)), minute=minute)]
+
+
+def test_answers_landed_twice_count_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    summary = run(spark, store, 2 * good_day("2024-03-01"), as_of=utc(2024, 3, 3))
+    assert rows(summary, "days_advanced", "records_persisted") == [(1, 1)]
+    assert rows(state(store), "total_processed") == [(1,)]
+
+
+def test_waiting_import_stays_open_with_its_cursor(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    answers = good_day("2024-03-01") + [index("2024-03-02", 1), part("2024-03-02", 0, "down", status=500)]
+    assert rows(run(spark, store, answers), "days_advanced", "succeeded") == [(1, False)]
+    waiting = good_day("2024-03-01") + [index("2024-03-02", 1, minute=5)]
+    assert rows(run(spark, store, waiting), "days_advanced", "halted_by") == [(0, "wait")]
+    assert rows(state(store), "status", "last_cursor") == [("in_progress", "2024-03-01")]
+    third = run(spark, store, good_day("2024-03-01") + good_day("2024-03-02", 2, minute=5), initial=None)
+    assert rows(third, "days_advanced", "records_persisted", "halted_by") == [(1, 1, None)]
+    assert rows(state(store), "status", "last_cursor") == [("completed", "2024-03-02")]
+
+
+def test_two_imports_of_one_time_have_two_ids(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    run(spark, store, good_day("2024-03-01"), lag_days=3)
+    run(spark, store, good_day("2024-03-01") + good_day("2024-03-02"), lag_days=2)
+    found = state(store)
+    assert rows(found, "last_cursor", "status") == [
+        ("2024-03-01", "completed"),
+        ("2024-03-02", "completed"),
+    ]
+    assert found.select("import_id").distinct().count() == 2
+
+
+def test_part_files_of_other_orgs_and_days_are_not_listed(spark, tmp_path):
+    for org in (ORG, "other"):
+        for day in ("2024-03-01", "2024-03-02", "2024-04-01"):
+            folder = tmp_path / f"org_slug={org}" / f"report_day={day}"
+            folder.mkdir(parents=True)
+            (folder / "0.jsonl").write_text(lines(usage_record(1, day)))
+    read = part_files(spark, str(tmp_path))([ORG], date(2024, 3, 1), date(2024, 3, 2))
+    assert read.count() == 2
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    filters = plan.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert "org_slug" in filters and "report_day" in filters
+
+
+def test_reimport_from_files(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.create()
+    folder = tmp_path / "parts" / f"org_slug={ORG}" / "report_day=2024-03-01"
+    folder.mkdir(parents=True)
+    (folder / "0.jsonl").write_text(lines(usage_record(4, "2024-03-01")))
+    days = spark.sql(f"select '{ORG}' org_slug, date'2024-03-01' report_day")
+    judged = jobs.reimport_days(
+        store,
+        landing(spark, [index("2024-03-01", 1), part("2024-03-01", 0, None)]),
+        days,
+        as_of=NOW,
+        part_lines=part_files(spark, str(tmp_path / "parts")),
+    )
+    assert rows(judged, "verdict") == [("commit",)]
+    assert rows(store.read("usage_facts"), "user_id") == [(4,)]
