@@ -43,6 +43,11 @@ def row_key(*columns: Column) -> list[Column]:
     ]
 
 
+def boxed(docs: DataFrame) -> Column:
+    """All columns of `docs` as one struct `row`, so that helper columns clash with none."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
 def in_split(column: str, parts: int, held: int) -> Column:
     """Whether crc32 of the id as text leaves another remainder than `held`; false for null."""
     rest = F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(parts))

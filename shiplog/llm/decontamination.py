@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiplog.llm.common import boxed
+
 SEED_WORDS = 3
 #: Chance of a triple at a place of the corpus, by its words' shares, up to which it is rare;
 #: this many of an item's rarest triples are seeds in any case.
@@ -246,4 +248,6 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` that hold no copy of an item."""
-    return find_leaks(docs, items, text, into="_leaks").filter(F.size("_leaks") == 0).drop("_leaks")
+    rows = docs.select(boxed(docs), F.col(text).alias("body"))
+    found = find_leaks(rows, items, "body", into="found")
+    return found.filter(F.size("found") == 0).select("row.*")

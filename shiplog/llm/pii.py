@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiplog.llm.common import boxed
+
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with a digit or an at sign to learn from at most; the sample goes by a hash.
 SAMPLE_ROWS = 500
@@ -440,7 +442,8 @@ def redacted(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS
 
     Overlapping spans are replaced together, under the kind of the first. Null stays null.
     """
-    found = find_personal_data(docs, text, "_found", sample_rows)
+    rows = docs.select(boxed(docs), F.col(text).cast("string").alias("body"))
+    found = find_personal_data(rows, "body", "found", sample_rows)
 
     @F.pandas_udf(T.StringType())
     def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -457,4 +460,6 @@ def redacted(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS
             out.append("".join([*parts, t[end:]]))
         return pd.Series(out, dtype=object)
 
-    return found.withColumn(text, masked(text, "_found")).drop("_found")
+    return found.select(F.col("row").withField(text, masked("body", "found")).alias("row")).select(
+        "row.*"
+    )

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import prepared, stage
+from shiplog.llm.common import boxed, prepared, stage
 
 BLANK = r"\x20\x09-\x0D"
 SYMBOLS = r"[#*$%&|<>]"
@@ -276,6 +276,5 @@ def keep_good(
 ) -> DataFrame:
     """The rows of `docs` that the base rules and the learned list keep, with their columns."""
     rules = learn_rules(docs, labels, key, text, sample_rows=sample_rows)
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")
-    found = with_statistics(docs.select(row, F.col(text).alias("__body")), "__body")
-    return found.filter(verdict(rules)).select("__row.*")
+    found = with_statistics(docs.select(boxed(docs), F.col(text).alias("__body")), "__body")
+    return found.filter(verdict(rules)).select("row.*")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import prepared, row_key, stage
+from shiplog.llm.common import boxed, prepared, row_key, stage
 from shiplog.llm.components import components
 from shiplog.llm.runs import whole_groups
 
@@ -191,17 +191,13 @@ def one_per_group(
     Null keys come last; among rows of equal key the one of least text hash stays. Of rows that
     are equal in key and text any one stays.
     """
-    row_a, row_b = row_key(F.col(key), F.col(text))
-    tagged = docs.withColumn("__a", row_a).withColumn("__b", row_b)
-    rank = F.struct(F.col(key).isNull().alias("absent"), F.col(key).alias("id"), "__a", "__b")
-    groups = simhash_groups(
-        tagged.select(rank.alias("__rank"), F.col(text).alias("__text")),
-        "__rank",
-        "__text",
-        shingle,
-        radius,
+    tagged = docs.select(boxed(docs), *row_key(F.col(key), F.col(text)))
+    rank = F.struct(
+        F.col("row")[key].isNull().alias("absent"), F.col("row")[key].alias("id"), "row_a", "row_b"
     )
-    first = groups.filter(F.col("__rank") == F.col("component_id"))
-    kept = stage(first.select("__rank.__a", "__rank.__b").distinct(), "kept")
-    found = tagged.join(kept, ["__a", "__b"], "left_semi").dropDuplicates(["__a", "__b"])
-    return found.drop("__a", "__b")
+    ranked = tagged.select(rank.alias("rank"), F.col("row")[text].alias("text"))
+    groups = simhash_groups(ranked, "rank", "text", shingle, radius)
+    first = groups.filter(F.col("rank") == F.col("component_id"))
+    kept = stage(first.select("rank.row_a", "rank.row_b").distinct(), "kept")
+    found = tagged.join(kept, ["row_a", "row_b"], "left_semi").dropDuplicates(["row_a", "row_b"])
+    return found.select("row.*")

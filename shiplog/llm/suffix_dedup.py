@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import prepared, stage
+from shiplog.llm.common import boxed, prepared, stage
 from shiplog.llm.runs import whole_groups
 from shiplog.llm.suffix_buckets import (
     CHUNK,
@@ -203,13 +203,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", int
             )
         return pd.Series(out, dtype=object)
 
-    lists = marks.groupBy(F.col("row").alias("_row")).agg(
-        F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends")
+    lists = marks.groupBy("row").agg(
+        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
     )
-    spans = stage(lists.select("_row", merged("_starts", "_ends").alias("_spans")), "spans")
-    joined = docs.withColumn("_row", row).join(spans, "_row", "left")
-    empty = F.array().cast(SPANS)
-    return joined.withColumn(into, F.coalesce("_spans", empty)).drop("_row", "_spans")
+    spans = stage(lists.select("row", merged("starts", "ends").alias("spans")), "spans")
+    joined = docs.select(boxed(docs).alias("doc"), row.alias("row")).join(spans, "row", "left")
+    found = F.coalesce("spans", F.array().cast(SPANS))
+    return joined.select(F.col("doc").withField(into, found).alias("doc")).select("doc.*")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
