@@ -59,21 +59,36 @@ MERGE_REQUEST_POLICY = MergePolicy(
 )
 
 
-def fold_batch(batch: DataFrame, policy: MergePolicy, order: Sequence[str]) -> DataFrame:
-    """One row per key, as if the rows had been merged one by one in `order`."""
+def fold_batch(
+    batch: DataFrame,
+    policy: MergePolicy,
+    order: Sequence[str],
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per key, as if the rows had been merged one by one in `order`.
+
+    Columns travel through the fold packed together, where Spark cannot prune them: a caller that
+    reads only some names them in `columns`.
+    """
+
+    def wanted(names: Sequence[str]) -> list[str]:
+        return [c for c in names if columns is None or c in columns]
+
+    overwrite, insert_only = wanted(policy.overwrite), wanted(policy.insert_only)
+    keep_known = wanted(policy.keep_known)
     place = F.struct(*order)
     merged: list[Column] = []
-    if policy.overwrite:
-        merged.append(F.max_by(F.struct(*policy.overwrite), place).alias("_last"))
-    if policy.insert_only:
-        merged.append(F.min_by(F.struct(*policy.insert_only), place).alias("_first"))
-    for c in policy.keep_known:
+    if overwrite:
+        merged.append(F.max_by(F.struct(*overwrite), place).alias("_last"))
+    if insert_only:
+        merged.append(F.min_by(F.struct(*insert_only), place).alias("_first"))
+    for c in keep_known:
         # max_by passes over rows whose ordering is NULL.
         merged.append(F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c))
     folded = batch.groupBy(*policy.keys).agg(*merged)
-    unpacked = [F.col(f"_last.{c}").alias(c) for c in policy.overwrite]
-    unpacked += [F.col(f"_first.{c}").alias(c) for c in policy.insert_only]
-    return folded.select(*policy.keys, *unpacked, *policy.keep_known)
+    unpacked = [F.col(f"_last.{c}").alias(c) for c in overwrite]
+    unpacked += [F.col(f"_first.{c}").alias(c) for c in insert_only]
+    return folded.select(*policy.keys, *unpacked, *keep_known)
 
 
 def first_arrivals(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

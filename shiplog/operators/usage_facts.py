@@ -50,10 +50,12 @@ def facts_of_records(records: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def fold_facts(facts: DataFrame) -> DataFrame:
-    return fold_batch(facts, USAGE_POLICY, ("part_no", "block_start", "line_no")).select(
-        *schemas.USAGE_FACTS.fieldNames()
-    )
+def fold_facts(facts: DataFrame, *columns: str) -> DataFrame:
+    """One fact per key, the last sent; of its other columns all or those named."""
+    order = ("part_no", "block_start", "line_no")
+    folded = fold_batch(facts, USAGE_POLICY, order, columns or None)
+    names = [c for c in schemas.USAGE_FACTS.fieldNames() if not columns or c in (*KEY, *columns)]
+    return folded.select(*names)
 
 
 def merge_facts(target: DataFrame, folded: DataFrame) -> DataFrame:

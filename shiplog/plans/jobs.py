@@ -21,7 +21,7 @@ from shiplog.operators.flatten import flatten_merge_requests, flatten_projects,
 from shiplog.operators.prefix import committed_prefix, first_failures
 from shiplog.plans import day_plan, ledger
 from shiplog.plans.store import Store
-from shiplog.session import staged
+from shiplog.session import job, staged
 from shiplog.sources import landing as landed
 from shiplog.sources import usage_parts
 
@@ -113,6 +113,7 @@ def _within(landing: DataFrame, spans: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- usage
 
 
+@job
 def import_usage(
     store: Store,
     landing: DataFrame,
@@ -229,6 +230,7 @@ def import_usage(
             imports.select("group_full_path", "import_id", "last_seq"), "group_full_path"
         ),
         "usage-outcome",
+        keep=True,
     )
     advanced = outcome.filter(F.col("days_advanced") > 0)
     store.append(
@@ -267,6 +269,7 @@ def import_usage(
     return outcome.drop("group_full_path", "import_id", "last_seq")
 
 
+@job
 def reimport_days(
     store: Store,
     landing: DataFrame,
@@ -308,7 +311,7 @@ def reimport_days(
         usage_records.check_records(usage_records.decode_lines(lines)).drop("line"),
         "usage-records",
     )
-    judged = staged(usage_days.judge_days(plan, index, parts, checked), "judged-days")
+    judged = staged(usage_days.judge_days(plan, index, parts, checked), "judged-days", keep=True)
     good = staged(
         judged.filter(F.col("verdict") == "commit").select(*usage_days.DAY), "committed-days"
     )
@@ -360,6 +363,7 @@ def _committed_pages(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
             "error",
         ),
         "chain-bounds",
+        keep=True,
     )
     committed = judged.join(bounds.select(*keys, "last_page"), keys).filter(
         F.col("page_no") <= F.col("last_page")
@@ -371,6 +375,7 @@ def _place_of(scopes: DataFrame) -> DataFrame:
     return scopes.select(F.col("group_full_path").alias("group_key"), "place")
 
 
+@job
 def import_projects(
     store: Store, landing: DataFrame, groups: Sequence[str], run: str
 ) -> DataFrame:
@@ -455,6 +460,7 @@ def _summarized(
     )
 
 
+@job
 def import_merge_requests(
     store: Store,
     landing: DataFrame,
@@ -558,6 +564,7 @@ def import_merge_requests(
             imports.select("group_full_path", "import_id", "last_seq"), "group_full_path"
         ),
         "mr-outcome",
+        keep=True,
     )
     store.append(
         "import_events",
@@ -583,6 +590,7 @@ def import_merge_requests(
     return outcome.drop("import_id", "last_seq")
 
 
+@job
 def collect(
     store: Store,
     landing: DataFrame,
@@ -597,7 +605,9 @@ def collect(
 
     With `projects_gate` off, failed project pages do not keep the run from being recorded.
     """
-    project_results = staged(import_projects(store, landing, groups, project_run), "projects")
+    project_results = staged(
+        import_projects(store, landing, groups, project_run), "projects", keep=True
+    )
     results = import_merge_requests(store, landing, groups, as_of=as_of, **options)
     outcomes = results.select("group_full_path", F.col("finished").alias("ok"), "error")
     if projects_gate:
@@ -630,6 +640,7 @@ def require_success(results: DataFrame, ok: str = "succeeded") -> None:
         raise CollectionFailed(f"{total} scopes failed: {shown}")
 
 
+@job
 def clean_imports(store: Store, *, as_of: datetime, days: int) -> int:
     """Delete finished imports older than `days` days; returns how many."""
     events = store.read("import_events")

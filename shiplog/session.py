@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,13 +41,53 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+# (path, whether the job's result is read from it) of what the running job has written.
+_written: ContextVar[list[tuple[str, bool]] | None] = ContextVar("written", default=None)
+
+
+def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage so a lost executor re-reads files instead of recomputing, and lets later
-    readers of the same data prune columns.
+    readers of the same data prune columns. Within a job (see `scratch`) the files go when it
+    ends, unless its result is read from them (`keep`).
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    written = _written.get()
+    if written is not None:
+        written.append((path, keep))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside, also if the job fails.
+
+    What a job keeps goes with the job around it, if there is one; else it is left to the caller,
+    who reads the result.
+    """
+    outer, written = _written.get(), []
+    token = _written.set(written)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path, keep in written:
+            if keep and outer is not None:
+                outer.append((path, False))
+            elif not keep:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def job(function: Callable) -> Callable:
+    """A job on a store, whose staged tables go when it ends."""
+
+    @wraps(function)
+    def run(store, *args, **options):
+        with scratch(store.spark):
+            return function(store, *args, **options)
+
+    return run

@@ -9,6 +9,7 @@ from shiplog.functions.temporal import report_end_day, rfc3339
 from shiplog.functions.text import scope_names
 from shiplog.operators import audits
 from shiplog.plans import day_plan, ledger
+from shiplog.sources import landing as landed
 from shiplog.workloads.registry import query, table
 from shiplog.workloads.usage_feed import EVENTS_SQL, events
 
@@ -387,3 +388,28 @@ def table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "nullif(l_returnflag, 'R') l_returnflag"
     )
     return audits.audit(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_returnflag"])
+
+
+@query(
+    "landing_latest",
+    """SELECT 'org-' || (event_id // 4 % 7) AS group_key, (event_id // 4)::VARCHAR AS request_key,
+  'answer ' || max(event_id // 2) AS body, count(DISTINCT event_id // 2 % 2) = 2 AS renewed
+FROM events GROUP BY event_id // 4""",
+)
+def landing_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each request was answered twice, an hour apart, and each answer landed twice."""
+    answers = table(spark, sf_dir, "events", "event_id").selectExpr(
+        f"'{landed.USAGE_INDEX}' feed",
+        "concat('org-', event_id div 4 % 7) group_key",
+        "cast(event_id div 4 as string) request_key",
+        "cast(null as int) page_no",
+        "cast(null as string) after_cursor",
+        "200 status",
+        "concat('answer ', event_id div 2) body",
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, int(event_id div 2 % 2)) landed_at",
+    )
+    times = answers.groupBy("group_key", "request_key").agg(
+        (F.count_distinct("landed_at") == 2).alias("renewed")
+    )
+    latest = landed.latest_answers(answers).select("group_key", "request_key", "body")
+    return latest.join(times, ["group_key", "request_key"])

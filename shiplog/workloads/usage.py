@@ -32,9 +32,9 @@ def _day_text() -> Column:
 
 
 
-def _facts(lines: DataFrame) -> DataFrame:
+def _facts(lines: DataFrame, *columns: str) -> DataFrame:
     good = decode_lines(lines).filter(F.col("record").isNotNull())
-    return usage_facts.fold_facts(usage_facts.facts_of_records(good, _now()))
+    return usage_facts.fold_facts(usage_facts.facts_of_records(good, _now()), *columns)
 
 
 # ---------------------------------------------------------------- breakdowns
@@ -66,7 +66,7 @@ FROM ev GROUP BY org_slug, report_day, user_id, {group}"""
 def _register_breakdown(name: str) -> None:
     @query(f"usage_by_{name.removeprefix('totals_by_')}", _breakdown_oracle(name))
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        facts = _facts(daily_lines(events(spark, sf_dir)))
+        facts = _facts(daily_lines(events(spark, sf_dir)), name)
         rows = usage_facts.breakdown(facts, name).withColumn("report_day", _day_text())
         if name == "totals_by_ide":
             rows = rows.withColumns(
@@ -352,6 +352,8 @@ def _plan_index_parts(ev: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         .agg(F.count(F.lit(1)).alias("_"))
         .selectExpr("org_slug", "org_no o", "report_day", "day(report_day) d")
     )
+    # One row per org and day, written once: plan, index and parts all come from it.
+    days = staged(days, "event-days")
     rows = days.selectExpr("*", f"{_STATUS} status").filter("status is not null")
     index_body = F.when(
         F.col("status") == 200,
@@ -384,7 +386,8 @@ def _plan_index_parts(ev: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         )
     )
     plan = days.selectExpr("org_slug", "report_day", f"{_END} end_day")
-    return plan, landed.usage_index(answers), landed.usage_part_answers(part_answers)
+    index = staged(landed.usage_index(answers), "usage-index")
+    return plan, index, landed.usage_part_answers(part_answers)
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -434,8 +437,12 @@ WHERE verdict = 'commit' GROUP BY ev.org_slug, ev.report_day, user_id""",
 def usage_day_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, checked = _judged(spark, sf_dir)
     days = usage_days.committed_days(judged).filter("verdict = 'commit'")
-    records = checked.join(days.select(*usage_days.DAY), usage_days.DAY, "left_semi")
-    facts = usage_facts.fold_facts(usage_facts.facts_of_records(records, _now()))
+    # A list of days, of known size once written: records stay where they are, and the fold
+    # deals them out by the full key.
+    days = staged(days.select(*usage_days.DAY), "committed-days")
+    records = checked.join(days, usage_days.DAY, "left_semi")
+    read = ("user_initiated_interaction_count", "loc_added_sum")
+    facts = usage_facts.fold_facts(usage_facts.facts_of_records(records, _now()), *read)
     return facts.select(
         "org_slug",
         _day_text(),
