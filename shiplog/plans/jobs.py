@@ -387,7 +387,7 @@ def import_projects(
     answers = landing.filter(
         (F.col("feed") == landed.PROJECT_PAGE) & (F.col("request_key") == run)
     )
-    answers = _latest(answers.join(F.broadcast(_place_of(scopes)), "group_key").drop("place"))
+    answers = _latest(answers.join(_place_of(scopes), "group_key").drop("place"))
     judged = staged(pages.judge_pages(answers, "projects"), "project-pages")
     committed, bounds = _committed_pages(judged)
     rows = flatten_projects(committed).join(_place_of(scopes), "group_key")
@@ -652,7 +652,8 @@ def clean_imports(store: Store, *, as_of: datetime, days: int) -> int:
     )
     removed = expired.count()
     if removed:
-        store.replace("import_events", ledger.retained_events(events, expired))
+        # Events that other jobs append meanwhile stay.
+        store.rewrite("import_events", lambda rows: ledger.retained_events(rows, expired))
     return removed
 
 

@@ -39,7 +39,7 @@ def import_status(text: Column) -> Column:
 def fold_imports(events: DataFrame) -> DataFrame:
     """Current state of every created import. Events of unknown imports have no effect.
 
-    Events of one number, as two jobs that run at once may write, go by time, kind and content.
+    An event that lies there twice counts once. Events of one number, as two jobs that run at once may write, go by time, kind and content.
     """
     event = F.col("event")
     seq = F.struct("seq", "at", "event", "cursor", "n", "message")
@@ -55,7 +55,8 @@ def fold_imports(events: DataFrame) -> DataFrame:
     message = F.when(event == "failed", F.col("message"))
     created = F.struct("group_full_path", "import_type", "updated_after", "at")
     return (
-        events.groupBy("import_id")
+        events.distinct()
+        .groupBy("import_id")
         .agg(
             F.min_by(created, at["created"]).alias("_c"),
             F.max_by("cursor", at["advanced"]).alias("last_cursor"),

@@ -7,6 +7,7 @@ partitioned by org and day; tables without a natural partition by a hash of thei
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,6 +135,22 @@ class Store:
         if broken:
             raise BrokenTable(f"{name}: " + "; ".join(str(r.asDict()) for r in broken))
 
+    def rewrite(self, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Put `change` of an append-only table's rows in the place of the files they lie in.
+
+        Files that others append meanwhile are left alone. Until the old files are gone, or if
+        that is cut short, rows may be there twice; readers of such tables drop equal rows.
+        """
+        folder = self._hadoop_path(self._path(name))
+        files = [f.getPath() for f in self._fs.listStatus(folder)]
+        files = [f for f in files if f.getName().startswith("part-")]
+        if not files:
+            return
+        rows = self.spark.read.schema(_stored_schema(TABLES[name])).parquet(*map(str, files))
+        self.append(name, staged(change(rows), f"{name}-rewritten"))
+        for f in files:
+            self._fs.delete(f, False)
+
     def replace(self, name: str, rows: DataFrame) -> None:
         """Replace a table as a whole."""
         self._publish(name, rows.select(*TABLES[name].schema.fieldNames()))

@@ -301,6 +301,21 @@ def test_retention_keeps_what_is_exactly_as_old(spark, tmp_path):
     assert jobs.clean_imports(store, as_of=utc(2024, 1, 12), days=10) == 0
 
 
+def test_rewriting_leaves_later_appends_alone(store):
+    def run_at(day):
+        at = F.lit(utc(2024, 1, day)).cast("timestamp")
+        return store.spark.range(1).select(at.alias("started_at"), at.alias("completed_at"))
+
+    def only_late(rows_now):
+        store.append("collector_runs", run_at(3))
+        return rows_now.filter("day(started_at) > 1")
+
+    store.append("collector_runs", run_at(1))
+    store.append("collector_runs", run_at(2))
+    store.rewrite("collector_runs", only_late)
+    assert rows(store.read("collector_runs"), F.day("started_at")) == [(2,), (3,)]
+
+
 def test_interrupted_publishing_is_finished_by_recovery(spark, tmp_path):
     store = Store(spark, str(tmp_path), buckets=2)
     store.create()
