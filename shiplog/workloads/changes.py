@@ -20,7 +20,7 @@ from shiplog.workloads.change_feed import (
     mr_pages,
     project_pages,
 )
-from shiplog.workloads.registry import query, table
+from shiplog.workloads.registry import dealt, query, table
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
@@ -515,7 +515,7 @@ _CATEGORY = "CASE WHEN event_id % 2 = 0 THEN 'Bugfix' ELSE event_type END"
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies with and without fences, and three kinds of invalid ones."""
     columns = ("event_id", "user_id", "event_type")
-    return table(spark, sf_dir, "events", *columns).selectExpr(
+    return dealt(table(spark, sf_dir, "events", *columns), "event_id").selectExpr(
         "event_id",
         f"""concat('{{"category":"', {_CATEGORY}, '","title":"', {_TITLE},
             '","summary":"s', user_id, '","extra":', event_id, '}}') good""",

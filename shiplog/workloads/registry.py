@@ -30,3 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     """A base table; with `columns`, only these."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return rows.select(*columns) if columns else rows
+
+
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows as a feed lands them: those of a key together, dealt over as many tasks as a shuffle
+    has. The texts of the feed are made of them afterwards, and so do not travel."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, *keys)

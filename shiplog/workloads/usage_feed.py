@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplog import schemas
-from shiplog.workloads.registry import table
+from shiplog.workloads.registry import dealt, table
 
 # Measures of one event, the same text in both engines.
 MEASURE_SQL = {
@@ -29,7 +29,7 @@ EVENTS_SQL = """ev AS (
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("event_id", "ts", "user_id", "event_type", "value", "props")
-    return table(spark, sf_dir, "events", *columns).selectExpr(
+    rows = table(spark, sf_dir, "events", *columns).selectExpr(
         "event_id",
         "ts",
         "cast(ts as date) report_day",
@@ -40,6 +40,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "cast(get_json_object(props, '$.k') as int) k",
     )
+    return dealt(rows, "org_slug", "report_day", "user_id")
 
 
 def daily_lines(ev: DataFrame) -> DataFrame:
