@@ -20,7 +20,7 @@ CHUNK = 1 << 20
 PLACE_BITS = 24
 PLACE = np.uint64((1 << PLACE_BITS) - 1)
 
-_K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
+_K1, _K2, _K3 = map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _SHIFT = np.uint64(32)
 
 

@@ -25,7 +25,6 @@ from shiplog.llm.suffix_buckets import (
     REFINED,
     WINDOW,
     anchors,
-    mix,
     refined,
     window_ids,
 )
@@ -52,7 +51,8 @@ def _anchors_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 of = np.full(len(bucket), row, np.int64)
                 found.append((of, bucket, context, first + at, windows, place - first))
         if found:
-            of, bucket, context, first, windows, place = map(np.concatenate, zip(*found, strict=True))
+            columns = map(np.concatenate, zip(*found, strict=True))
+            of, bucket, context, first, windows, place = columns
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(of),
@@ -70,7 +70,8 @@ def _windows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For texts with their open suffixes: the identifiers of all windows of each suffix."""
     for b in batches:
         out: list[tuple] = []
-        for row, text, suffixes in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+        rows = b.column(0).to_pylist()
+        for row, text, suffixes in zip(rows, b.column(1), b.column(2), strict=True):
             data = np.frombuffer(text.as_buffer(), np.uint8)
             begin = 0
             ids = np.zeros(0, np.uint64)
@@ -128,15 +129,19 @@ def _equal_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _marks(rows: DataFrame) -> DataFrame:
     """(row, start, end) whose union is, in every text, what repeated windows cover."""
     found = stage(rows.mapInArrow(_anchors_of, ANCHOR), "anchors")
+    # Counts are written out before they are joined: between two plain shuffles Spark can split
+    # the rows of a hot bucket, below an aggregate it could not.
     often = found.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    suffixes = stage(found.join(often.select("bucket"), "bucket"), "suffixes")
+    often = stage(often.select("bucket"), "often")
+    suffixes = stage(found.join(often, "bucket"), "suffixes")
 
     one = F.min(F.struct("row", "first", "windows", "place"))
     kinds = suffixes.groupBy("bucket", "context").agg(F.count("*").alias("n"), one.alias("one"))
     kinds = stage(kinds, "contexts")
     # All windows of a context that occurs again are repeated.
     settled = suffixes.join(kinds.filter("n > 1").select("bucket", "context"), ["bucket", "context"])
-    marks = settled.select("row", F.col("first").alias("start"), F.expr(f"first + windows - 1 + {WINDOW}").alias("end"))
+    last = F.col("first") + F.col("windows") - 1
+    marks = settled.select("row", F.col("first").alias("start"), (last + WINDOW).alias("end"))
 
     # Buckets with a context that occurs once, beside others, are refined by single windows;
     # one suffix stands for each context.
@@ -146,7 +151,7 @@ def _marks(rows: DataFrame) -> DataFrame:
         .filter("kinds > 1 and least = 1")
     )
     open_rows = (
-        kinds.join(unlike, "bucket")
+        kinds.join(stage(unlike, "unlike"), "bucket")
         .select("one.*", "bucket", (F.col("kinds") > BUCKET_ROWS).alias("large"))
         .groupBy("row")
         .agg(F.collect_list(F.struct("bucket", "first", "windows", "place", "large")).alias("open"))
@@ -167,12 +172,14 @@ def _marks(rows: DataFrame) -> DataFrame:
         F.expr("first + pos").alias("start"),
     )
     again = single.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1")
-    dealt = single.join(again.select("a", "b"), ["a", "b"])
+    dealt = single.join(stage(again.select("a", "b"), "again"), ["a", "b"])
     dealt = dealt.select("row", "start", (F.col("start") + WINDOW).alias("end"))
     return marks.unionByName(equal).unionByName(dealt)
 
 
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", into: str = "repeated") -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", into: str = "repeated"
+) -> DataFrame:
     """`docs` with the maximal byte runs that repeated windows cover, as (start, end) in `into`.
 
     A window is WINDOW bytes of the text's UTF-8 form; it is repeated if equal bytes start
