@@ -26,12 +26,11 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return rows.select(*columns) if columns else rows
 
 
-def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lost executors re-read files."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

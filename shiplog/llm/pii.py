@@ -8,7 +8,6 @@ so are copies of it in other notations; everything else is outside.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator

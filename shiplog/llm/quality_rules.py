@@ -82,7 +82,8 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     # Every window adds its words up to where the next begins.
     covered = F.transform(
         "__places",
-        lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("__places", k + 1) - p, F.lit(WINDOW))),
+        # least() passes over the null after the last place.
+        lambda p, k: F.least(F.get("__places", k + 1) - p, F.lit(WINDOW)),
     )
     total = F.aggregate(covered, F.lit(0), lambda a, b: a + b)
     found = {
@@ -161,7 +162,8 @@ def _holds(conditions: list[tuple[str, bool, int]]) -> Column:
 
 def _best(rows: DataFrame, rule: list[tuple[str, bool, int]], cuts: dict) -> tuple[float, tuple | None]:
     """The condition that raises FOIL's gain most; ties by name, direction and threshold."""
-    one = F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("bin")) for n in cuts)))
+    each = (F.struct(F.lit(n).alias("name"), F.col(n).alias("bin")) for n in cuts)
+    one = F.explode(F.array(*each))
     counts = (
         rows.filter(~F.col("prunes") & _holds(rule))
         .select(one.alias("at"), "bad")
@@ -220,7 +222,8 @@ def learn_rules(
     known = known.filter(F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000))
     # About `sample_rows` narrow rows, so every task may have them.
     rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__body"))
-    rows = with_statistics(rows.join(F.broadcast(known), "__id"), "__body").filter("not base_failed")
+    rows = with_statistics(rows.join(F.broadcast(known), "__id"), "__body")
+    rows = rows.filter("not base_failed")
     rows = stage(
         rows.select(
             (F.col("__label") == 0).cast("int").alias("bad"),

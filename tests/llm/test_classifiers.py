@@ -115,7 +115,9 @@ def prose(spark, n=400):
 
 
 def test_quality_statistics_and_list(spark):
-    docs = prose(spark).union(hostile(spark).select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id > 2").withColumn("doc_id", F.col("doc_id") + 10_000))
+    docs = prose(spark)
+    strange = hostile(spark).filter("doc_id > 2").withColumn("doc_id", F.col("doc_id") + 10_000)
+    docs = docs.union(strange.select(docs.columns))
     labels = labels_of(spark, docs)
     found = by_id(quality(docs, labels))
     for r in docs.collect():
