@@ -99,6 +99,8 @@ class Items:
         if self.size**SEED_WORDS >= 2**63:
             raise ValueError("too many words in a block of items: lower block_items")
         self.words = [np.array([self.vocabulary[w] for w in t], np.int64) for t in texts]
+        self.length = np.array([len(w) for w in self.words], np.int64)
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
 
     def choose_seeds(self, shares: np.ndarray) -> None:
         """The triples that are rare by the words' shares of the corpus, as sorted arrays."""
@@ -131,7 +133,7 @@ class Items:
         item, start = self.of[hit], np.repeat(at, count) - self.places[hit]
         order = np.lexsort((start, item))
         item, start = item[order], start[order]
-        length = np.array([len(w) for w in self.words])
+        length = self.length
         # Hits whose copies of the item would overlap are aligned together.
         apart = (item[1:] != item[:-1]) | (start[1:] - start[:-1] > length[item[1:]] // 2)
         cuts = [0, *(np.flatnonzero(apart) + 1).tolist(), len(item)] if len(item) else []
@@ -140,11 +142,21 @@ class Items:
             pad = int(length[i]) // 2 + 2
             yield i, max(0, int(start[a]) - pad), int(start[b - 1]) + int(length[i]) + pad
 
+    def may_reach(self, i: int, passage: np.ndarray) -> bool:
+        """Whether the item and the passage share words enough, in whatever order."""
+        known, needed = self.bags[i]
+        at = np.minimum(np.searchsorted(known, passage), len(known) - 1)
+        shared = np.bincount(at[known[at] == passage], minlength=len(known))
+        return np.minimum(shared, needed).sum() >= THRESHOLD * len(self.words[i])
+
     def leaks(self, numbers: np.ndarray) -> list[tuple[int, float, int, int]]:
         """(item, score, first word, end) of each item's best copy, if it reaches THRESHOLD."""
         found: dict[int, tuple[int, float, int, int]] = {}
         for i, a, b in self.passages(numbers):
             item, passage = self.words[i], numbers[a:b]
+            # An alignment scores no more than all shared words in a row would.
+            if not self.may_reach(i, passage):
+                continue
             points, to_item, to = align(item, passage)
             score = points / (MATCH * len(item))
             if score >= THRESHOLD and score > found.get(i, (0, 0.0))[1]:
