@@ -605,9 +605,7 @@ def collect(
 
     With `projects_gate` off, failed project pages do not keep the run from being recorded.
     """
-    project_results = staged(
-        import_projects(store, landing, groups, project_run), "projects", keep=True
-    )
+    project_results = import_projects(store, landing, groups, project_run)
     results = import_merge_requests(store, landing, groups, as_of=as_of, **options)
     outcomes = results.select("group_full_path", F.col("finished").alias("ok"), "error")
     if projects_gate:
@@ -616,6 +614,8 @@ def collect(
                 "group_full_path", F.col("error").isNull().alias("ok"), "error"
             )
         )
+    # The parts' own results go with this job.
+    outcomes = staged(outcomes, "outcomes", keep=True)
     gate = ledger.all_succeeded(outcomes).filter("succeeded")
     now = F.lit(as_of).cast("timestamp")
     store.append(
