@@ -105,7 +105,10 @@ def _links(prints: DataFrame, radius: int) -> DataFrame:
     """Links (a, b) that connect all distinct prints within the radius of each other."""
     cut = prints.select("print", F.explode(_bands(F.col("print"), radius)).alias("block"))
     blocks = stage(cut, "blocks")
-    shared = blocks.groupBy("block").agg(F.count("*").alias("n")).filter("n > 1")
+    # Written out, so that the join stands between two plain shuffles and a hot block is split.
+    shared = stage(
+        blocks.groupBy("block").agg(F.count("*").alias("n")).filter("n > 1"), "shared-blocks"
+    )
     met = blocks.join(shared, "block")
     # A block beyond BLOCK prints is cut into parts by population count and salt; every two
     # parts with counts within the radius meet, so no pair is lost and no task gets it whole.
