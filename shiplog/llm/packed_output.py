@@ -11,6 +11,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from shiplog.llm.token_ids import IDS, Encoder, pieces
 
 PAD_ID = 0
 #: Ids after which a block is packed and written.
-BLOCK_IDS = 4_000_000
+BLOCK_IDS = 2_000_000
 
 
 def block_of(held: list[tuple], capacity: int, pad: int, kind: str) -> dict:
@@ -81,8 +82,9 @@ def packed_blocks(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        kind = "<u2" if max(encoder.tokenizer.get_vocab_size(), end + 1, pad + 1) <= 1 << 16 else "<u4"
-        first = TaskContext.get().partitionId() << 32
+        most = max(encoder.tokenizer.get_vocab_size(), end + 1, pad + 1)
+        kind = "<u2" if most <= 1 << 16 else "<u4"
+        first = TaskContext.get().partitionId() << 20
         held: list[tuple] = []
         size = blocks = 0
         types = None
@@ -134,9 +136,7 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.parquet(path)
 
     @F.pandas_udf("array<bigint>")
-    def digests(ids, dtypes, widths):
-        import pandas as pd
-
+    def digests(ids: pd.Series, dtypes: pd.Series, widths: pd.Series) -> pd.Series:
         out = []
         for data, kind, width in zip(ids, dtypes, widths, strict=True):
             matrix = np.frombuffer(data, kind).reshape(-1, width).astype(IDS)
