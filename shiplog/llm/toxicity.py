@@ -18,8 +18,8 @@ from shiplog.llm.common import in_split
 BITS = 20
 #: Labelled rows to learn from at most; the sample goes by a hash of the id.
 SAMPLE_ROWS = 12_000
-EPOCHS = 5
-ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.01
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 5.0, 1.0, 5.0, 0.001
 TABLE_ENTRIES = 500_000
 EDGES = "\"'`.,;:!?()[]{}<>*&%$#|-_+=~^/\\"
 
@@ -57,7 +57,8 @@ class Features:
             found.append((a * np.uint64(0x9E3779B97F4A7C15) + np.uint64(gap)) ^ (b >> np.uint64(7)))
         mixed = np.concatenate(found)
         mixed ^= mixed >> np.uint64(29)
-        return np.concatenate(rows), ((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(40)) & self.mask
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        return np.concatenate(rows), (mixed >> np.uint64(40)) & self.mask
 
 
 def distinct(row: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +132,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, r
 
     rows_of = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("body"))
     chosen = rows_of.join(F.broadcast(sample), "id").select("id", "y", "body")
-    taught = chosen.mapInArrow(features, f"id {rows_of.schema['id'].dataType.simpleString()}, y int, f array<int>")
+    kind = rows_of.schema["id"].dataType.simpleString()
+    taught = chosen.mapInArrow(features, f"id {kind}, y int, f array<int>")
     # A hard bound on what meets in the one task that learns, in an order that is random in kind.
     taught = taught.orderBy(order, "id", "y", "f").limit(rows)
     # At most one row per coordinate, few of them by L1.
