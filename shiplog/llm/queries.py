@@ -7,17 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shiplog.llm.bpe_codec import codec_report, encoded
 from shiplog.llm.common import read
 from shiplog.llm.decontamination import contaminated
 from shiplog.llm.language_id import language_id
 from shiplog.llm.packed_output import read_sequences, write_packed
 from shiplog.llm.packing import pack
+from shiplog.llm.periodic_runs import periodic_runs, run_report, with_planted_runs
 from shiplog.llm.pii import personal_data
 from shiplog.llm.quality_rules import quality
 from shiplog.llm.simhash import simhash_groups
 from shiplog.llm.suffix_dedup import without_repeats
 from shiplog.llm.token_counts import token_counts
 from shiplog.llm.toxicity import toxicity
+from shiplog.llm.whitening import component_rows, whitened
 from shiplog.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +71,19 @@ def op10_packed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_sequences(spark, path)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return run_report(periodic_runs(docs))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return component_rows(whitened(read(spark, sf_dir, "embeddings", "vec_id", "embedding")))
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_report(encoded(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -79,6 +95,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_packed_output": op10_packed_output,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_bpe_codec": op13_bpe_codec,
 }
 #: SQL has no tokenizer, learned model, alignment or packing: these queries are tested against
 #: brute force, held-out labels and round trips in tests/llm.
