@@ -14,6 +14,7 @@ import json
 import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -31,11 +32,11 @@ IDS = np.dtype("<u4")
 #: Chunks that all tasks get encoded: the most shared ones, a few KB at most each.
 SHARED_CHUNKS = 2_048
 #: Bytes of chunks that a task keeps encoded before it starts again.
-TABLE_BYTES = 24_000_000
+TABLE_BYTES = 8_000_000
 #: Bytes on each side of a join that are encoded first.
 WINDOW = 24
 #: Bytes of texts worked on together.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 WORD_END = "</w>"
 #: Bytes that words are cut at.
 WHITE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
@@ -65,12 +66,7 @@ class Words:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.specials = [t["content"] for t in spec["added_tokens"]]
@@ -81,6 +77,17 @@ class Words:
         if kinds == ["NFC", "Replace", "Lowercase"] and pattern == PRE_TOKEN:
             self.plain = self._ranks(spec["model"])
 
+    @cached_property
+    def tokenizer(self):
+        """The library's, loaded when a word needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def _ranks(self, model: dict):
         """The merges as tiktoken's ranks; None unless they give every token in one way."""
         import tiktoken
@@ -385,7 +392,7 @@ def shared_chunks(bodies: DataFrame, path: str, count: int = SHARED_CHUNKS) -> l
 
 def slices(values: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of values of bounded size; a longer one stands alone."""
-    sizes = np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(values):
         done = int(sizes[start - 1]) if start else 0
@@ -448,21 +455,27 @@ def decoded(rows: DataFrame, path: str | None = None) -> DataFrame:
     As the library decodes with a vocabulary that names no decoder: the tokens, separated by spaces.
     Ids that the vocabulary lacks give nothing; null ids a null text. Repeated rows stay as they are.
     """
-    path = path or tokenizer_path(WORD_FILE)
+    tokens = token_texts(path or tokenizer_path(WORD_FILE))
 
     @F.pandas_udf("string")
-    def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = token_texts(path)
-        for batch in batches:
-            yield pd.Series([None if x is None else decode(x, tokens) for x in batch], dtype=object)
+    def texts(ids: pd.Series) -> pd.Series:
+        values, out = pa.array(ids, pa.binary()), []
+        for start, end in slices(values):
+            out.append(decode(values.slice(start, end - start), tokens).to_pandas())
+        return pd.concat(out) if out else pd.Series([], dtype=object)
 
     return rows.withColumn("decoded", texts("ids"))
 
 
-def decode(ids: bytes, tokens: pa.Array) -> str:
-    known = np.frombuffer(ids, IDS)
-    found = tokens.take(pa.array(known[known < len(tokens)])).drop_null()
-    return " ".join(found.to_pylist())
+def decode(ids: pa.Array, tokens: pa.Array) -> pa.Array:
+    """The texts of lists of ids."""
+    sizes = pc.fill_null(pc.binary_length(ids), 0).to_numpy(zero_copy_only=False) // IDS.itemsize
+    known = np.frombuffer(b"".join(x for x in ids.to_pylist() if x), IDS)
+    found = tokens.take(pa.array(np.minimum(known, len(tokens)), mask=known >= len(tokens)))
+    real = found.is_valid().to_numpy(zero_copy_only=False)
+    ends = np.r_[0, np.cumsum(real)][np.r_[0, np.cumsum(sizes)]].astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), found.drop_null())
+    return pc.if_else(ids.is_valid(), pc.binary_join(lists, " "), pa.scalar(None, pa.string()))
 
 
 def codec_report(rows: DataFrame) -> DataFrame:
