@@ -35,7 +35,9 @@ def ids_of(library, text):
 
 
 def test_counts_and_ids_are_the_librarys(library):
-    texts = [*strange(3000), *(t or "" for t in TEXTS)]
+    rng = random.Random(11)
+    blanks = ["".join(rng.choices(" \n\t\xa0\x1cab'", k=rng.randrange(40))) for _ in range(3000)]
+    texts = [*strange(3000), *blanks, *(t or "" for t in TEXTS)]
     want = [ids_of(library, t) for t in texts]
     path = tokenizer_path()
     assert Counter(path).count(texts) == [len(w) for w in want]
