@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplog.llm import chunks
-from shiplog.llm.common import prepared, stage, tokenizer_path
+from shiplog.llm.common import prepared, slices, stage, tokenizer_path
 
 WORD_FILE = "word_bpe_49k.json"
 IDS = np.dtype("<u4")
@@ -154,7 +154,8 @@ class Words:
         room = np.arange(len(letters)) + np.cumsum(ends) - ends
         marked = np.zeros(len(letters) + int(ends.sum()), np.uint32)
         marked[room] = letters
-        rank = np.array(self.plain.encode_ordinary(marked.tobytes().decode("utf-32-le")), np.int64)
+        text = marked.tobytes().decode("utf-32-le")
+        rank = np.array(self.plain.encode_ordinary(text), np.int64)
         word_ends = np.cumsum(1 + (letters > 0x7F))[last]
         upto = np.searchsorted(np.cumsum(self.sizes[rank]), word_ends, "right")
         return self.ids[rank], np.diff(upto, prepend=0)
@@ -390,17 +391,6 @@ def shared_chunks(bodies: DataFrame, path: str, count: int = SHARED_CHUNKS) -> l
     return [tuple(map(bytes, r)) for r in encoded.collect()]
 
 
-def slices(values: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of values of bounded size; a longer one stands alone."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(values):
-        done = int(sizes[start - 1]) if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, "right")))
-        yield start, end
-        start = end
-
-
 def encoded(
     docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None
 ) -> DataFrame:
@@ -423,7 +413,7 @@ def encoded(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path, shared)
         for batch in batches:
-            for start, end in slices(batch.column(1)):
+            for start, end in slices(batch.column(1), SLICE_BYTES):
                 part = batch.slice(start, end - start)
                 ids = codec.encode(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
@@ -460,7 +450,7 @@ def decoded(rows: DataFrame, path: str | None = None) -> DataFrame:
     @F.pandas_udf("string")
     def texts(ids: pd.Series) -> pd.Series:
         values, out = pa.array(ids, pa.binary()), []
-        for start, end in slices(values):
+        for start, end in slices(values, SLICE_BYTES):
             out.append(decode(values.slice(start, end - start), tokens).to_pandas())
         return pd.concat(out) if out else pd.Series([], dtype=object)
 

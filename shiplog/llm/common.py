@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,28 @@ def boxed(docs: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
 
 
+def slices(values: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """Ranges (start, end) of texts of `most_bytes` together; a longer one stands alone."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(values):
+        done = int(sizes[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, done + most_bytes, "right")))
+        yield start, end
+        start = end
+
+
+def sampled(rows: DataFrame, order: Column, count: int) -> DataFrame:
+    """The `count` rows of least `order`, a hash, or all rows if there are fewer.
+
+    A first pass over the hashes alone finds the greatest one to take, so that the second one
+    brings together hardly more rows than that, however many there are.
+    """
+    least = rows.select(order.alias("hash")).orderBy("hash").limit(count)
+    last = least.agg(F.max("hash")).first()[0]
+    return rows.filter(order <= F.lit(last)).orderBy(order).limit(count)
+
+
 def in_split(column: str, parts: int, held: int) -> Column:
     """Whether crc32 of the id as text leaves another remainder than `held`; false for null."""
     rest = F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(parts))

@@ -1,9 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 Test items are a query set, taken in blocks of bounded size; each block meets all documents. A
-first pass counts the items' words in the corpus; word triples that would be rare by chance are
-the seeds. A second pass joins them with the documents' triples and aligns the words around each
-hit with the whole item, so that edited copies are scored too.
+first pass counts the items' words in the corpus; triples of words that would be rare by chance
+are the seeds: three neighbours, or three of four, so that a copy in which every third word is
+another one has seeds too. A second pass joins them with the documents' triples and aligns the
+words around each hit with the whole item, so that edited copies are scored.
 """
 
 from __future__ import annotations
@@ -14,15 +15,18 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiplog.llm.common import boxed
+from shiplog.llm.common import boxed, prepared, slices, stage
 
+#: Places of a seed's words. The last two are for items of one and two words: the whole item.
+SHAPES = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0,), (0, 1))
 SEED_WORDS = 3
 #: Chance of a triple at a place of the corpus, by its words' shares, up to which it is rare;
-#: this many of an item's rarest triples are seeds in any case.
+#: this many of an item's rarest triples of each shape are seeds in any case.
 RARE = 1e-6
 LEAST_SEEDS = 5
 #: Of the score of the whole item: from here on a passage is a copy.
@@ -30,43 +34,42 @@ THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Items that meet the documents at once, about.
 BLOCK_ITEMS = 10_000
-TABLE_ENTRIES = 500_000
 EDGES = "\"'`.,;:!?()[]{}<>*&%$#|-_+=~^/\\"
-NO_WORD, OTHER = -2, -1
+OTHER = -1
+#: Bytes of texts that are cut into words together.
+SLICE_BYTES = 4_000_000
 
 
-def words(text: str | None) -> list[str]:
-    """Lower case, cut at white space, without marks at the ends."""
-    return [w for p in (text or "").lower().split() if (w := p.strip(EDGES))]
-
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, and where each text's words begin and end: lower case, cut at white
+    space, without marks at the ends."""
+    parts = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    words_, ends = pc.ascii_trim(parts.flatten(), characters=EDGES), parts.offsets.to_numpy()
+    real = pc.not_equal(pc.binary_length(words_), 0).to_numpy(zero_copy_only=False)
+    return words_.filter(pa.array(real)), np.r_[0, np.cumsum(real)][ends - ends[0]]
 
-class Numbers(dict):
-    """Number of a part of a text: of its word among the items' words, or OTHER, or NO_WORD."""
 
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary = vocabulary
+def words(text: str | None) -> list[str]:
+    return cut(pa.array([text], pa.string()))[0].to_pylist()
 
-    def __missing__(self, part: str) -> int:
-        if len(self) > TABLE_ENTRIES:
-            self.clear()
-        word = part.strip(EDGES)
-        self[part] = found = self.vocabulary.get(word, OTHER) if word else NO_WORD
-        return found
 
-    def of(self, text: str | None) -> np.ndarray:
-        parts = (text or "").lower().split()
-        found = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
-        return found[found != NO_WORD]
+def numbers(texts: pa.Array, vocabulary: pa.Array) -> Iterator[np.ndarray]:
+    """Each text's words by their place in the vocabulary; OTHER where it lacks them."""
+    for start, end in slices(texts, SLICE_BYTES):
+        found, bounds = cut(texts.slice(start, end - start))
+        known = pc.fill_null(pc.index_in(found, value_set=vocabulary), OTHER)
+        yield from np.split(known.to_numpy().astype(np.int64), bounds[1:-1])
 
 
-def triples(numbers: np.ndarray, size: int) -> np.ndarray:
-    """Every SEED_WORDS neighbours as one number, -1 where a word is none of the items'."""
-    n = len(numbers) - SEED_WORDS + 1
+def seeds(words_: np.ndarray, size: int, shape: int) -> np.ndarray:
+    """The words at the places of a shape, from each word on, as one number; -1 where a word is
+    none of the items'."""
+    places = SHAPES[shape]
+    n = len(words_) - places[-1]
     if n <= 0:
         return np.zeros(0, np.int64)
-    parts = [numbers[i : i + n] for i in range(SEED_WORDS)]
-    key = reduce(lambda a, b: a * size + b, parts)
+    parts = [words_[i : i + n] for i in places]
+    key = reduce(lambda a, b: a * size + b, parts) + shape * size**SEED_WORDS
     return np.where(np.min(parts, axis=0) < 0, -1, key)
 
 
@@ -93,44 +96,55 @@ class Items:
 
     def __init__(self, rows: list[tuple]):
         self.ids = [r[0] for r in rows]
-        texts = [words(r[1]) for r in rows]
-        self.vocabulary = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
+        found, bounds = cut(pa.array([r[1] for r in rows], pa.string()))
+        self.vocabulary = found.unique().sort()
         self.size = len(self.vocabulary) + 1
-        if self.size**SEED_WORDS >= 2**63:
+        if len(SHAPES) * self.size**SEED_WORDS >= 2**63:
             raise ValueError("too many words in a block of items: lower block_items")
-        self.words = [np.array([self.vocabulary[w] for w in t], np.int64) for t in texts]
+        known = pc.index_in(found, value_set=self.vocabulary).to_numpy().astype(np.int64)
+        self.words = np.split(known, bounds[1:-1]) if rows else []
         self.length = np.array([len(w) for w in self.words], np.int64)
         self.bags = [np.unique(w, return_counts=True) for w in self.words]
+        self.shapes: list[int] = []
 
     def choose_seeds(self, shares: np.ndarray) -> None:
-        """The triples that are rare by the words' shares of the corpus, as sorted arrays."""
+        """The seeds that are rare by the words' shares of the corpus, as sorted arrays. Of items
+        of one or two words the whole item is the only seed."""
         keys, items, places = [], [], []
         for i, w in enumerate(self.words):
-            key = triples(w, self.size)
-            if not len(key):
-                continue
-            chance = reduce(np.multiply, [shares[w[k : k + len(key)]] for k in range(SEED_WORDS)])
-            rank = np.argsort(np.argsort(chance, kind="stable"), kind="stable")
-            kept = np.flatnonzero((chance <= RARE) | (rank < LEAST_SEEDS))
-            keys.append(key[kept])
-            items.append(np.full(len(kept), i))
-            places.append(kept)
+            for shape in (0, 1, 2) if len(w) >= SEED_WORDS else (2 + len(w),) if len(w) else ():
+                key = seeds(w, self.size, shape)
+                if not len(key):
+                    continue
+                chance = reduce(np.multiply, [shares[w[k : k + len(key)]] for k in SHAPES[shape]])
+                rank = np.argsort(np.argsort(chance, kind="stable"), kind="stable")
+                kept = np.flatnonzero((chance <= RARE) | (rank < LEAST_SEEDS))
+                keys.append(key[kept])
+                items.append(np.full(len(kept), i))
+                places.append(kept)
         none = [np.zeros(0, np.int64)]
         keys, items, places = (np.concatenate(x or none) for x in (keys, items, places))
         order = np.argsort(keys, kind="stable")
         self.keys, self.of, self.places = keys[order], items[order], places[order]
-
-    def passages(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        self.shapes = np.unique(self.keys // self.size**SEED_WORDS).tolist()
+
+    def hits(self, words_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, where the item would begin) of every seed in a document."""
+        found, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for shape in self.shapes:
+            key = seeds(words_, self.size, shape)
+            at = np.flatnonzero(key >= 0)
+            low, high = (np.searchsorted(self.keys, key[at], side) for side in ("left", "right"))
+            count = high - low
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            hit = np.repeat(low, count) + step
+            found.append(self.of[hit])
+            starts.append(np.repeat(at, count) - self.places[hit])
+        return np.concatenate(found), np.concatenate(starts)
+
+    def passages(self, words_: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, first word, end) of the document's parts that hold seeds of an item."""
-        key = triples(numbers, self.size)
-        at = np.flatnonzero(key >= 0)
-        if not len(at) or not len(self.keys):
-            return
-        low, high = (np.searchsorted(self.keys, key[at], side) for side in ("left", "right"))
-        count = high - low
-        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        hit = np.repeat(low, count) + step
-        item, start = self.of[hit], np.repeat(at, count) - self.places[hit]
+        item, start = self.hits(words_)
         order = np.lexsort((start, item))
         item, start = item[order], start[order]
         length = self.length
@@ -149,11 +163,11 @@ class Items:
         shared = np.bincount(at[known[at] == passage], minlength=len(known))
         return np.minimum(shared, needed).sum() >= THRESHOLD * len(self.words[i])
 
-    def leaks(self, numbers: np.ndarray) -> list[tuple[int, float, int, int]]:
+    def leaks(self, words_: np.ndarray) -> list[tuple[int, float, int, int]]:
         """(item, score, first word, end) of each item's best copy, if it reaches THRESHOLD."""
         found: dict[int, tuple[int, float, int, int]] = {}
-        for i, a, b in self.passages(numbers):
-            item, passage = self.words[i], numbers[a:b]
+        for i, a, b in self.passages(words_):
+            item, passage = self.words[i], words_[a:b]
             # An alignment scores no more than all shared words in a row would.
             if not self.may_reach(i, passage):
                 continue
@@ -170,11 +184,12 @@ def _shares(docs: DataFrame, text: str, items: Items) -> np.ndarray:
     vocabulary, size = items.vocabulary, items.size
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, total = Numbers(vocabulary), np.zeros(size, np.int64)
+        total = np.zeros(size, np.int64)
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for start, end in slices(b.column(0), SLICE_BYTES):
+                known = pc.index_in(cut(b.column(0).slice(start, end - start))[0], value_set=vocabulary)
                 # The last place counts the words that no item has.
-                total += np.bincount(numbers.of(t) % size, minlength=size)
+                total += np.bincount(pc.fill_null(known, size - 1).to_numpy(), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["word", "n"])
 
@@ -207,10 +222,14 @@ def find_leaks(
     """`docs` with the test items that their whole texts hold copies of, in `into`.
 
     A list of (item, score, first word, end): the score is that of the best local alignment of
-    words over that of the whole item, THRESHOLD at least. Null and empty texts hold none, items
-    of fewer than SEED_WORDS words are not found. Items with a null key are sought like others.
-    Rows, also repeated ones, keep their columns; one called `into` is replaced.
+    words over that of the whole item, THRESHOLD at least; of equal ones the first. Null and empty
+    texts hold none. Items of one or two words are found where they stand exactly, those without
+    words never. Items with a null key are sought like others, repeated ones once. Rows, also
+    repeated ones, keep their columns; one called `into` is replaced; without items every list is
+    empty. Each block of `block_items` items scans the texts twice; blocks follow one another, so
+    that the driver and the tasks hold one at a time.
     """
+    prepared(docs.sparkSession)
     leak = T.StructType(
         [
             T.StructField("item", items.schema[item_key].dataType),
@@ -223,30 +242,35 @@ def find_leaks(
     def search(block: Items) -> Column:
         @F.pandas_udf(T.ArrayType(leak))
         def leaks_of(texts: pd.Series) -> pd.Series:
-            numbers = Numbers(block.vocabulary)
             names = ("item", "score", "first", "end")
+            found = numbers(pa.array(texts, pa.string()), block.vocabulary)
             return pd.Series(
                 [
                     [
                         dict(zip(names, (block.ids[i], *rest), strict=True))
-                        for i, *rest in block.leaks(numbers.of(t))
+                        for i, *rest in block.leaks(words_)
                     ]
-                    for t in texts
+                    for words_ in found
                 ],
                 dtype=object,
             )
 
         return leaks_of(F.col(text).cast("string"))
 
-    found = [F.array().cast(T.ArrayType(leak))]
-    for block in _blocks(items, item_key, item_text, block_items):
+    rows = docs.withColumn(into, F.array().cast(T.ArrayType(leak)))
+    for n, block in enumerate(_blocks(items, item_key, item_text, block_items)):
+        rows = stage(rows, "leaks") if n else rows
         block.choose_seeds(_shares(docs, text, block))
-        found.append(search(block))
-    return docs.withColumn(into, F.concat(*found) if len(found) > 1 else found[0])
+        rows = rows.withColumn(into, F.concat(into, search(block)) if n else search(block))
+    return rows
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document and item that it holds: (key, item_id, score, first_word, end_word)."""
+    """One row per document and item that it holds: (key, item_id, score, first_word, end_word).
+
+    Repeated documents and those with null keys give their rows each; null and empty texts, and
+    empty tables, give none. See `find_leaks` for items.
+    """
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
     found = find_leaks(narrow, items, "body", into="found")
     return found.select("key", F.explode("found").alias("leak")).select(
@@ -259,7 +283,10 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `docs` that hold no copy of an item."""
+    """The rows of `docs` that hold no copy of an item, with all their columns.
+
+    Rows with null and empty texts stay, as do repeated ones; without items all rows stay.
+    """
     rows = docs.select(boxed(docs), F.col(text).alias("body"))
     found = find_leaks(rows, items, "body", into="found")
     return found.filter(F.size("found") == 0).select("row.*")

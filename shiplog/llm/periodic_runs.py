@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import prepared
+from shiplog.llm.common import prepared, slices
 
 #: A run has this many periods and words at least.
 PERIODS, WORDS = 4, 6
@@ -133,17 +133,6 @@ def runs_of(codes: np.ndarray, bounds: np.ndarray) -> tuple[list[list[Run]], np.
     return runs, np.cumsum(change)[:-1] == 0
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of bounded size; a longer text stands alone."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(texts):
-        done = int(sizes[start - 1]) if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, "right")))
-        yield start, end
-        start = end
-
-
 def periodic_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, runs, collapsed) for every row of `docs`, in one pass, no shuffle.
 
@@ -163,7 +152,7 @@ def periodic_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in _slices(batch.column(1)):
+            for start, end in slices(batch.column(1), SLICE_BYTES):
                 part = batch.slice(start, end - start)
                 words, bounds = split_words(part.column(1))
                 codes = words.dictionary_encode().indices.to_numpy().astype(np.int64)
