@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiplog.llm.common import boxed
+from shiplog.llm.common import boxed, sampled
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with a digit or an at sign to learn from at most; the sample goes by a hash.
@@ -344,16 +344,8 @@ def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
 
 def learn(docs: DataFrame, text: str, rows: int) -> dict[int, float]:
     """Weights other than zero, learned in one task from at most `rows` documents."""
-    body = F.col(text).cast("string")
-    share = min(1.0, 4 * rows / max(1, docs.count()))
-    order = F.xxhash64("body")
-    sample = (
-        docs.select(body.alias("body"))
-        .filter(F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000))
-        .filter(F.col("body").rlike("[0-9@]"))
-        .orderBy(order, "body")
-        .limit(rows)
-    )
+    bodies = docs.select(F.col(text).cast("string").alias("body"))
+    sample = sampled(bodies.filter(F.col("body").rlike("[0-9@]")), F.xxhash64("body"), rows)
 
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = train([t for b in batches for t in b.column(0).to_pylist()])

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import boxed, prepared, stage
+from shiplog.llm.common import boxed, prepared, sampled, stage
 
 BLANK = r"\x20\x09-\x0D"
 SYMBOLS = r"[#*$%&|<>]"
@@ -210,17 +210,15 @@ def learn_rules(
     label: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
 ) -> list[Rule]:
-    """Rules that reject, learned from about `sample_rows` labelled documents.
+    """Rules that reject, learned from the documents of `sample_rows` labelled ids at most.
 
     A repeated id takes its smallest label; null ids and labels teach nothing; without labelled
     rows of both kinds the list is empty. Rows that fail the base rules teach nothing either.
     """
     prepared(docs.sparkSession)
     known = labels.groupBy(F.col(key).alias("__id")).agg(F.min(label).alias("__label")).dropna()
-    share = min(1.0, sample_rows / max(1, labels.count()))
-    order = F.xxhash64("__id")
-    known = known.filter(F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000))
-    # About `sample_rows` narrow rows, so every task may have them.
+    # At most `sample_rows` narrow rows, so every task may have them.
+    known = sampled(known, F.xxhash64("__id"), sample_rows)
     rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__body"))
     rows = with_statistics(rows.join(F.broadcast(known), "__id"), "__body")
     rows = rows.filter("not base_failed")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.llm.common import in_split
+from shiplog.llm.common import in_split, sampled
 
 BITS = 20
 #: Labelled rows to learn from at most; the sample goes by a hash of the id.
@@ -103,10 +103,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, r
     """
     known = labels.groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("y"))
     known = known.filter(F.col("y").isNotNull() & F.col("id").isNotNull())
-    share = min(1.0, rows / max(1, labels.count()))
     order = F.xxhash64("id")
-    # Bounded by `rows` narrow rows on average, so every task may have it.
-    sample = known.filter(F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000))
+    # At most `rows` narrow rows, so every task may have them.
+    sample = sampled(known, order, rows)
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features()

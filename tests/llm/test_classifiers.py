@@ -8,6 +8,7 @@ from collections import Counter
 from cases import SCHEMA, by_id, empty, hostile
 from pyspark.sql import functions as F
 
+from shiplog.llm.common import sampled
 from shiplog.llm.language_id import language_id
 from shiplog.llm.quality_rules import BASE, keep_good, learn_rules, quality
 from shiplog.llm.toxicity import toxicity
@@ -141,3 +142,16 @@ def test_quality_on_hostile_tables(spark):
     assert kept.count() == sum(r.kept for r in found)
     assert quality(empty(spark), labels).count() == 0
     assert learn_rules(docs, labels.limit(0)) == []
+
+
+def test_samples_are_full_whatever_the_table_claims_to_hold(spark, monkeypatch):
+    rows = spark.range(5000).withColumn("doc_id", F.col("id"))
+    order = F.xxhash64("doc_id")
+    least = sorted(r[0] for r in rows.select(order).collect())[:700]
+    with monkeypatch.context() as patched:
+        patched.setattr(type(rows), "count", lambda self: 10**11)
+        found = sampled(rows, order, 700)
+        every = sampled(rows, order, 9000).collect()
+        none = sampled(rows.limit(0), order, 5).collect()
+    assert sorted(r[0] for r in found.select(order).collect()) == least
+    assert len(every) == 5000 and none == []
