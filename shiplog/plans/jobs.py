@@ -529,8 +529,7 @@ def import_merge_requests(
             rows.withColumns({f"_{c}": F.col(c) for c in order}), ["mr_id"], [f"_{c}" for c in order]
         )
         firsts = staged(firsts, "first-arrivals")
-        # The table may be far larger than the batch: its ids are cut down to the batch first.
-        known = merge.existing(store.read("merge_requests").select("mr_id"), firsts, ["mr_id"])
+        known = store.holding("merge_requests", firsts)
         rows = merge.new_only(firsts, known, ["mr_id"])
     rows = staged(rows, "merge-requests")
     batch = _summarized(store, landing, rows, summarizer, now)

@@ -1,14 +1,16 @@
 """Tables on disk: parquet folders under one root.
 
 Merged tables are partitioned, so a batch rewrites only the partitions it touches. Usage facts are
-partitioned by org and day; tables without a natural partition by a hash of their key.
+partitioned by org and day. Tables without a natural partition are partitioned by arrival: keys
+that come together lie together, and a key directory, itself a table, tells which partition holds
+a key. Later changes mostly concern what came lately, so they touch few partitions.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +18,25 @@ from pyspark.sql import types as T
 
 from shiplog import schemas
 from shiplog.operators.audits import REQUIRED_COLUMNS, audit
-from shiplog.operators.merge import MERGE_REQUEST_POLICY, PROJECT_POLICY, MergePolicy, merge_by_key
+from shiplog.operators.merge import (
+    MERGE_REQUEST_POLICY,
+    PROJECT_POLICY,
+    MergePolicy,
+    existing,
+    merge_by_key,
+)
 from shiplog.operators.usage_facts import USAGE_POLICY
 from shiplog.session import staged
 
-BUCKET = "key_bucket"
+ARRIVAL = "arrival"
+#: Marks a root whose tables are laid out as here.
+LAYOUT = "_layout-key-directory"
+#: Files of a key directory after which it is written anew in sorted ones.
+DIRECTORY_FILES = 200
 
 
 class BrokenTable(Exception):
-    """Rows that a table must not hold: found before they replaced any, or in new partitions."""
+    """Rows that a table must not hold: found before any was published."""
 
 
 @dataclass(frozen=True)
@@ -32,32 +44,50 @@ class Table:
     schema: T.StructType
     policy: MergePolicy | None = None
     partitions: tuple[str, ...] = ()
-    hashed: bool = False
+
+    @property
+    def by_arrival(self) -> bool:
+        return self.partitions == (ARRIVAL,)
+
+    @property
+    def stored(self) -> T.StructType:
+        arrival = [T.StructField(ARRIVAL, T.IntegerType())] * self.by_arrival
+        return T.StructType([*self.schema.fields, *arrival])
+
+    def directory(self) -> Table:
+        """(key, arrival): where each key lies, for good."""
+        keys = [self.schema[k] for k in self.policy.keys]
+        return Table(T.StructType([*keys, T.StructField(ARRIVAL, T.IntegerType())]))
 
 
 TABLES = {
-    "projects": Table(schemas.PROJECTS, PROJECT_POLICY, (BUCKET,), hashed=True),
-    "merge_requests": Table(schemas.MERGE_REQUESTS, MERGE_REQUEST_POLICY, (BUCKET,), hashed=True),
+    "projects": Table(schemas.PROJECTS, PROJECT_POLICY, (ARRIVAL,)),
+    "merge_requests": Table(schemas.MERGE_REQUESTS, MERGE_REQUEST_POLICY, (ARRIVAL,)),
     "usage_facts": Table(schemas.USAGE_FACTS, USAGE_POLICY, ("org_slug", "report_day")),
     "collector_runs": Table(schemas.COLLECTOR_RUNS),
     "usage_runs": Table(schemas.USAGE_RUNS),
     "import_events": Table(schemas.IMPORT_EVENTS),
     "model_replies": Table(schemas.MODEL_REPLIES),
 }
+TABLES |= {f"{name}_keys": t.directory() for name, t in TABLES.items() if t.by_arrival}
 
 
 @dataclass
 class Store:
+    """One job writes at a time; readers may read at any time."""
+
     spark: SparkSession
     root: str
-    # Fixed for the life of a store: it decides where a key lies.
-    buckets: int = 64
+    # Rows after which new keys go to a new partition; may change from one job to the next.
+    part_rows: int = 250_000
     _fs: object = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
         self.root = self.root.rstrip("/")
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         self._fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if self._exists(self._path("collector_runs")) and not self._exists(f"{self.root}/{LAYOUT}"):
+            raise ValueError(f"the tables under {self.root} are laid out in another way")
 
     # ------------------------------------------------------------ reading
 
@@ -66,7 +96,7 @@ class Store:
         return self._read_partitioned(name).select(*table.schema.fieldNames())
 
     def _read_partitioned(self, name: str) -> DataFrame:
-        schema = _stored_schema(TABLES[name])
+        schema = TABLES[name].stored
         if not self._exists(self._path(name)):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self._path(name))
@@ -76,9 +106,10 @@ class Store:
     def create(self, seed: bool = True) -> None:
         """Write the empty tables and, for a new store, the seed run."""
         fresh = not self._exists(self._path("collector_runs"))
+        self._mark(self.root, LAYOUT)
         for name, table in TABLES.items():
             if not self._exists(self._path(name)):
-                empty = self.spark.createDataFrame([], _stored_schema(table))
+                empty = self.spark.createDataFrame([], table.stored)
                 # A partitioned table starts as an empty folder; its first merge adds partitions.
                 if table.partitions:
                     self._fs.mkdirs(self._hadoop_path(self._path(name)))
@@ -102,32 +133,88 @@ class Store:
     def merge(self, name: str, folded: DataFrame, touched: DataFrame | None = None) -> None:
         """Merge a folded batch into a table by its policy.
 
-        Reads and rewrites only the touched partitions. A batch whose partitions are all new, as
-        on a normal day, is written once and without a join. A caller that knows the partitions
-        of its batch passes them as `touched` and saves writing the batch aside to find them.
+        Reads and rewrites only the touched partitions; if all are new, as on a normal day, the
+        batch is written once and without a join. A caller that knows the partitions of its
+        batch passes them as `touched` and saves writing the batch aside to find them.
         """
         table = TABLES[name]
-        batch = self._with_partitions(name, folded)
+        batch = self._placed(name, folded) if table.by_arrival else folded
+        batch = batch.select(*table.stored.fieldNames())
         if touched is None:
             batch = staged(batch, f"{name}-batch")
             touched = staged(batch.select(*table.partitions).distinct(), f"{name}-touched")
         target = self._touched(name, touched)
         if target.isEmpty():
-            self._write(name, self._sized(name, batch), self._path(name))
-            self._refuse_broken(name, self._touched(name, touched))
+            self._publish(name, batch)
             return
-        merged = merge_by_key(target.select(*table.schema.fieldNames()), batch, table.policy)
-        self._publish(name, self._with_partitions(name, merged))
+        # A key lies in one partition, so that partitions may be joined one by one.
+        keys = tuple(dict.fromkeys((*table.policy.keys, *table.partitions)))
+        self._publish(name, merge_by_key(target, batch, replace(table.policy, keys=keys)))
 
     def insert(self, name: str, folded: DataFrame) -> None:
         """Add rows whose keys the table does not hold: files are added, none is read or changed."""
         table = TABLES[name]
-        batch = staged(self._with_partitions(name, folded), f"{name}-batch")
+        batch = self._placed(name, folded) if table.by_arrival else folded
+        batch = staged(batch.select(*table.stored.fieldNames()), f"{name}-batch")
         self._refuse_broken(name, batch)
         self._sized(name, batch).write.mode("append").partitionBy(*table.partitions).parquet(
             self._path(name)
         )
 
+    def holding(self, name: str, rows: DataFrame) -> DataFrame:
+        """The keys of `rows` that a table by arrival holds; reads the partitions they point to."""
+        keys = list(TABLES[name].policy.keys)
+        wanted = rows.select(*keys)
+        found = self._look_up(name, wanted)
+        return existing(wanted, self._touched(name, found.select(ARRIVAL).distinct()), keys)
+
+    # ------------------------------------------------------------ the key directory
+    # Keys are entered before the rows are published. A job that dies in between leaves entries
+    # without rows; the next batch with such a key puts its row where the entry says.
+
+    def _look_up(self, name: str, wanted: DataFrame) -> DataFrame:
+        """(key, arrival) of the wanted keys that the directory has; `wanted` is read twice."""
+        keys = list(TABLES[name].policy.keys)
+        directory = self.read(f"{name}_keys")
+        # Keys that come together are often alike: files of others are skipped by their bounds.
+        least, most = wanted.agg(F.min(keys[0]), F.max(keys[0])).first()
+        directory = directory.filter(F.col(keys[0]).between(F.lit(least), F.lit(most)))
+        found = directory.join(wanted, keys, "left_semi")
+        return staged(found.groupBy(*keys).agg(F.min(ARRIVAL).alias(ARRIVAL)), f"{name}-places")
+
+    def _placed(self, name: str, folded: DataFrame) -> DataFrame:
+        """The batch with the partition of each row; new keys are entered in the directory.
+
+        New keys go to the last partition while it has room, else to as many new ones as they fill.
+        """
+        table = TABLES[name]
+        keys = list(table.policy.keys)
+        batch = staged(folded.select(*table.schema.fieldNames()), f"{name}-arrived")
+        places = self._look_up(name, batch.select(*keys))
+        fresh = staged(batch.select(*keys).join(places, keys, "left_anti"), f"{name}-new-keys")
+        n = fresh.count()
+        if n:
+            directory = self.read(f"{name}_keys")
+            filled = directory.groupBy(ARRIVAL).count()
+            last = filled.agg(F.max_by(F.struct(ARRIVAL, "count"), ARRIVAL).alias("p")).first()["p"]
+            part, held = last or (0, 0)
+            if held and held + n > self.part_rows:
+                part, held = part + 1, 0
+            parts = max(1, -(-n // self.part_rows)) if not held else 1
+            spread = F.pmod(F.xxhash64(*keys), F.lit(parts)) + part
+            fresh = staged(fresh.select(*keys, spread.cast("int").alias(ARRIVAL)), f"{name}-entries")
+            self.append(f"{name}_keys", fresh.orderBy(*keys))
+            self._compact(f"{name}_keys", keys)
+            places = places.unionByName(fresh)
+        return batch.join(places, keys)
+
+    def _compact(self, name: str, keys: list[str]) -> None:
+        folder = self._hadoop_path(self._path(name))
+        if len(self._fs.listStatus(folder)) > DIRECTORY_FILES:
+            self.rewrite(name, lambda rows: rows.distinct().orderBy(*keys))
+
+    # ------------------------------------------------------------ whole tables
+
     def _refuse_broken(self, name: str, rows: DataFrame) -> None:
         """Raise if rows lack a required value or repeat a key."""
         policy = TABLES[name].policy
@@ -146,7 +233,7 @@ class Store:
         files = [f for f in files if f.getName().startswith("part-")]
         if not files:
             return
-        rows = self.spark.read.schema(_stored_schema(TABLES[name])).parquet(*map(str, files))
+        rows = self.spark.read.schema(TABLES[name].stored).parquet(*map(str, files))
         self.append(name, staged(change(rows), f"{name}-rewritten"))
         for f in files:
             self._fs.delete(f, False)
@@ -159,7 +246,7 @@ class Store:
         """Table rows of the touched partitions.
 
         The list that goes through the driver holds the last partition column only: days of the
-        plan, or hash buckets, whose number is fixed.
+        plan, or arrivals, of which a batch has no more than rows.
         """
         parts = TABLES[name].partitions
         last = parts[-1]
@@ -167,30 +254,15 @@ class Store:
         rows = self._read_partitioned(name).filter(F.col(last).isin(values))
         return rows.join(touched, list(parts), "left_semi") if len(parts) > 1 else rows
 
-    def _with_partitions(self, name: str, rows: DataFrame) -> DataFrame:
-        table = TABLES[name]
-        columns = table.schema.fieldNames()
-        if not table.hashed:
-            return rows.select(*columns)
-        bucket = F.pmod(F.xxhash64(*table.policy.keys), F.lit(self.buckets)).cast("int")
-        return rows.select(*columns, bucket.alias(BUCKET))
-
     def _sized(self, name: str, rows: DataFrame) -> DataFrame:
         """Group rows by partition for writing; AQE splits a hot partition and joins small ones."""
         return rows.hint("rebalance", *[F.col(c) for c in TABLES[name].partitions])
 
-    def _write(self, name: str, rows: DataFrame, path: str) -> None:
-        parts = TABLES[name].partitions
-        writer = rows.write.mode("overwrite")
-        if parts:
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-        writer.parquet(path)
-
     # ------------------------------------------------------------ publishing
-    # A folder cannot be overwritten while it is read, and an overwrite cut short may have dropped
-    # partitions. So the new content is written aside in full, audited and marked complete, then
-    # copied over the table and marked published. A copy that was cut short is repeated by
-    # `recover`; content that is not marked complete was never used.
+    # New content, also of new partitions, is written aside in full, audited and marked complete.
+    # Then its folders take the places of those in the table, by renaming: nothing is written
+    # twice. If that is cut short, `recover` goes on with the folders that are still aside; content
+    # that is not marked complete was never used.
 
     def _publish(self, name: str, rows: DataFrame) -> None:
         parts = TABLES[name].partitions
@@ -199,17 +271,39 @@ class Store:
             self._sized(name, rows).write.partitionBy(*parts).parquet(path)
         else:
             rows.write.parquet(path)
-        if TABLES[name].policy:
-            schema = _stored_schema(TABLES[name])
-            self._refuse_broken(name, self.spark.read.schema(schema).parquet(path))
+        try:
+            if TABLES[name].policy:
+                aside = self.spark.read.schema(TABLES[name].stored).parquet(path)
+                self._refuse_broken(name, aside)
+        except BrokenTable:
+            self._fs.delete(self._hadoop_path(path), True)
+            raise
         self._mark(path, "_COMPLETE")
-        self._copy_over(name, path)
+        self._swap_in(name, path)
 
-    def _copy_over(self, name: str, path: str) -> None:
-        schema = _stored_schema(TABLES[name])
-        self._write(name, self.spark.read.schema(schema).parquet(path), self._path(name))
-        self._mark(path, "_PUBLISHED")
-        self._fs.delete(self._hadoop_path(path), True)
+    def _swap_in(self, name: str, path: str) -> None:
+        aside, table = self._hadoop_path(path), self._hadoop_path(self._path(name))
+        depth = len(TABLES[name].partitions)
+        if not depth:
+            self._move(aside, table)
+            return
+        folders = [(aside, table)]
+        for _ in range(depth):
+            folders = [
+                (f.getPath(), self._child(place, f.getPath().getName()))
+                for folder, place in folders
+                for f in self._fs.listStatus(folder)
+                if f.isDirectory()
+            ]
+        for folder, place in folders:
+            self._move(folder, place)
+        self._fs.delete(aside, True)
+
+    def _move(self, folder, place) -> None:
+        self._fs.delete(place, True)
+        self._fs.mkdirs(place.getParent())
+        if not self._fs.rename(folder, place):
+            raise OSError(f"{folder} cannot be renamed to {place}")
 
     def recover(self) -> None:
         """Finish or clear what jobs that died have left. Call it only while no job runs: opening
@@ -220,9 +314,8 @@ class Store:
                 continue
             for status in self._fs.listStatus(self._hadoop_path(waiting)):
                 path = f"{waiting}/{status.getPath().getName()}"
-                complete = self._exists(f"{path}/_COMPLETE")
-                if complete and not self._exists(f"{path}/_PUBLISHED"):
-                    self._copy_over(name, path)
+                if self._exists(f"{path}/_COMPLETE"):
+                    self._swap_in(name, path)
                 else:
                     self._fs.delete(self._hadoop_path(path), True)
 
@@ -237,11 +330,8 @@ class Store:
     def _hadoop_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
+    def _child(self, folder, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(folder, name)
+
     def _exists(self, path: str) -> bool:
         return self._fs.exists(self._hadoop_path(path))
-
-
-def _stored_schema(table: Table) -> T.StructType:
-    if not table.hashed:
-        return table.schema
-    return T.StructType([*table.schema.fields, T.StructField(BUCKET, T.IntegerType())])

@@ -81,7 +81,7 @@ def project(number, **more):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"), buckets=4)
+    store = Store(spark, str(tmp_path / "store"), part_rows=40)
     store.create(seed=False)
     return store
 
@@ -317,7 +317,7 @@ def test_rewriting_leaves_later_appends_alone(store):
 
 
 def test_interrupted_publishing_is_finished_by_recovery(spark, tmp_path):
-    store = Store(spark, str(tmp_path), buckets=2)
+    store = Store(spark, str(tmp_path), part_rows=4)
     store.create()
     columns = "p_id string, p_name string, p_path string, p_full_path string, p_web_url string, topics array<string>"
     old = spark.createDataFrame([(f"p{i}", "old", "", "", "", []) for i in range(6)], columns)
@@ -327,11 +327,11 @@ def test_interrupted_publishing_is_finished_by_recovery(spark, tmp_path):
     def die(*_):
         raise KeyboardInterrupt
 
-    copy_over, store._copy_over = store._copy_over, die
+    swap_in, store._swap_in = store._swap_in, die
     with pytest.raises(KeyboardInterrupt):
         store.merge("projects", new)
     assert store.read("projects").filter("p_name = 'new'").count() == 0
-    reopened = Store(spark, str(tmp_path), buckets=2)
+    reopened = Store(spark, str(tmp_path), part_rows=4)
     # Opening touches nothing: the other job may still be running.
     assert rows(reopened.read("projects"), "p_name") == [("old",)] * 6
     assert list((tmp_path / "_publish" / "projects").iterdir())
@@ -339,7 +339,7 @@ def test_interrupted_publishing_is_finished_by_recovery(spark, tmp_path):
     names = rows(reopened.read("projects"), "p_id", "p_name")
     assert names == [("p0", "old"), ("p1", "new"), *[(f"p{i}", "old") for i in range(2, 6)]]
     assert not list((tmp_path / "_publish" / "projects").iterdir())
-    assert copy_over
+    assert swap_in
 
 
 def test_page_landed_twice_counts_once_and_totals_are_told(store):
@@ -383,3 +383,87 @@ def test_broken_rows_do_not_reach_a_table(store):
     with pytest.raises(BrokenTable, match="p_name"):
         store.merge("projects", store.spark.createDataFrame([("p1", None, "", "", "", [])], columns))
     assert rows(store.read("projects"), "p_id", "p_name") == [("p1", "n")]
+
+
+PROJECT_COLUMNS = "p_id string, p_name string, p_path string, p_full_path string, p_web_url string, topics array<string>"
+
+
+def projects(spark, ids, name="n"):
+    return spark.createDataFrame([(f"p{i:05}", name, "", "", "", []) for i in ids], PROJECT_COLUMNS)
+
+
+def test_nothing_of_a_broken_batch_in_new_partitions_is_readable(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    with pytest.raises(BrokenTable, match="p_name"):
+        store.merge("projects", projects(spark, range(4)).unionByName(projects(spark, [9], None)))
+    assert store.read("projects").count() == 0
+    assert not list((tmp_path / "_publish" / "projects").iterdir())
+    # Its keys are entered, but only rows count.
+    assert store.holding("projects", projects(spark, range(4))).count() == 0
+    store.merge("projects", projects(spark, range(9)))
+    assert rows(store.read("projects"), "p_id") == [(f"p{i:05}",) for i in range(9)]
+
+
+def test_a_job_that_dies_while_renaming_is_finished_by_recovery(spark, tmp_path):
+    store = Store(spark, str(tmp_path), part_rows=10)
+    store.create()
+    move, moved = store._move, []
+
+    def die_later(folder, place):
+        if len(moved) == 2:
+            raise KeyboardInterrupt
+        move(folder, place)
+        moved.append(place)
+
+    store._move = die_later
+    with pytest.raises(KeyboardInterrupt):
+        store.merge("projects", projects(spark, range(60)))
+    seen = store.read("projects").count()
+    assert 0 < seen < 60
+    reopened = Store(spark, str(tmp_path), part_rows=10)
+    reopened.recover()
+    assert rows(reopened.read("projects"), "p_id") == [(f"p{i:05}",) for i in range(60)]
+    reopened.merge("projects", projects(spark, range(60), "new"))
+    assert rows(reopened.read("projects"), "p_name") == [("new",)] * 60
+
+
+def test_an_upsert_rewrites_only_the_partitions_that_hold_its_keys(spark, tmp_path):
+    store = Store(spark, str(tmp_path), part_rows=500)
+    store.create()
+    for start in range(0, 2000, 500):
+        store.merge("projects", projects(spark, range(start, start + 500)))
+    folder = tmp_path / "projects"
+    assert sorted(p.name for p in folder.glob("arrival=*")) == [f"arrival={i}" for i in range(4)]
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+    before = files()
+    # Opened with another size: keys stay where they are, new ones go to new partitions.
+    store = Store(spark, str(tmp_path), part_rows=100)
+    store.merge("projects", projects(spark, [*range(500, 700), *range(5000, 5050)], "new"))
+    gone = before.keys() - files().keys()
+    assert {p.parent.name for p in gone} == {"arrival=1"}
+    assert {p.parent.name for p in files().keys() - before.keys()} == {"arrival=1", "arrival=4"}
+    table = store.read("projects")
+    assert (table.count(), table.select("p_id").distinct().count()) == (2050, 2050)
+    assert table.filter("p_name = 'new'").count() == 250
+
+
+def test_a_directory_of_many_files_is_sorted_into_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shiplog.plans.store.DIRECTORY_FILES", 3)
+    store = Store(spark, str(tmp_path))
+    store.create()
+    for i in range(5):
+        store.merge("projects", projects(spark, [i, i + 1]))
+    keys = store.read("projects_keys")
+    assert keys.count() == keys.select("p_id").distinct().count() == 6
+    assert len(list((tmp_path / "projects_keys").glob("part-*"))) <= 4
+    assert store.read("projects").count() == 6
+
+
+def test_another_layout_is_refused(spark, tmp_path):
+    (tmp_path / "collector_runs").mkdir()
+    with pytest.raises(ValueError, match="laid out"):
+        Store(spark, str(tmp_path))
