@@ -4,6 +4,9 @@
 explicit null, and ignores text after the document and repeated keys. So the text is also parsed
 into a VARIANT, which settles what `from_json` lets through.
 
+VARIANT refuses a text in which any object repeats a key. Only keys of the specification must not
+repeat; `with_unknown_repeats` takes a second look at refused texts.
+
 Rules per field:
   required   must be there, of the right type, not null
   default    may be missing (then 0 / false / []), must not be null
@@ -233,3 +236,37 @@ def with_decoded(
     value = _filled("_typed", spec, REQUIRED, "e")
     record = F.expr(f"array(if({one_object} and {fits}, {value}, null))")
     return parsed.select(*df.columns, F.explode_outer(record).alias(out))
+
+
+# ---------------------------------------------------------------- repeated keys
+
+#: Lets VARIANT keep the last of repeated keys; holds for whole plans.
+REPEATS_SETTING = {"spark.sql.variant.allowDuplicateKeys": "true"}
+
+
+def repeats_known_key(text: str, spec: Obj, var: str = "k") -> str:
+    """SQL condition, never NULL: an object of the text that `spec` describes has one of its keys
+    more than once.
+
+    The keys are listed along the specification; what lies under other keys is not looked into.
+    """
+    names = ", ".join(f"'{f.name}'" for f in spec.fields)
+    keys = f"filter(json_object_keys({text}), {var} -> {var} in ({names}))"
+    found = [f"coalesce(size({keys}) > size(array_distinct({keys})), false)"]
+    for f in spec.fields:
+        inner = f"get_json_object({text}, '$.{f.name}')"
+        if isinstance(f.type, Obj):
+            found.append(repeats_known_key(inner, f.type, _inner(var)))
+        elif isinstance(f.type, Arr) and isinstance(f.type.element, Obj):
+            each = repeats_known_key(_inner(var), f.type.element, _inner(_inner(var)))
+            elements = f"from_json({inner}, 'array<string>')"
+            found.append(f"coalesce(exists({elements}, {_inner(var)} -> {each}), false)")
+    return f"({' or '.join(found)})"
+
+
+def with_unknown_repeats(df: DataFrame, text: str, spec: Obj, out: str) -> DataFrame:
+    """Like `with_decoded`, for a session under REPEATS_SETTING: repeated keys that `spec` does not
+    have are let through, repeated ones that it has are refused."""
+    decoded = with_decoded(df, text, spec, out)
+    repeats = F.expr(repeats_known_key(f"`{text}`", spec))
+    return decoded.withColumn(out, F.when(~repeats, F.col(out)))

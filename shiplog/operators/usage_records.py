@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplog import schemas
-from shiplog.functions.strict_json import with_decoded
+from shiplog.functions.strict_json import REPEATS_SETTING, with_decoded, with_unknown_repeats
 from shiplog.functions.temporal import strict_day
 from shiplog.functions.text import has_content
+from shiplog.session import staged, staged_under
 
 # A day fails in this order: its index, then its parts, then its records.
 INDEX_STAGE, PART_STAGE, RECORD_STAGE = 0, 1, 2
@@ -20,6 +21,33 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     return with_decoded(written, "line", schemas.USAGE_RECORD, "record")
 
 
+def decode_again(refused: DataFrame) -> DataFrame:
+    """Lines that `decode_lines` has refused, with another `record`: lines that only repeat keys
+    unknown to the specification are read. Written out, as it takes a session of its own."""
+    return staged_under(
+        REPEATS_SETTING,
+        refused,
+        lambda lines: with_unknown_repeats(lines, "line", schemas.USAGE_RECORD, "record"),
+        "refused-lines",
+    )
+
+
+def checked_lines(lines: DataFrame) -> DataFrame:
+    """The checked records of all lines, without their texts, written out.
+
+    The texts of refused lines, normally none, are kept until they have got their second look.
+    """
+    checked = check_records(decode_lines(lines))
+    refused = F.when(F.col("record").isNull(), F.col("line"))
+    checked = staged(checked.withColumn("line", refused), "usage-records")
+    doubtful = checked.filter(F.col("line").isNotNull())
+    good = checked.filter(F.col("line").isNull()).drop("line")
+    if doubtful.isEmpty():
+        return good
+    again = decode_again(doubtful.select(*lines.columns))
+    return good.unionByName(check_records(again).select(*good.columns))
+
+
 def repeats_key(breakdown: Column, keys: tuple[str, ...]) -> Column:
     names = F.transform(breakdown, lambda e: F.struct(*[e[k] for k in keys]))
     return F.size(F.array_distinct(names)) != F.size(names)

@@ -200,10 +200,7 @@ def import_usage(
         first, last = good.agg(F.min("report_day"), F.max("report_day")).first()
         lines = _lines_in_files(part_lines, orgs, first, last).join(good, part_key, "left_semi")
     # The one pass over the report text.
-    checked = staged(
-        usage_records.check_records(usage_records.decode_lines(lines)).drop("line"),
-        "usage-records",
-    )
+    checked = usage_records.checked_lines(lines)
 
     judged = staged(usage_days.judge_days(plan, index, parts, checked), "judged-days")
     committed = staged(
@@ -307,10 +304,7 @@ def reimport_days(
         orgs = [r.org_slug for r in plan.select("org_slug").distinct().collect()]
         lines = _lines_in_files(part_lines, orgs, first, last)
         lines = lines.join(good, [*usage_days.DAY, "part_no"], "left_semi")
-    checked = staged(
-        usage_records.check_records(usage_records.decode_lines(lines)).drop("line"),
-        "usage-records",
-    )
+    checked = usage_records.checked_lines(lines)
     judged = staged(usage_days.judge_days(plan, index, parts, checked), "judged-days", keep=True)
     good = staged(
         judged.filter(F.col("verdict") == "commit").select(*usage_days.DAY), "committed-days"

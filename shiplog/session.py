@@ -52,13 +52,35 @@ def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     readers of the same data prune columns. Within a job (see `scratch`) the files go when it
     ends, unless its result is read from them (`keep`).
     """
+    path = _written_out(df, scratch_root(df.sparkSession), label, keep)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged_under(
+    settings: dict[str, str], df: DataFrame, change: Callable[[DataFrame], DataFrame], label: str
+) -> DataFrame:
+    """`change` of `df`, written to the shared folder by a session with `settings` of its own.
+
+    For settings that hold for whole plans: queries of the caller's session are not touched.
+    """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    root = scratch_root(spark)
+    source = _written_out(df, root, label, False)
+    other = configure(spark.newSession())
+    for name, value in settings.items():
+        other.conf.set(name, value)
+    changed = change(other.read.schema(df.schema).parquet(source))
+    path = _written_out(changed, root, label, False)
+    return spark.read.schema(changed.schema).parquet(path)
+
+
+def _written_out(df: DataFrame, root: str, label: str, keep: bool) -> str:
+    path = f"{root}/staged/{label}-{uuid.uuid4().hex}"
     written = _written.get()
     if written is not None:
         written.append((path, keep))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 @contextmanager

@@ -9,7 +9,7 @@ from shiplog import schemas
 from shiplog.functions.text import has_content
 from shiplog.operators import usage_days, usage_facts
 from shiplog.operators.prefix import committed_prefix
-from shiplog.operators.usage_records import check_records, decode_lines
+from shiplog.operators.usage_records import check_records, checked_lines, decode_lines
 from shiplog.session import staged
 from shiplog.sources import landing as landed
 from shiplog.sources.usage_parts import lines_of_bodies
@@ -126,6 +126,40 @@ def usage_strict_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "usage_repeated_keys",
+    f"""WITH {EVENTS_SQL}
+SELECT event_id, event_id % 8 IN (0, 1, 2, 3, 7) AS good,
+       CASE WHEN event_id % 8 IN (0, 1, 2, 3, 7) THEN user_id END AS user_id,
+       CASE WHEN event_id % 8 IN (0, 1, 2, 3, 7) THEN CAST(k AS BIGINT) END AS interactions,
+       CASE WHEN event_id % 8 IN (0, 1, 2, 3, 7) THEN CAST(2 AS BIGINT) END AS features
+FROM ev""",
+)
+def usage_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is a line; three in eight repeat a key of the record, four a key it has not."""
+    lines = event_lines(events(spark, sf_dir)).withColumn(
+        "line",
+        F.expr(
+            """case event_id % 8
+            when 0 then concat('{"zzz":1,"zzz":"2",', substr(line, 2))
+            when 1 then replace(line, '{"feature":"all"}', '{"feature":"all","x":1,"x":[]}')
+            when 2 then concat('{"zzz":{"user_id":1,"user_id":2},', substr(line, 2))
+            when 3 then concat('{"a":{"b":[{"c":1,"c":1}]},"a":0,', substr(line, 2))
+            when 4 then concat('{"user_id":7,', substr(line, 2))
+            when 5 then replace(line, '{"feature":"all"}', '{"feature":"all","feature":"x"}')
+            when 6 then concat('{"zzz":1,"zzz":2,"used_chat":true,', substr(line, 2))
+            else line end"""
+        ),
+    )
+    return checked_lines(lines).select(
+        "event_id",
+        F.col("record").isNotNull().alias("good"),
+        "record.user_id",
+        F.col("record.user_initiated_interaction_count").alias("interactions"),
+        F.size("record.totals_by_feature").cast("long").alias("features"),
+    )
+
+
 @query(
     "usage_parts_union",
     r"""WITH l AS (

@@ -13,12 +13,15 @@ from shiplog.functions.strict_json import (
     DEFAULT,
     DOUBLE,
     OPTIONAL,
+    REPEATS_SETTING,
     STRING,
     Arr,
     Field,
     obj,
     with_decoded,
+    with_unknown_repeats,
 )
+from shiplog.session import staged_under
 
 SPEC = obj(
     Field("id", BIGINT),
@@ -134,3 +137,31 @@ def test_decoding_is_not_repeated_by_a_later_filter(spark):
         .toString()
     )
     assert plan.count("parseJson") == 1 and plan.count("from_json") == 1
+
+
+REPEATS = {
+    '{"zzz":1,"zzz":2,"id":1,"name":"5"}': True,
+    '{"id":1,"name":"a","kids":[{"key":"k","x":1,"x":2},{"key":"l"}]}': True,
+    '{"id":1,"name":"a","zzz":{"id":1,"id":2}}': True,
+    '{"id":1,"name":"a","box":{"tag":"t","u":[{"v":1,"v":1}]}}': True,
+    '{"zzz":1,"zzz":2,"id":1,"name":5}': False,
+    '{"zzz":1,"zzz":2,"id":1}': False,
+    '{"zzz":1,"zzz":2,"id":1,"name":"a"} x': False,
+    '{"zzz":1,"zzz":2,"id":1,"name":"a","id":1}': False,
+    '{"zzz":1,"zzz":2,"id":1,"name":"a","\\u0069d":1}': False,
+    '{"id":1,"name":"a","kids":[{"key":"l"},{"key":"k","key":"k"}]}': False,
+    '{"id":1,"name":"a","box":{"tag":"t","tag":"t"}}': False,
+    '{"zzz":1,"zzz":2': False,
+}
+
+
+def test_only_repeats_of_known_keys_are_refused(spark):
+    df = spark.createDataFrame([(t,) for t in REPEATS], "text string")
+    first = with_decoded(df, "text", SPEC, "record")
+    assert {r.text for r in first.collect() if r.record} == set()
+    again = staged_under(
+        REPEATS_SETTING, df, lambda d: with_unknown_repeats(d, "text", SPEC, "record"), "again"
+    )
+    assert {r.text: r.record is not None for r in again.collect()} == REPEATS
+    # The caller's session still refuses them.
+    assert spark.sql("""select try_parse_json('{"a":1,"a":2}') v""").first().v is None
