@@ -427,7 +427,7 @@ def diff_byte_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of an order as blocks of its text."""
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", *_LINE_ORDER)
     blocks = lines.selectExpr("l_orderkey", *_LINE_ORDER, f"{_LINE_BLOCK} block")
-    return within_budget(blocks, ["l_orderkey"], _LINE_ORDER, _BUDGET).select(
+    return within_budget(blocks, ["l_orderkey"], _LINE_ORDER, _BUDGET, span=7).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n_bytes", "bytes_before",
         "bytes_used",
     )

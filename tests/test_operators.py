@@ -112,6 +112,22 @@ def test_short_blocks_reach_the_budget(spark):
     )
 
 
+@pytest.mark.parametrize("budget", [0, 3, 4_000, 10**9])
+def test_sums_are_taken_level_by_level(spark, monkeypatch, budget):
+    monkeypatch.setattr("shiplog.operators.budget.FAN", 10)
+    blocks = spark.range(5000).selectExpr(
+        "case when id % 5 < 3 then 'hot' when id % 5 < 4 then 'b' end mr",
+        "case when id % 997 > 0 then id * 3 - 700 end pos",
+        "repeat('é', cast(id % 4 as int)) block",
+    )
+    want = within_budget(blocks, ["mr"], ["pos", "block"], budget, span=10)
+    got = within_budget(blocks, ["mr"], ["pos", "block"], budget, span=10**5)
+    assert rows(got) == rows(want)
+    # No window but the uppermost holds more than one cell of sums.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_cell") and plan.count("Window") == 6 if budget else True
+
+
 def test_block_overhead_is_the_fixed_text(spark):
     assert spark.range(1).select(F.octet_length(file_block(F.lit(""), F.lit("")))).first()[0] == BLOCK_OVERHEAD
 
