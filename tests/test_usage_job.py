@@ -294,6 +294,25 @@ def test_part_files_of_other_orgs_and_days_are_not_listed(spark, tmp_path):
     plan = read._jdf.queryExecution().executedPlan().toString()
     filters = plan.partition("PartitionFilters: [")[2].partition("]")[0]
     assert "org_slug" in filters and "report_day" in filters
+    # The file index holds the planned folders only, whether they were asked for or listed.
+    assert len(read.inputFiles()) == 2
+    for first, last, n in ((1, 1, 1), (2, 28, 1), (3, 9, 0), (20, 30, 0)):
+        days = date(2024, 3, first), date(2024, 3, last)
+        found = part_files(spark, str(tmp_path))([ORG, "absent", ORG], *days)
+        assert (len(found.inputFiles()), found.count()) == (n, n)
+
+
+def test_lines_that_repeat_unknown_keys_do_not_fail_a_day(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    record = json.dumps(usage_record(1, "2024-03-01"))
+    twice = '{"zzz":1,"zzz":2,' + record[1:]
+    answers = [index("2024-03-01", 1), part("2024-03-01", 0, twice + "\n" + lines(usage_record(2, "2024-03-01")))]
+    summary = run(spark, store, answers, as_of=utc(2024, 3, 3))
+    assert rows(summary, "days_advanced", "records_persisted") == [(1, 2)]
+    known = '{"user_id":9,' + record[1:]
+    answers += [index("2024-03-02", 1), part("2024-03-02", 0, known)]
+    assert rows(run(spark, store, answers), "days_advanced", "halted_by") == [(0, "fail")]
 
 
 def test_reimport_from_files(spark, tmp_path):
