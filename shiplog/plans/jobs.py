@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplog.functions.temporal import format_rfc3339, report_end_day
 from shiplog.functions.text import scope_names
-from shiplog.operators import enrich, merge, pages, usage_days, usage_facts, usage_records
+from shiplog.operators import enrich, late_days, merge, pages, usage_days, usage_facts, usage_records
 from shiplog.operators.budget import diff_text_of_changes
 from shiplog.operators.flatten import flatten_merge_requests, flatten_projects, merged_since
 from shiplog.operators.prefix import committed_prefix, first_failures
@@ -33,6 +34,20 @@ class CollectionFailed(Exception):
     """Raised after the ledgers were written."""
 
 
+def exclusive(kind: str) -> Callable:
+    """Lets a job run only while no other one of its kind works on any of its scopes."""
+
+    def wrap(function: Callable) -> Callable:
+        @wraps(function)
+        def run(store: Store, landing: DataFrame, names: Sequence[str], *args, **options):
+            with store.claim([f"{kind}/{name}" for name in names]):
+                return function(store, landing, names, *args, **options)
+
+        return run
+
+    return wrap
+
+
 @dataclass(frozen=True)
 class Summarizer:
     """A model call that returns the reply to a prompt, how much of a diff it is given, and how
@@ -113,6 +128,7 @@ def _within(landing: DataFrame, spans: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- usage
 
 
+@exclusive(ledger.USAGE_IMPORT)
 @job
 def import_usage(
     store: Store,
@@ -214,6 +230,7 @@ def import_usage(
     facts = usage_facts.facts_of_records(good_records, now)
     days = committed.filter(F.col("verdict") == "commit").select(*usage_days.DAY)
     store.merge("usage_facts", usage_facts.fold_facts(facts), touched=days)
+    _keep_prints(store, answers, committed.select(*usage_days.DAY), now)
 
     summary = (
         scopes.select("org_slug")
@@ -311,9 +328,42 @@ def reimport_days(
     )
     facts = usage_facts.facts_of_records(checked.join(good, usage_days.DAY, "left_semi"), now)
     store.merge("usage_facts", usage_facts.fold_facts(facts), touched=good)
+    _keep_prints(store, answers, good, now)
     return judged
 
 
+def _keep_prints(store: Store, answers: DataFrame, days: DataFrame, now) -> None:
+    """Remember what was imported of these days; empty ones count, their report may come yet."""
+    prints = late_days.day_prints(answers).join(days, usage_days.DAY, "left_semi")
+    store.append("usage_day_prints", prints.withColumn("imported_at", now).coalesce(1))
+
+
+@job
+def find_late_days(store: Store, landing: DataFrame, orgs: Sequence[str]) -> DataFrame:
+    """(org_slug, report_day) of imported days whose reports came or changed since, for
+    `reimport_days`.
+
+    Landing times tell which days have news; only their answers are read. Answers that were
+    landed again with the same content are no change. Reports in files are told apart by their
+    landed answers only.
+    """
+    imported = late_days.latest_prints(store.read("usage_day_prints"))
+    imported = staged(imported.filter(F.col("org_slug").isin(*orgs)), "imported-days")
+    days = imported.select(
+        F.col("org_slug").alias("group_key"),
+        F.col("report_day").cast("string").alias("request_key"),
+        "imported_at",
+    )
+    key = ["group_key", "request_key"]
+    first = imported.agg(F.min("imported_at")).first()[0]
+    answers = landing.filter(F.col("feed").isin(landed.USAGE_INDEX, landed.USAGE_PART))
+    news = answers.filter(F.col("landed_at") > F.lit(first)).select(*key, "landed_at")
+    news = news.join(days, key).filter(F.col("landed_at") > F.col("imported_at"))
+    news = staged(news.select(*key).distinct(), "days-with-news")
+    prints = late_days.day_prints(_latest(answers.join(news, key, "left_semi")))
+    return staged(late_days.changed_days(imported, prints), "late-days", keep=True)
+
+
 # ---------------------------------------------------------------- pages
 
 
@@ -369,6 +419,7 @@ def _place_of(scopes: DataFrame) -> DataFrame:
     return scopes.select(F.col("group_full_path").alias("group_key"), "place")
 
 
+@exclusive("projects")
 @job
 def import_projects(
     store: Store, landing: DataFrame, groups: Sequence[str], run: str
@@ -454,6 +505,7 @@ def _summarized(
     )
 
 
+@exclusive(ledger.MERGE_REQUEST_IMPORT)
 @job
 def import_merge_requests(
     store: Store,
@@ -655,6 +707,7 @@ __all__ = [
     "Summarizer",
     "clean_imports",
     "collect",
+    "find_late_days",
     "import_merge_requests",
     "import_projects",
     "import_usage",

@@ -9,9 +9,12 @@ a key. Later changes mostly concern what came lately, so they touch few partitio
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +42,10 @@ class BrokenTable(Exception):
     """Rows that a table must not hold: found before any was published."""
 
 
+class ClaimHeld(Exception):
+    """Another job works on a scope, or died without letting go of it (see `Store.recover`)."""
+
+
 @dataclass(frozen=True)
 class Table:
     schema: T.StructType
@@ -66,6 +73,7 @@ TABLES = {
     "usage_facts": Table(schemas.USAGE_FACTS, USAGE_POLICY, ("org_slug", "report_day")),
     "collector_runs": Table(schemas.COLLECTOR_RUNS),
     "usage_runs": Table(schemas.USAGE_RUNS),
+    "usage_day_prints": Table(schemas.USAGE_DAY_PRINTS),
     "import_events": Table(schemas.IMPORT_EVENTS),
     "model_replies": Table(schemas.MODEL_REPLIES),
 }
@@ -74,7 +82,7 @@ TABLES |= {f"{name}_keys": t.directory() for name, t in TABLES.items() if t.by_a
 
 @dataclass
 class Store:
-    """One job writes at a time; readers may read at any time."""
+    """One job writes a table at a time; imports claim their scopes. Readers may read at any time."""
 
     spark: SparkSession
     root: str
@@ -258,6 +266,31 @@ class Store:
         """Group rows by partition for writing; AQE splits a hot partition and joins small ones."""
         return rows.hint("rebalance", *[F.col(c) for c in TABLES[name].partitions])
 
+    # ------------------------------------------------------------ claims
+
+    @contextmanager
+    def claim(self, scopes: Sequence[str]) -> Iterator[None]:
+        """Holds the scopes for one job: a file each, which only one job can create."""
+        held = []
+        try:
+            for scope in dict.fromkeys(scopes):
+                path = self._hadoop_path(f"{self.root}/_claims/{quote(scope, safe='')}")
+                if not self._created(path):
+                    raise ClaimHeld(f"{scope} is claimed by another job")
+                held.append(path)
+            yield
+        finally:
+            for path in held:
+                self._fs.delete(path, False)
+
+    def _created(self, path) -> bool:
+        try:
+            return self._fs.createNewFile(path)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+
     # ------------------------------------------------------------ publishing
     # New content, also of new partitions, is written aside in full, audited and marked complete.
     # Then its folders take the places of those in the table, by renaming: nothing is written
@@ -308,6 +341,7 @@ class Store:
     def recover(self) -> None:
         """Finish or clear what jobs that died have left. Call it only while no job runs: opening
         a store never does this, as it cannot tell a dead job from a running one."""
+        self._fs.delete(self._hadoop_path(f"{self.root}/_claims"), True)
         for name in TABLES:
             waiting = f"{self.root}/_publish/{name}"
             if not self._exists(waiting):

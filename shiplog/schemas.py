@@ -255,6 +255,10 @@ USAGE_RUNS = _table(
     last_completed_report_day="date",
 )
 
+USAGE_DAY_PRINTS = _table(
+    org_slug="string", report_day="date", fingerprint="string", imported_at="timestamp"
+)
+
 IMPORT_EVENTS = _table(
     import_id="string",
     group_full_path="string",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplog import schemas
 from shiplog.functions.text import has_content
-from shiplog.operators import usage_days, usage_facts
+from shiplog.operators import late_days, usage_days, usage_facts
 from shiplog.operators.prefix import committed_prefix
 from shiplog.operators.usage_records import check_records, checked_lines, decode_lines
 from shiplog.session import staged
@@ -544,3 +546,43 @@ def prefix_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("o_orderstatus")
 
 
+
+
+# ---------------------------------------------------------------- late days
+
+
+@query(
+    "late_days",
+    f"""WITH {EVENTS_SQL}
+SELECT DISTINCT org_slug, CAST(report_day AS VARCHAR) AS report_day FROM ev
+WHERE (day(report_day) % 4 = 0 AND event_id % 3 = 1) OR (day(report_day) % 4 = 2 AND event_id % 3 = 0)""",
+)
+def late_days_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three parts a day, imported; then some days get another part 1, some the same parts again,
+    some a part 7, and some an answer that was landed before the one that was imported."""
+    parts = (
+        events(spark, sf_dir)
+        .groupBy("org_slug", "report_day", F.expr("cast(event_id % 3 as int)").alias("p"))
+        .agg(F.concat_ws(":", F.count("*"), F.sum("k")).alias("body"))
+    )
+    parts = staged(parts.withColumn("d", F.expr("day(report_day) % 4")), "event-parts")
+
+    def answers(rows: DataFrame, landed_at: str, page_no: str = "p", body: str = "body") -> DataFrame:
+        return rows.selectExpr(
+            f"'{landed.USAGE_PART}' feed", "org_slug group_key", "cast(report_day as string) request_key",
+            f"{page_no} page_no", "cast(null as string) after_cursor", "200 status", f"{body} body",
+            f"timestamp'{landed_at}' landed_at",
+        )
+
+    first = answers(parts, "2024-06-02")
+    later = [
+        answers(parts.filter("d = 0 and p = 1"), "2024-06-03", body="body || 'x'"),
+        answers(parts.filter("d = 1"), "2024-06-03"),
+        answers(parts.filter("d = 2 and p = 0"), "2024-06-03", page_no="7"),
+        answers(parts.filter("d = 3"), "2024-06-01", body="'older'"),
+    ]
+    everything = reduce(DataFrame.unionByName, later, first)
+    return late_days.changed_days(
+        late_days.day_prints(landed.latest_answers(first)),
+        late_days.day_prints(landed.latest_answers(everything)),
+    ).select("org_slug", _day_text())

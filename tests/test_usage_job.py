@@ -1,12 +1,16 @@
 import json
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+import pytest
 from conftest import landing, lines, rows, usage_record, utc
 from pyspark.sql import functions as F
 
 from shiplog.operators.usage_facts import breakdown, raw_payload
 from shiplog.plans import jobs, ledger
-from shiplog.plans.store import Store
+from shiplog.plans.store import ClaimHeld, Store
 from shiplog.sources.usage_parts import part_files, read_part_files
 
 ORG = "acme"
@@ -331,3 +335,59 @@ def test_reimport_from_files(spark, tmp_path):
     )
     assert rows(judged, "verdict") == [("commit",)]
     assert rows(store.read("usage_facts"), "user_id") == [(4,)]
+
+
+def test_late_and_corrected_days_are_found_and_imported_again(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    answers = good_day("2024-03-01") + [index("2024-03-02", 0, status=204)]
+    run(spark, store, answers, as_of=utc(2024, 3, 5))
+    assert jobs.find_late_days(store, landing(spark, answers), [ORG]).count() == 0
+    answers += good_day("2024-03-01") + good_day("2024-03-02", 2)
+    answers += good_day("2024-03-09")  # not imported yet
+    landed = landing(spark, answers)
+    landed = landed.withColumn("landed_at", F.lit("2024-07-01").cast("timestamp"))
+    old = landing(spark, answers[:3]).withColumn("landed_at", F.lit("2024-03-04").cast("timestamp"))
+    landed = old.unionByName(landed.filter("status = 200"))
+    late = jobs.find_late_days(store, landed, [ORG])
+    assert rows(late, F.day("report_day")) == [(2,)]
+    jobs.reimport_days(store, landed, late, as_of=utc(2024, 8, 1))
+    assert rows(store.read("usage_facts"), "user_id", F.day("report_day")) == [(1, 1), (2, 2)]
+    assert jobs.find_late_days(store, landed, [ORG]).count() == 0
+
+
+def test_two_imports_of_a_scope_exclude_each_other(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    other = Store(spark, str(tmp_path))
+    with store.claim([f"{ledger.USAGE_IMPORT}/{ORG}", "projects/a/b"]):
+        with pytest.raises(ClaimHeld, match=ORG):
+            run(spark, other, good_day("2024-03-01"))
+        with other.claim([f"{ledger.USAGE_IMPORT}/idle"]):
+            pass
+    assert store.read("import_events").count() == 0
+    assert rows(run(spark, other, good_day("2024-03-01"), as_of=utc(2024, 3, 3)), "days_advanced") == [(1,)]
+    # A job that died keeps its claim until the store is recovered.
+    died = store.claim([f"{ledger.USAGE_IMPORT}/{ORG}"])
+    died.__enter__()
+    with pytest.raises(ClaimHeld):
+        run(spark, other, good_day("2024-03-01"))
+    other.recover()
+    run(spark, other, good_day("2024-03-01"), as_of=utc(2024, 3, 3))
+
+
+def test_of_many_claims_at_once_one_is_granted(spark, tmp_path):
+    store, granted, ready = Store(spark, str(tmp_path)), [], threading.Barrier(6)
+
+    def attempt(_):
+        ready.wait()
+        try:
+            with store.claim(["usage/acme"]):
+                granted.append(1)
+                time.sleep(1)
+        except ClaimHeld:
+            pass
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(attempt, range(6)))
+    assert granted == [1]
