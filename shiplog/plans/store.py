@@ -8,13 +8,14 @@ a key. Later changes mostly concern what came lately, so they touch few partitio
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from urllib.parse import quote
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,7 @@ ARRIVAL = "arrival"
 LAYOUT = "_layout-key-directory"
 #: Files of a key directory after which it is written anew in sorted ones.
 DIRECTORY_FILES = 200
+CLAIM_ATTEMPTS = 5
 
 
 class BrokenTable(Exception):
@@ -270,12 +272,12 @@ class Store:
 
     @contextmanager
     def claim(self, scopes: Sequence[str]) -> Iterator[None]:
-        """Holds the scopes for one job: a file each, which only one job can create."""
+        """Holds the scopes for one job at a time."""
         held = []
         try:
             for scope in dict.fromkeys(scopes):
-                path = self._hadoop_path(f"{self.root}/_claims/{quote(scope, safe='')}")
-                if not self._created(path):
+                path = self._claimed(f"{self.root}/_claims/{quote(scope, safe='')}")
+                if path is None:
                     raise ClaimHeld(f"{scope} is claimed by another job")
                 held.append(path)
             yield
@@ -283,13 +285,18 @@ class Store:
             for path in held:
                 self._fs.delete(path, False)
 
-    def _created(self, path) -> bool:
-        try:
-            return self._fs.createNewFile(path)
-        except Py4JJavaError as error:
-            if "FileAlreadyExists" in error.java_exception.getClass().getName():
-                return False
-            raise
+    def _claimed(self, folder: str):
+        """Leaves a file in the folder and looks: whoever finds his alone holds the claim, the
+        others take theirs away. Of two jobs the one that looks last sees the other's file."""
+        path = self._hadoop_path(f"{folder}/{uuid.uuid4().hex}")
+        for _ in range(CLAIM_ATTEMPTS):
+            self._fs.create(path).close()
+            if len(self._fs.listStatus(path.getParent())) == 1:
+                return path
+            self._fs.delete(path, False)
+            # Jobs that came at the same moment may have made way for one another.
+            time.sleep(random.uniform(0, 0.3))
+        return None
 
     # ------------------------------------------------------------ publishing
     # New content, also of new partitions, is written aside in full, audited and marked complete.
