@@ -7,6 +7,7 @@ is run again and repeats work; it never skips any.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import suppress
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import wraps
@@ -14,6 +15,7 @@ from functools import wraps
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shiplog import schemas
 from shiplog.functions.temporal import format_rfc3339, report_end_day
 from shiplog.functions.text import scope_names
 from shiplog.operators import enrich, late_days, merge, pages, usage_days, usage_facts, usage_records
@@ -21,10 +23,11 @@ from shiplog.operators.budget import diff_text_of_changes
 from shiplog.operators.flatten import flatten_merge_requests, flatten_projects, merged_since
 from shiplog.operators.prefix import committed_prefix, first_failures
 from shiplog.plans import day_plan, ledger
-from shiplog.plans.store import Store
-from shiplog.session import job, staged
+from shiplog.plans.store import EVENT_FILES, ClaimHeld, Store
+from shiplog.session import job, scratch_folder, scratch_root, staged
 from shiplog.sources import landing as landed
 from shiplog.sources import usage_parts
+from shiplog.streaming.model_waves import CALLS_PER_TASK, ask_in_waves
 
 
 PartLines = DataFrame | Callable[[Sequence[str], date, date], DataFrame]
@@ -50,13 +53,14 @@ def exclusive(kind: str) -> Callable:
 
 @dataclass(frozen=True)
 class Summarizer:
-    """A model call that returns the reply to a prompt, how much of a diff it is given, and how
-    many tasks call it at once."""
+    """A model call that returns the reply to a prompt, how much of a diff it is given, how many
+    tasks call it at once, and after how many calls of a task the replies are stored."""
 
     complete: Callable[[str], str]
     model: str
     max_bytes: int = 8000
     parallel: int = enrich.PARALLEL_CALLS
+    calls_per_task: int = CALLS_PER_TASK
 
 
 def parse_scopes(text: str, spark) -> list[str]:
@@ -72,12 +76,21 @@ def _scopes(store: Store, names: Sequence[str], column: str) -> DataFrame:
     return store.spark.createDataFrame(rows, f"{column} string, place int")
 
 
+def _fold_on(states: DataFrame, events: DataFrame) -> DataFrame:
+    return ledger.import_states(events, states)
+
+
+def current_imports(store: Store) -> DataFrame:
+    """The state of every import: the ledger's snapshot and the events after it, folded."""
+    states, events = store.states_and_events("import_events", schemas.IMPORT_STATES)
+    return ledger.fold_imports(events, states)
+
+
 def _start_imports(store: Store, scopes: DataFrame, as_of) -> DataFrame:
     """Resume or create the import of every scope and record it."""
-    imports = staged(
-        ledger.resume_or_create(scopes, ledger.fold_imports(store.read("import_events")), as_of),
-        "imports",
-    )
+    with suppress(ClaimHeld):  # another job takes the snapshot
+        store.take_snapshot("import_events", schemas.IMPORT_STATES, _fold_on, EVENT_FILES)
+    imports = staged(ledger.resume_or_create(scopes, current_imports(store), as_of), "imports")
     events = ledger.event_rows(
         imports.filter(F.col("action") != "resume"),
         F.when(F.col("action") == "create", "created").otherwise("reset"),
@@ -448,8 +461,8 @@ def import_projects(
 def _answers_for(store: Store, mrs: DataFrame, summarizer: Summarizer, now) -> DataFrame:
     """Valid model answers for change requests, as (mr_id, prompt_hash, model, answer).
 
-    Replies are stored before they are used, keyed by the prompt: a repeated task or run neither
-    changes committed text nor asks again for what was answered.
+    Replies are stored wave by wave before they are used, keyed by the prompt: a repeated task or
+    run neither changes committed text nor asks again for what was answered.
     """
     key = ["mr_id", "prompt_hash"]
     asked = mrs.select(*key, "prompt").dropDuplicates(key)
@@ -460,15 +473,22 @@ def _answers_for(store: Store, mrs: DataFrame, summarizer: Summarizer, now) -> D
         stored = stored.join(asked.select(*key), key, "left_semi")
         return enrich.parse_replies(stored).filter(F.col("answer").isNotNull())
 
+    def keep(replies: DataFrame) -> None:
+        store.append(
+            "model_replies",
+            replies.filter(F.col("reply").isNotNull()).select(
+                *key, F.lit(summarizer.model).alias("model"), "reply", now.alias("stored_at")
+            ),
+        )
+
     # A stored reply that does not parse is asked for again.
-    fresh = enrich.ask_model(
-        asked.join(valid().select(*key), key, "left_anti"), summarizer.complete, summarizer.parallel
-    ).filter(F.col("reply").isNotNull())
-    store.append(
-        "model_replies",
-        fresh.select(
-            *key, F.lit(summarizer.model).alias("model"), "reply", now.alias("stored_at")
-        ),
+    ask_in_waves(
+        asked.join(valid().select(*key), key, "left_anti"),
+        summarizer.complete,
+        keep,
+        scratch_folder(scratch_root(store.spark), "prompt-waves"),
+        parallel=summarizer.parallel,
+        calls_per_task=summarizer.calls_per_task,
     )
     # Two attempts of one job may both have stored a reply; the first one counts.
     return (
@@ -486,7 +506,7 @@ def _summarized(
         return mrs.withColumns({c: empty for c in merge.MERGE_REQUEST_POLICY.keep_known})
     # Only the change lists that are needed are decoded.
     wanted = mrs.select(F.concat_ws("/", "project_id", "mr_iid").alias("request_key"))
-    answers = _between(landing.filter(F.col("feed") == landed.MR_CHANGES), wanted)
+    answers = landed.in_files_of(landing.filter(F.col("feed") == landed.MR_CHANGES), wanted)
     changes = landed.mr_changes(_latest(answers.join(wanted, "request_key", "left_semi")))
     # Without readable changes there is no prompt and the model columns stay NULL.
     text = diff_text_of_changes(F.col("changes"), summarizer.max_bytes)
@@ -551,6 +571,7 @@ def import_merge_requests(
     chains = staged(chains.join(_place_of(scopes), "group_key"), "chains")
     keys = ["group_key", "request_key"]
     answers = landing.filter(F.col("feed") == landed.MR_PAGE)
+    answers = landed.in_files_of(answers, chains.select(*keys))
     answers = _latest(answers.join(chains.select(*keys), keys)).join(
         chains.select(*keys, "last_cursor"), keys
     )
@@ -687,18 +708,24 @@ def require_success(results: DataFrame, ok: str = "succeeded") -> None:
 
 @job
 def clean_imports(store: Store, *, as_of: datetime, days: int) -> int:
-    """Delete finished imports older than `days` days; returns how many."""
-    events = store.read("import_events")
+    """Delete finished imports older than `days` days; returns how many.
+
+    They are left out of a new snapshot of the ledger; events that other jobs append meanwhile stay.
+    """
     expired = staged(
         ledger.expired_imports(
-            ledger.fold_imports(events), F.lit(as_of).cast("timestamp"), days
+            current_imports(store), F.lit(as_of).cast("timestamp"), days
         ).select("import_id"),
         "expired-imports",
     )
     removed = expired.count()
     if removed:
-        # Events that other jobs append meanwhile stay.
-        store.rewrite("import_events", lambda rows: ledger.retained_events(rows, expired))
+        store.take_snapshot(
+            "import_events",
+            schemas.IMPORT_STATES,
+            lambda states, events: ledger.retained(_fold_on(states, events), expired),
+            least=-1,
+        )
     return removed
 
 
@@ -707,6 +734,7 @@ __all__ = [
     "Summarizer",
     "clean_imports",
     "collect",
+    "current_imports",
     "find_late_days",
     "import_merge_requests",
     "import_projects",

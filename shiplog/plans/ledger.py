@@ -36,53 +36,60 @@ def import_status(text: Column) -> Column:
     return F.when(text.isin(IN_PROGRESS, COMPLETED), text).otherwise(FAILED)
 
 
-def fold_imports(events: DataFrame) -> DataFrame:
-    """Current state of every created import. Events of unknown imports have no effect.
+def import_states(events: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """What a fold has to keep of every import, from events and the states `before` them.
 
-    An event that lies there twice counts once. Events of one number, as two jobs that run at once may write, go by time, kind and content.
+    States of events and of later events make the states of all: the latest event of each kind, the
+    first `created` and a sum. An event that lies there twice counts once.
     """
     event = F.col("event")
-    seq = F.struct("seq", "at", "event", "cursor", "n", "message")
-    status = (
-        F.when(event.isin("created", "reset"), IN_PROGRESS)
-        .when(event == "completed", COMPLETED)
-        .when(event == "failed", FAILED)
-    )
-    at = {
-        name: F.when(event == name, seq) for name in ("created", "advanced", "completed")
+    seq = F.struct(*[f for f in schemas.EVENT_ORDER.fieldNames()])
+    scope = F.struct("group_full_path", "import_type", "updated_after")
+    of = {
+        "created": F.when(event == "created", F.struct(seq.alias("event"), scope.alias("scope"))),
+        "advanced": F.when(event == "advanced", seq),
+        "completed": F.when(event == "completed", seq),
+        "turned": F.when(event.isin("created", "reset", "completed", "failed"), seq),
+        "told": F.when(event.isin("reset", "failed"), seq),
+        "last": seq,
+        "total": F.when(event == "advanced", F.col("n")),
     }
-    sets_message = F.when(event.isin("reset", "failed"), seq)
-    message = F.when(event == "failed", F.col("message"))
-    created = F.struct("group_full_path", "import_type", "updated_after", "at")
+    single = events.distinct().select("import_id", *[c.alias(name) for name, c in of.items()])
+    if before is not None:
+        single = single.unionByName(before)
+    return single.groupBy("import_id").agg(
+        F.min("created").alias("created"),
+        *[F.max(c).alias(c) for c in ("advanced", "completed", "turned", "told", "last")],
+        F.sum("total").alias("total"),
+    )
+
+
+def fold_imports(events: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Current state of every created import. Events of unknown imports have no effect.
+
+    An event that lies there twice counts once. Events of one number, as two jobs that run at
+    once may write, go by time, kind and content. With `before`, states of earlier events, only
+    the later ones are folded.
+    """
+    turn = F.col("turned.event")
+    status = F.when(turn.isin("created", "reset"), IN_PROGRESS).when(
+        turn == "completed", COMPLETED
+    )
+    failed = F.col("told.event") == "failed"
     return (
-        events.distinct()
-        .groupBy("import_id")
-        .agg(
-            F.min_by(created, at["created"]).alias("_c"),
-            F.max_by("cursor", at["advanced"]).alias("last_cursor"),
-            F.coalesce(F.sum(F.when(event == "advanced", F.col("n"))), F.lit(0))
-            .cast("int")
-            .alias("total_processed"),
-            F.max_by(status, F.when(status.isNotNull(), seq)).alias("_status"),
-            F.max_by("at", seq).alias("last_activity_at"),
-            F.max_by("at", at["completed"]).alias("completed_at"),
-            F.max_by(message, sets_message).alias("error_message"),
-            F.max("seq").alias("last_seq"),
-        )
-        .filter(F.col("_c").isNotNull())
+        import_states(events, before)
+        .filter(F.col("created").isNotNull())
         .select(
             "import_id",
-            "_c.group_full_path",
-            "_c.import_type",
-            "_c.updated_after",
-            "last_cursor",
-            "total_processed",
-            import_status(F.col("_status")).alias("status"),
-            F.col("_c.at").alias("started_at"),
-            "last_activity_at",
-            "completed_at",
-            "error_message",
-            "last_seq",
+            "created.scope.*",
+            F.col("advanced.cursor").alias("last_cursor"),
+            F.coalesce("total", F.lit(0)).cast("int").alias("total_processed"),
+            import_status(F.coalesce(status, F.lit(FAILED))).alias("status"),
+            F.col("created.event.at").alias("started_at"),
+            F.col("last.at").alias("last_activity_at"),
+            F.col("completed.at").alias("completed_at"),
+            F.when(failed, F.col("told.message")).alias("error_message"),
+            F.col("last.seq").alias("last_seq"),
         )
     )
 
@@ -185,8 +192,9 @@ def expired_imports(imports: DataFrame, as_of: Column, days: int) -> DataFrame:
     )
 
 
-def retained_events(events: DataFrame, expired: DataFrame) -> DataFrame:
-    return events.join(expired.select("import_id"), "import_id", "left_anti")
+def retained(rows: DataFrame, expired: DataFrame) -> DataFrame:
+    """Events, or states, of imports that have not expired."""
+    return rows.join(expired.select("import_id"), "import_id", "left_anti")
 
 
 def latest_run(runs: DataFrame) -> DataFrame:

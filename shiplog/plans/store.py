@@ -38,6 +38,8 @@ LAYOUT = "_layout-key-directory"
 #: Files of a key directory after which it is written anew in sorted ones.
 DIRECTORY_FILES = 200
 CLAIM_ATTEMPTS = 5
+#: Files of an event table, beyond its snapshot, after which a job takes a new one.
+EVENT_FILES = 100
 
 
 class BrokenTable(Exception):
@@ -48,6 +50,10 @@ class ClaimHeld(Exception):
     """Another job works on a scope, or died without letting go of it (see `Store.recover`)."""
 
 
+def _name(path: str) -> str:
+    return path.rpartition("/")[2]
+
+
 @dataclass(frozen=True)
 class Table:
     schema: T.StructType
@@ -102,6 +108,7 @@ class Store:
     # ------------------------------------------------------------ reading
 
     def read(self, name: str) -> DataFrame:
+        """All rows; of an event table with a snapshot those that have not been deleted yet."""
         table = TABLES[name]
         return self._read_partitioned(name).select(*table.schema.fieldNames())
 
@@ -268,6 +275,79 @@ class Store:
         """Group rows by partition for writing; AQE splits a hot partition and joins small ones."""
         return rows.hint("rebalance", *[F.col(c) for c in TABLES[name].partitions])
 
+    # ------------------------------------------------------------ snapshots
+    # A snapshot of an event table holds the states that its events so far lead to, and the names
+    # of the files they lie in. Readers take it and the files it does not name. Those it names go
+    # when the next snapshot is complete, so that whoever still reads by the one before finds them.
+
+    def states_and_events(
+        self, name: str, states: T.StructType
+    ) -> tuple[DataFrame, DataFrame]:
+        """The states of the latest snapshot and the events that have been appended since."""
+        snapshot, _, later = self._beyond(name)
+        return self._of_files(states, [f"{snapshot}/states"] if snapshot else []), self._of_files(
+            TABLES[name].stored, later
+        )
+
+    def take_snapshot(
+        self,
+        name: str,
+        states: T.StructType,
+        fold: Callable[[DataFrame, DataFrame], DataFrame],
+        least: int = 0,
+    ) -> bool:
+        """Fold later events into the states and publish these as the new snapshot, if more than
+        `least` files have come. A claim keeps two jobs from doing this at once."""
+        if len(self._beyond(name)[2]) <= least:
+            return False
+        with self.claim([f"_snapshot/{name}"]):
+            snapshot, files, later = self._beyond(name)
+            old = self._of_files(states, [f"{snapshot}/states"] if snapshot else [])
+            events = self._of_files(TABLES[name].stored, later)
+            folder, last = f"{self.root}/_snapshots/{name}", snapshot.rpartition("/")[2]
+            number = int(last.partition("-")[0]) + 1 if last else 0
+            new = f"{number:012d}-{uuid.uuid4().hex}"
+            fold(old, events).select(*states.fieldNames()).write.parquet(f"{folder}/{new}/states")
+            names = self.spark.createDataFrame([(_name(f),) for f in files], "file string")
+            names.coalesce(1).write.parquet(f"{folder}/{new}/files")
+            self._mark(f"{folder}/{new}", "_COMPLETE")
+            for f in set(files) - set(later):
+                self._fs.delete(self._hadoop_path(f), False)
+            for f in self._fs.listStatus(self._hadoop_path(folder)):
+                if f.getPath().getName() not in (last, new):
+                    self._fs.delete(f.getPath(), True)
+        return True
+
+    def _of_files(self, schema: T.StructType, files: list[str]) -> DataFrame:
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*files)
+
+    def _beyond(self, name: str) -> tuple[str, list[str], list[str]]:
+        """(folder of the latest complete snapshot or '', all files, those it does not cover).
+
+        A snapshot taken while this looks leaves the files that the one before names alone, so
+        that either is read whole.
+        """
+        snapshot, covered = "", set()
+        folder = f"{self.root}/_snapshots/{name}"
+        if self._exists(folder):
+            found = [f.getPath().getName() for f in self._fs.listStatus(self._hadoop_path(folder))]
+            found = [n for n in found if self._exists(f"{folder}/{n}/_COMPLETE")]
+            if found:
+                snapshot = f"{folder}/{max(found)}"
+                # As many as there were files when it was taken.
+                listed = self.spark.read.schema("file string").parquet(f"{snapshot}/files")
+                covered = {r.file for r in listed.collect()}
+        files = self._event_files(name)
+        return snapshot, files, [f for f in files if _name(f) not in covered]
+
+    def _event_files(self, name: str) -> list[str]:
+        if not self._exists(self._path(name)):
+            return []
+        files = self._fs.listStatus(self._hadoop_path(self._path(name)))
+        return [str(f.getPath()) for f in files if f.getPath().getName().startswith("part-")]
+
     # ------------------------------------------------------------ claims
 
     @contextmanager

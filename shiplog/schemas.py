@@ -272,6 +272,25 @@ IMPORT_EVENTS = _table(
     at="timestamp",
 )
 
+#: What orders the events of an import, and what its latest events say.
+EVENT_ORDER = T.StructType(
+    [IMPORT_EVENTS[c] for c in ("seq", "at", "event", "cursor", "n", "message")]
+)
+
+IMPORT_STATES = _table(
+    import_id="string",
+    created=_table(
+        event=EVENT_ORDER,
+        scope=_table(group_full_path="string", import_type="string", updated_after="timestamp"),
+    ),
+    advanced=EVENT_ORDER,
+    completed=EVENT_ORDER,
+    turned=EVENT_ORDER,
+    told=EVENT_ORDER,
+    last=EVENT_ORDER,
+    total="bigint",
+)
+
 MODEL_REPLIES = _table(
     mr_id="string",
     prompt_hash="string",

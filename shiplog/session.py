@@ -74,11 +74,17 @@ def staged_under(
     return spark.read.schema(changed.schema).parquet(path)
 
 
-def _written_out(df: DataFrame, root: str, label: str, keep: bool) -> str:
+def scratch_folder(root: str, label: str, keep: bool = False) -> str:
+    """A new path in the shared folder, deleted when the running job ends unless it is kept."""
     path = f"{root}/staged/{label}-{uuid.uuid4().hex}"
     written = _written.get()
     if written is not None:
         written.append((path, keep))
+    return path
+
+
+def _written_out(df: DataFrame, root: str, label: str, keep: bool) -> str:
+    path = scratch_folder(root, label, keep)
     df.write.parquet(path)
     return path
 

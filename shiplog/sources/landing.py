@@ -10,6 +10,7 @@ Row keys by feed
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from shiplog.functions.strict_json import with_decoded
 MR_PAGE, PROJECT_PAGE, MR_CHANGES = "mr_page", "project_page", "mr_changes"
 USAGE_INDEX, USAGE_PART = "usage_index", "usage_part"
 
+#: Files that are named in a scan at most.
+FILES = 10_000
+
 REQUEST = ["feed", "group_key", "request_key", "page_no"]
 
 
@@ -36,6 +40,26 @@ def land(rows: DataFrame, path: str) -> None:
     )
 
 
+def in_files_of(landing: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`landing`, read from those files only that hold a request whose key columns `wanted` has.
+
+    A first pass over the narrow keys names the files: keys come in the order of their landing,
+    so a batch lies in few files, while least and greatest keys would span most of them. Rows
+    of other requests in these files stay. Beyond FILES of them, or where `landing` does not lie in
+    files, all are read: the caller joins with `wanted` in any case.
+    """
+    try:
+        keyed = landing.select(*wanted.columns, F.col("_metadata.file_path").alias("_file"))
+        keyed.schema  # noqa: B018 - resolves the columns
+    except AnalysisException:
+        return landing
+    held = keyed.join(wanted, wanted.columns, "left_semi").select("_file").distinct()
+    files = [r["_file"] for r in held.limit(FILES + 1).collect()]
+    if len(files) > FILES:
+        return landing
+    return landing.filter(F.col("_metadata.file_path").isin(files))
+
+
 def repeated_requests(landing: DataFrame) -> DataFrame:
     """Requests landed more than once; found from the narrow key columns, normally few."""
     return (

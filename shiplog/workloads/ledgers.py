@@ -200,7 +200,7 @@ def import_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = _import_events(spark, sf_dir)
     as_of = F.lit(_AS_OF).cast("timestamp")
     expired = ledger.expired_imports(ledger.fold_imports(history), as_of, 10)
-    kept = ledger.retained_events(history, expired)
+    kept = ledger.retained(history, expired)
     counts = kept.groupBy("import_id").agg(F.count(F.lit(1)).alias("events"))
     gone = expired.select("import_id", F.lit(0).cast("bigint").alias("events"))
     return counts.withColumn("removed", F.lit(False)).unionByName(

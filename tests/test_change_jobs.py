@@ -6,9 +6,11 @@ import pytest
 from conftest import landing, rows, utc
 from pyspark.sql import functions as F
 
+from shiplog import schemas
 from shiplog.functions.text import FENCE
 from shiplog.plans import jobs, ledger
 from shiplog.plans.store import BrokenTable, Store
+from shiplog.sources.landing import in_files_of, land, read_landing
 
 GROUP, OTHER = "acme/web", "acme/ops"
 SINCE = "2020-03-01T00:00:00Z"
@@ -94,7 +96,7 @@ def collect(store, answers, **options):
 
 
 def imports(store):
-    return ledger.fold_imports(store.read("import_events"))
+    return jobs.current_imports(store)
 
 
 def test_two_nodes_one_merged(store):
@@ -232,6 +234,58 @@ def test_stored_replies_are_not_asked_for_again(store, tmp_path):
     assert rows(store.read("merge_requests"), "mr_ai_category") == [("Chore",)]
 
 
+def test_after_a_kill_only_the_waves_that_are_left_are_asked(store, tmp_path, monkeypatch):
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def complete(prompt):
+        title = next(l for l in prompt.splitlines() if l.startswith("Title: "))
+        with open(log / title.rpartition(" ")[2], "a") as f:
+            f.write("x")
+        return json.dumps({"category": "Chore", "title": "chore(a): b", "summary": title})
+
+    asked = jobs.Summarizer(complete, "stub", parallel=2, calls_per_task=2)
+    nodes = [node(i, "2020-03-02T00:00:00Z") for i in range(16)]
+    answers = [page(0, nodes, total=16), *(changes(i, [("a.py", "+1")]) for i in range(16))]
+    append, waves = store.append, []
+
+    def until_killed(name, new):
+        if name == "model_replies":
+            if len(waves) == 2:
+                raise RuntimeError("killed")
+            waves.append(name)
+        append(name, new)
+
+    store.append = until_killed
+    with pytest.raises(Exception, match="killed"):
+        collect(store, answers, summarizer=asked)
+    first = {f.name for f in log.iterdir()}
+    assert len(first) == 8 == store.read("model_replies").count()
+    assert store.read("merge_requests").count() == 0
+    store.append = append
+    collect(store, answers, summarizer=asked, as_of=utc(2020, 3, 11))
+    assert {f.name: f.read_text() for f in log.iterdir()} == {str(i): "x" for i in range(16)}
+    told = rows(store.read("merge_requests"), "mr_ai_summary")
+    assert told == sorted([(f"Title: Change {i}",) for i in range(16)], key=repr)
+
+
+def test_only_files_that_hold_a_wanted_request_are_read(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    for no in range(4):
+        one = [changes(i, [("a.py", "+1")]) for i in range(no, 40, 4)]
+        land(landing(spark, one).coalesce(1), path)
+    feed = read_landing(spark, path).filter("feed = 'mr_changes'")
+    wanted = spark.createDataFrame([("52/3",), ("52/39",), ("9/9",)], "request_key string")
+    found = in_files_of(feed, wanted)
+    assert found.count() == 10
+    found.collect()
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1
+    assert in_files_of(feed, wanted.limit(0)).count() == 0
+    # Rows that do not lie in files are taken as they are.
+    assert in_files_of(landing(spark, [changes(1, [])]), wanted).count() == 1
+
+
 def test_collect_records_the_run_only_if_all_groups_succeed(store):
     spark = store.spark
     good = [
@@ -301,6 +355,70 @@ def test_retention_keeps_what_is_exactly_as_old(spark, tmp_path):
     assert jobs.clean_imports(store, as_of=utc(2024, 1, 12), days=10) == 0
 
 
+def test_a_snapshot_stands_for_the_events_before_it(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create()
+    schema = store.read("import_events").schema
+
+    def add(name, seq, event, cursor=None, n=None, message=None):
+        scope = ("g", "t", utc(2024, 1, 1)) if event == "created" else (None, None, None)
+        row = (name, *scope, seq, event, cursor, n, message, utc(2024, 1, seq))
+        store.append("import_events", spark.createDataFrame([row], schema))
+        every.append(row)
+
+    def take(least=0):
+        return store.take_snapshot("import_events", schemas.IMPORT_STATES, jobs._fold_on, least)
+
+    def check():
+        whole = ledger.fold_imports(spark.createDataFrame(every, schema))
+        assert rows(jobs.current_imports(store)) == rows(whole)
+
+    def files():
+        return {f.name for f in (tmp_path / "import_events").glob("part-*")}
+
+    every = []
+    add("a", 1, "created")
+    add("a", 2, "advanced", "c1", 5)
+    add("b", 1, "created")
+    add("a", 3, "failed", message="no")
+    check()
+    assert not take(least=99) and take()
+    check()
+    first = files()
+    add("a", 4, "reset")
+    add("a", 5, "advanced", None, 2)
+    add("b", 2, "advanced", "c9", 1)
+    check()
+    # Only what came after the snapshot is folded.
+    states, later = store.states_and_events("import_events", schemas.IMPORT_STATES)
+    assert (states.count(), later.count()) == (2, 3)
+    assert take()
+    check()
+    # The files of the snapshot before are gone, those of this one wait for the next.
+    assert not first & files()
+    add("a", 6, "completed")
+    # One that died before it was complete counts for nothing.
+    (tmp_path / "_snapshots" / "import_events" / "000000000009-dead" / "states").mkdir(parents=True)
+    check()
+    assert take() and take(least=-1)
+    check()
+    assert len(list((tmp_path / "_snapshots" / "import_events").iterdir())) == 2
+    assert rows(jobs.current_imports(store), "import_id", "status", "total_processed", "last_cursor") == [
+        ("a", "completed", 7, None), ("b", "in_progress", 1, "c9"),
+    ]
+
+
+def test_imports_take_a_snapshot_of_a_long_ledger(store, monkeypatch):
+    monkeypatch.setattr(jobs, "EVENT_FILES", 2)
+    for day in range(2, 6):
+        collect(store, [page(0, [node(1, "2020-03-02T00:00:00Z")])], as_of=utc(2020, 3, day))
+    states, later = store.states_and_events("import_events", schemas.IMPORT_STATES)
+    assert states.count() >= 2 and len(later.inputFiles()) <= 4
+    assert rows(imports(store), "status", "total_processed") == [
+        ("completed", 0), ("completed", 0), ("completed", 0), ("completed", 1),
+    ]
+
+
 def test_rewriting_leaves_later_appends_alone(store):
     def run_at(day):
         at = F.lit(utc(2024, 1, day)).cast("timestamp")

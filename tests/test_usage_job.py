@@ -33,7 +33,7 @@ def feature(name, **counts):
 
 
 def state(store):
-    return ledger.fold_imports(store.read("import_events"))
+    return jobs.current_imports(store)
 
 
 def run(spark, store, answers, **options):
