@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -250,7 +251,14 @@ class Field:
 
     def best(self, lattice: Lattice) -> Iterator[tuple[str, int, int]]:
         """Spans of the best cut; an equal score stays outside."""
-        n, out, turns = len(lattice), len(KINDS), self.turns()
+        into = [[(i, self.scores(found)) for i, found in here] for here in lattice.into]
+        for k, i, j in self.cut(into):
+            yield KINDS[k], lattice.starts[i], lattice.ends[j - 1]
+
+    def cut(self, into: list[list[tuple[int, np.ndarray]]]) -> Iterator[tuple[int, int, int]]:
+        """(kind, first token, end token) of the best cut, last one first; `into` holds the segments
+        by their end, with their start and a score for each kind."""
+        n, out, turns = len(into) - 1, len(KINDS), self.turns()
         top = np.full((n + 1, out + 1), -np.inf)
         top[0, out] = 0.0
         back: dict[tuple[int, int], tuple[int, int]] = {}
@@ -258,19 +266,203 @@ class Field:
             came = top[j - 1] + turns[:, out]
             last = int(np.argmax(came))
             top[j, out], back[j, out] = came[last], (j - 1, last)
-            for i, found in lattice.into[j]:
+            for i, scores in into[j]:
                 came = top[i][:, None] + turns[:, :out]
                 last = np.argmax(came, axis=0)
-                score = came.max(axis=0) + self.scores(found) - MARGIN
+                score = came.max(axis=0) + scores - MARGIN
                 for k in np.flatnonzero(score > top[j, :out]).tolist():
                     top[j, k], back[j, k] = score[k], (i, int(last[k]))
         j, k = n, out if n and top[n, out] >= top[n].max() else int(np.argmax(top[n]))
         while j:
             i, last = back[j, k]
             if k != out:
-                yield KINDS[k], lattice.starts[i], lattice.ends[j - 1]
+                yield k, i, j
             j, k = i, last
 
+    def floor(self) -> np.ndarray:
+        """By segment length and kind: a score up to which staying outside is as good, whatever
+        comes before and after. Segments that do not exceed it are in no best cut."""
+        out, turns = len(KINDS), self.turns()
+        before = (turns[:, out : out + 1] - turns[:, :out]).min(axis=0)
+        # At the end of an island nothing comes after.
+        after = np.minimum((turns[out] - turns[:out]).min(axis=1), 0.0)
+        between = np.arange(MAX_TOKENS)[:, None] * turns[out, out]
+        return MARGIN + between + before + after
+
+
+@lru_cache(1 << 15)
+def _token(token: str) -> tuple:
+    """(shape, digits, weight, marks, whether it is a line's end, may begin and may end a span)."""
+    form = shape(token)
+    weight = 4 if token == "@" else 0
+    if HIT.search(token):
+        weight += sum(c.isdecimal() for c in token)
+    marks = "".join(sorted(set(form) - set("a12345_")))
+    may_begin = token[0].isalnum() or token[0] in "+("
+    return (
+        form, NOT_DIGIT.sub("", token), weight, marks, token[0] in "\n\r", may_begin, token[-1].isalnum(),
+    )
+
+
+@lru_cache(1 << 15)
+def _loosened(form: str, state: int) -> tuple[str, int]:
+    """What `form` adds to the loose form, and the state after it.
+
+    State 2 is right after digits, 1 after one mark that numbers may have between them, which goes
+    with the digits, 0 elsewhere.
+    """
+    added = ""
+    for c in form:
+        if c in "12345":
+            added += "" if state else "9"
+            state = 2
+        elif state == 2 and c in " ._-":
+            state = 1
+        else:
+            added += c
+            state = 0
+    return added, state
+
+
+@lru_cache(1 << 15)
+def _small(
+    n: int, letters: bool, good: bool, octets: bool, at: int, dot: bool, marks: str,
+    left: str, right: str, first: str, last: str,
+) -> tuple[int, ...]:
+    return (
+        slot("bias"),
+        slot("digits", n, letters),
+        slot("luhn", good),
+        slot("octets", octets),
+        slot("at", at, dot),
+        slot("marks", marks),
+        slot("left", left),
+        slot("right", right),
+        slot("ends", first, last),
+    )
+
+
+def candidates(
+    text: str, start: int, end: int, block: int = 4096
+) -> Iterator[tuple[list[tuple[int, int, int, int]], list[tuple[int, ...]]]]:
+    """The spans of a lattice, a block of tokens at a time: (first token, end token, start, end)
+    of each and, as `features` gives them in some order, its slots.
+
+    Features grow with a span, token by token, so that none is looked at as a whole.
+    """
+    base = 0
+    for tokens, fresh in token_blocks(text, start, end, block):
+        facts = [_token(text[a:b]) if b - a <= 64 else _token.__wrapped__(text[a:b]) for a, b in tokens]
+        spans, slots = [], []
+        for i in range(fresh):
+            if not facts[i][5]:
+                continue
+            a = tokens[i][0]
+            left = shape(text[max(0, a - 1) : a])
+            form, loose, state, digits, marks = "", "", 0, "", ""
+            weight = at = dots = 0
+            letters = dot = False
+            first = facts[i][0][:1]
+            for j in range(i, min(i + MAX_TOKENS, len(tokens))):
+                piece, numbers, more, others, line_end, _, may_end = facts[j]
+                if line_end:
+                    break
+                weight += more
+                digits += numbers
+                letters = letters or "a" in piece
+                if len(form) < 24:
+                    form += piece
+                if len(loose) < 16:
+                    added, state = _loosened(piece, state)
+                    loose += added
+                for c in others:
+                    if c not in marks:
+                        marks = "".join(sorted(marks + c))
+                if piece == ".":
+                    dots += 1
+                    dot = dot or at > 0
+                elif piece == "@":
+                    at += 1
+                if weight < 4 or not may_end:
+                    continue
+                b = tokens[j][1]
+                n = len(digits)
+                parts = text[a:b].split(".") if dots == 3 else ()
+                small = _small(
+                    min(n, 20),
+                    letters,
+                    13 < n < 20 and not letters and luhn(digits),
+                    len(parts) == 4 and all(p.isdecimal() and len(p) < 4 and int(p) < 256 for p in parts),
+                    at,
+                    dot,
+                    marks,
+                    left,
+                    shape(text[b : b + 1]),
+                    first,
+                    piece[-1:],
+                )
+                spans.append((base + i, base + j + 1, a, b))
+                slots.append((slot("form", form[:24]), slot("loose", loose[:16]), *small))
+        yield spans, slots
+        base += fresh
+
+
+def token_blocks(
+    text: str, start: int, end: int, block: int
+) -> Iterator[tuple[list[tuple[int, int]], int]]:
+    """Token ranges in blocks, each with those that spans of it may reach into, and how many of
+    them are its own."""
+    held: list[tuple[int, int]] = []
+    for m in TOKEN.finditer(text, start, end):
+        held.append(m.span())
+        if len(held) == block + MAX_TOKENS:
+            yield held, block
+            held = held[block:]
+    if held:
+        yield held, len(held)
+
+
+def decoded(field: Field, text: str, start: int, end: int) -> Iterator[Span]:
+    """What `Field.best` finds in the lattice of an island of any length.
+
+    Most candidates score so low that staying outside is as good, whatever surrounds them. Where
+    the others lie apart, each group of them is cut on its own.
+    """
+    floor = field.floor()
+    far: list[tuple[int, int, int, int, np.ndarray]] = []
+    for spans, slots in candidates(text, start, end):
+        if not spans:
+            continue
+        scores = field.w[field.offsets[:, :, None] + np.array(slots)[None]].sum(axis=2).T
+        size = np.array([j - i for i, j, _, _ in spans])
+        open_spans = np.flatnonzero((scores > floor[size - 1]).any(axis=1))
+        far += [(*spans[c], scores[c]) for c in open_spans.tolist()]
+    far.sort(key=lambda c: c[:2])
+    group: list[tuple[int, int, int, int, np.ndarray]] = []
+    reach = 0
+    for c in [*far, None]:
+        # One token outside parts two groups: what comes before it and after do not meet.
+        if group and (c is None or c[0] > reach):
+            yield from _cut_group(field, group, reach, text, end)
+            group = []
+        if c is not None:
+            reach = max(reach, c[1]) if group else c[1]
+            group.append(c)
+
+
+def _cut_group(field: Field, group: list, reach: int, text: str, end: int) -> Iterator[Span]:
+    first = group[0][0]
+    # The token after the group, if there is one, is outside.
+    last_end = max(b for _, _, _, b, _ in group)
+    more = last_end < end
+    into: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(reach - first + 1 + more)]
+    places = {}
+    for i, j, a, b, scores in group:
+        into[j - first].append((i - first, scores))
+        places[i - first], places[-(j - first)] = a, b
+    for k, i, j in field.cut(into):
+        yield KINDS[k], places[i], places[-j]
+
 
 def variants(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
     """The island itself, and its phone numbers and cards in other notations, or broken."""
@@ -336,7 +528,7 @@ def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
             s <= a and b <= e for _, s, e in base
         ):
             continue
-        for span in field.best(Lattice(text, max(0, a - 1), min(len(text), b + 1))):
+        for span in decoded(field, text, max(0, a - 1), min(len(text), b + 1)):
             if not any(s < span[2] and span[1] < e for _, s, e in base):
                 found.append(span)
     return found

@@ -156,6 +156,25 @@ def test_decoding_is_the_best_cut_and_the_gradient_is_right():
         assert abs((up - down) / 2e-5 - total[c]) < 1e-4
 
 
+def test_spans_of_long_islands_are_those_of_the_whole_lattice():
+    rng, texts = random.Random(5), []
+    for alphabet in ("0123456789 ", "0123456789 .-()+", "ab1@. 2\n", "12é٣@._ x-+(", "1 2.3-4+(5)a@b.c\n_"):
+        texts += ["".join(rng.choices(alphabet, k=rng.randrange(1, 160))) for _ in range(60)]
+    for seed, text in enumerate(texts):
+        field = pii.Field()
+        field.w[:] = np.random.default_rng(seed).normal(0.3 * (seed % 3), 0.8, field.w.size)
+        lattice = pii.Lattice(text, 0, len(text))
+        assert sorted(pii.decoded(field, text, 0, len(text))) == sorted(field.best(lattice))
+        plain = [
+            (lattice.starts[i], lattice.ends[j - 1], sorted(found))
+            for j, here in enumerate(lattice.into)
+            for i, found in here
+        ]
+        blocks = pii.candidates(text, 0, len(text), block=7)
+        grown = [(a, b, sorted(f)) for s, x in blocks for (_, _, a, b), f in zip(s, x, strict=True)]
+        assert sorted(plain) == sorted(grown)
+
+
 def align_by_hand(a, b):
     best, h = 0, [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(1, len(a) + 1):
