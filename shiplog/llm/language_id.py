@@ -6,6 +6,7 @@ of a language; a text takes the language whose ranks lie nearest to its own.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,14 +17,44 @@ from pyspark.sql import functions as F
 from shiplog.llm.common import in_split
 
 PROFILE = 300
+#: Characters looked at together, each of which takes about 100 bytes.
+CHARS = 1 << 20
+#: What is no letter, or a blank at least, in any script.
+NO_LETTER = re.compile(r"[\W\d_]")
 #: n-grams a task holds before it hands on its partial counts.
 HELD_COUNTS = 500_000
 SPACE = 1
 
 
-def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(row, code point) of the letters in lower case, one space before, between and after words."""
-    lower = [t.lower() for t in texts]
+def pieces(texts: Iterable[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """(rows, texts) of about CHARS characters together, in lower case.
+
+    A longer text is cut where no letter stands, so that its pieces have its n-grams.
+    """
+    rows: list[int] = []
+    parts: list[str] = []
+    room = CHARS
+    for row, text in enumerate(texts):
+        text, at = text.lower(), 0
+        while at < len(text):
+            end = min(at + room, len(text))
+            if end < len(text):
+                stop = NO_LETTER.search(text, end)
+                end = stop.start() if stop else len(text)
+            rows.append(row)
+            parts.append(text[at:end])
+            room -= end - at
+            at = end
+            if room <= 0:
+                yield rows, parts
+                rows, parts, room = [], [], CHARS
+    if rows:
+        yield rows, parts
+
+
+def letters(lower: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code point) of the letters of texts in lower case, one space before, between and
+    after words."""
     code = np.frombuffer("\0".join(["", *lower, ""]).encode("utf-32-le"), np.uint32).astype(np.int64)
     row = np.cumsum(code == 0) - 1
     # A null character in a text must not begin a row.
@@ -51,15 +82,34 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return rows, found
 
 
-def by_row(rows: np.ndarray, found: np.ndarray, n: int) -> Iterator[np.ndarray]:
-    """The n-grams of each of `n` rows."""
-    order = np.argsort(rows, kind="stable")
-    return iter(np.split(found[order], np.searchsorted(rows[order], np.arange(1, n))))
-
-
-def ranked(found: np.ndarray, size: int) -> np.ndarray:
+def by_row(texts: Iterable[str], n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The n-grams of each of `n` texts with their counts."""
+    nothing = np.zeros(0, np.int64)
+    at, held = 0, []
+    for rows, parts in pieces(texts):
+        place, found = grams(parts)
+        order = np.argsort(place, kind="stable")
+        cuts = np.searchsorted(place[order], np.arange(1, len(parts)))
+        for row, own in zip(rows, np.split(found[order], cuts), strict=True):
+            while at < row:
+                yield merged(held) if held else (nothing, nothing)
+                at, held = at + 1, []
+            held.append(np.unique(own, return_counts=True))
+    while at < n:
+        yield merged(held) if held else (nothing, nothing)
+        at, held = at + 1, []
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of all parts, each once, with the sums of their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    gram, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return gram, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
+def ranked(gram: np.ndarray, count: np.ndarray, size: int) -> np.ndarray:
     """The `size` most frequent n-grams; ties by their number."""
-    gram, count = np.unique(found, return_counts=True)
     return gram[np.lexsort((gram, -count))[:size]]
 
 
@@ -69,10 +119,6 @@ def profiles(docs: DataFrame, text: str, lang: str, size: int) -> dict[str, list
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
 
-        def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-            gram, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-            return gram, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
-
         def out() -> Iterator[pa.RecordBatch]:
             for name, parts in held.items():
                 gram, n = merged(parts)
@@ -83,10 +129,11 @@ def profiles(docs: DataFrame, text: str, lang: str, size: int) -> dict[str, list
         for b in batches:
             texts, names = b.column(0).to_pylist(), b.column(1).to_pylist()
             for name in sorted(set(names)):
-                _, found = grams([t for t, x in zip(texts, names, strict=True) if x == name])
-                if len(found):
-                    held.setdefault(name, []).append(np.unique(found, return_counts=True))
-            held = {k: [merged(v)] for k, v in held.items()}
+                own = (t for t, x in zip(texts, names, strict=True) if x == name)
+                for _, parts in pieces(own):
+                    found = np.unique(grams(parts)[1], return_counts=True)
+                    if len(found[0]):
+                        held[name] = [merged([*held.get(name, []), found])]
             if sum(len(v[0][0]) for v in held.values()) > HELD_COUNTS:
                 yield from out()
                 held = {}
@@ -129,8 +176,8 @@ def language_id(
     for i, name in enumerate(names):
         ranks[i, np.searchsorted(grams_known, known[name])] = np.arange(len(known[name]))
 
-    def nearest(found: np.ndarray) -> tuple[str, float]:
-        own = ranked(found, size)
+    def nearest(gram: np.ndarray, count: np.ndarray) -> tuple[str, float]:
+        own = ranked(gram, count, size)
         if not len(own) or not names:
             return "und", 0.0
         at = np.minimum(np.searchsorted(grams_known, own), len(grams_known) - 1)
@@ -143,7 +190,7 @@ def language_id(
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
-            found = [nearest(g) for g in by_row(*grams(texts), len(texts))]
+            found = [nearest(*g) for g in by_row(texts, len(texts))]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),

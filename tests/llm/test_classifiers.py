@@ -8,6 +8,7 @@ from collections import Counter
 from cases import SCHEMA, by_id, empty, hostile
 from pyspark.sql import functions as F
 
+from shiplog.llm import language_id as profiling
 from shiplog.llm.common import sampled
 from shiplog.llm.language_id import language_id
 from shiplog.llm.quality_rules import BASE, keep_good, learn_rules, quality
@@ -67,6 +68,63 @@ def test_language_on_held_out_rows(spark):
     assert len(test) > 150 and sum(test) / len(test) > 0.97
 
 
+def plain_grams(text):
+    """One to three letters of words between blanks, counted one by one."""
+    clean = "".join(c if c.isalpha() else " " for c in text.lower())
+    found = Counter()
+    for word in clean.split():
+        padded = f" {word} "
+        for n in (1, 2, 3):
+            for i in range(len(padded) - n + 1):
+                part = padded[i : i + n]
+                if (n == 1 and part != " ") or (n == 2) or (n == 3 and part[1] != " "):
+                    found[part] += 1
+    return found
+
+
+def number(gram):
+    codes = [1 if c == " " else ord(c) for c in gram]
+    return sum(c << 21 * i for i, c in enumerate(reversed(codes)))
+
+
+def plain_order(counts, size):
+    return sorted(counts, key=lambda g: (-counts[g], number(g)))[:size]
+
+
+def test_language_by_plain_out_of_place_distances(spark, monkeypatch):
+    rng = random.Random(8)
+    words = {x: ["".join(rng.choices(x, k=rng.randrange(2, 8))) for _ in range(30)] for x in ("abcdeé", "defghß", "ghiaσς")}
+    rows = []
+    for i in range(90):
+        lang = rng.choice(list(words))
+        text = " ".join(rng.choices(words[lang], k=rng.randrange(1, 40))) + rng.choice(["", ". 12", "\0ΑΣ", "\n-"])
+        rows.append((i, text, lang, None, None))
+    rows += [(90, "", None, None, None), (91, "12 !", None, None, None), (92, None, "abcdeé", None, None)]
+    learned = {}
+    for i, text, lang, *_ in rows:
+        if text and lang and not held(i, 4, 2):
+            learned.setdefault(lang, Counter()).update(plain_grams(text))
+    size = 40
+    profiles = {k: {g: r for r, g in enumerate(plain_order(c, size))} for k, c in learned.items()}
+    want = {}
+    for i, text, *_ in rows:
+        own = plain_order(plain_grams(text or ""), size)
+        away = {
+            k: sum(abs(p[g] - r) if g in p else size for r, g in enumerate(own))
+            for k, p in sorted(profiles.items())
+        }
+        best = min(away, key=away.get)
+        want[i] = (best, 1 - away[best] / (size * len(own))) if own else ("und", 0.0)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id(docs, size=size).collect()}
+    assert got == want
+    texts = [t or "" for _, t, *_ in rows]
+    for chars in (1, 5, 1 << 20):
+        monkeypatch.setattr(profiling, "CHARS", chars)
+        found = [dict(zip(x[0].tolist(), x[1].tolist(), strict=True)) for x in profiling.by_row(texts, len(texts))]
+        assert found == [{number(g): n for g, n in plain_grams(t).items()} for t in texts]
+
+
 def test_language_on_hostile_tables(spark):
     docs = hostile(spark)
     found = language_id(docs).collect()
