@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplog.session import configure, scratch_root
+from shiplog.session import configure, scratch_folder, scratch_root
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 
@@ -30,10 +29,14 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return rows.select(*columns) if columns else rows
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: lost executors re-read files."""
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write `df` to the shared folder and read it back: lost executors re-read files.
+
+    Within `session.scratch` the files go when it ends, but for those that the result is read
+    from (`keep`).
+    """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    path = scratch_folder(f"{scratch_root(spark)}/llm", label, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

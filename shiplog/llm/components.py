@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplog.session import scratch_root
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder; Spark may delete such files once unused."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint()
+from shiplog.llm.common import stage
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -25,14 +17,14 @@ def _mark(links: DataFrame) -> tuple:
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node hands its larger neighbours to the least node it knows."""
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "least")
     moved = both.filter("b > a").join(least, "a")
     return moved.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every node hands itself and its smaller neighbours to the least of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("low"))
+    least = stage(links.groupBy("a").agg(F.min("b").alias("low")), "least")
     moved = links.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     own = least.select("a", F.col("low").alias("b"))
     return moved.union(own).filter("a > b").distinct()
@@ -41,16 +33,18 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root): every node of `links` (a, b) with the least node of its component.
 
-    The number of steps grows with the logarithm of the longest path. Links are longs; those
+    The number of steps grows with the logarithm of the longest path. Links and the least
+    neighbours are written out before they are joined: between two plain shuffles Spark can split
+    the links of a node that has a large part of them. Links are longs; those
     of a node with itself and repeated ones may be given.
     """
     pair = links.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    stars = _checkpointed(pair.distinct())
+    stars = stage(pair.distinct(), "stars")
     mark = _mark(stars)
     while mark[0]:
-        stars = _checkpointed(_small_star(_large_star(stars)))
+        stars = stage(_small_star(stage(_large_star(stars), "large-stars")), "stars")
         before, mark = mark, _mark(stars)
         if before == mark:
             break

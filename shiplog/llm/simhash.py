@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from shiplog.llm.common import boxed, prepared, row_key, stage
 from shiplog.llm.components import components
 from shiplog.llm.runs import whole_groups
+from shiplog.session import scratch
 
 SEED = 42
 SHINGLE = 3
@@ -167,14 +168,17 @@ def simhash_groups(
     def print_of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    rows = stage(docs.select(F.col(key).alias("key"), print_of(text).alias("print")), "prints")
-    least = rows.groupBy("print").agg(F.min("key").alias("least"))
-    roots = components(_links(least.select("print"), radius))
-    named = least.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root")
-    )
-    groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(groups, "root").select("print", "component_id")
+    with scratch(docs.sparkSession):
+        prints = docs.select(F.col(key).alias("key"), print_of(text).alias("print"))
+        rows = stage(prints, "prints", keep=True)
+        least = rows.groupBy("print").agg(F.min("key").alias("least"))
+        roots = components(_links(least.select("print"), radius))
+        named = least.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
+            "print", "least", F.coalesce("root", "print").alias("root")
+        )
+        named = stage(named, "named-prints")
+        ids = stage(named.groupBy("root").agg(F.min("least").alias("component_id")), "group-ids")
+        of = stage(named.join(ids, "root").select("print", "component_id"), "groups", keep=True)
     return rows.join(of, "print").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -199,8 +203,9 @@ def one_per_group(
         F.col("row")[key].isNull().alias("absent"), F.col("row")[key].alias("id"), "row_a", "row_b"
     )
     ranked = tagged.select(rank.alias("rank"), F.col("row")[text].alias("text"))
-    groups = simhash_groups(ranked, "rank", "text", shingle, radius)
-    first = groups.filter(F.col("rank") == F.col("component_id"))
-    kept = stage(first.select("rank.row_a", "rank.row_b").distinct(), "kept")
+    with scratch(docs.sparkSession):
+        groups = simhash_groups(ranked, "rank", "text", shingle, radius)
+        first = groups.filter(F.col("rank") == F.col("component_id"))
+        kept = stage(first.select("rank.row_a", "rank.row_b").distinct(), "kept", keep=True)
     found = tagged.join(kept, ["row_a", "row_b"], "left_semi").dropDuplicates(["row_a", "row_b"])
     return found.select("row.*")

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplog.llm.common import boxed, prepared, stage
@@ -28,10 +28,11 @@ from shiplog.llm.suffix_buckets import (
     refined,
     window_ids,
 )
+from shiplog.session import scratch
 
 #: Suffixes of a bucket that one task compares; a larger bucket is dealt out by its windows.
 BUCKET_ROWS = 1024
-ANCHOR = "row bigint, bucket bigint, context bigint, first bigint, windows int, place int"
+ANCHOR = "row bigint, also int, bucket bigint, context bigint, first bigint, windows int, place int"
 SPANS = "array<struct<start: bigint, end: bigint>>"
 
 
@@ -44,25 +45,28 @@ def _chunks(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def _anchors_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found: list[tuple] = []
-        for row, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+        names = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+        for (row, also), text in zip(names, b.column(2), strict=True):
             data = np.frombuffer(text.as_buffer(), np.uint8)
             for at, part in _chunks(data):
                 bucket, context, first, windows, place = anchors(*refined(part))
                 of = np.full(len(bucket), row, np.int64)
-                found.append((of, bucket, context, first + at, windows, place - first))
+                second = np.full(len(bucket), also, np.int32)
+                found.append((of, second, bucket, context, first + at, windows, place - first))
         if found:
             columns = map(np.concatenate, zip(*found, strict=True))
-            of, bucket, context, first, windows, place = columns
+            of, second, bucket, context, first, windows, place = columns
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(of),
+                    pa.array(second),
                     pa.array(bucket.view(np.int64)),
                     pa.array(context.view(np.int64)),
                     pa.array(first),
                     pa.array(windows.astype(np.int32)),
                     pa.array(place.astype(np.int32)),
                 ],
-                ["row", "bucket", "context", "first", "windows", "place"],
+                ["row", "also", "bucket", "context", "first", "windows", "place"],
             )
 
 
@@ -70,8 +74,8 @@ def _windows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For texts with their open suffixes: the identifiers of all windows of each suffix."""
     for b in batches:
         out: list[tuple] = []
-        rows = b.column(0).to_pylist()
-        for row, text, suffixes in zip(rows, b.column(1), b.column(2), strict=True):
+        names = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+        for (row, also), text, suffixes in zip(names, b.column(2), b.column(3), strict=True):
             data = np.frombuffer(text.as_buffer(), np.uint8)
             begin = 0
             ids = np.zeros(0, np.uint64)
@@ -82,13 +86,14 @@ def _windows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     begin = first
                     ids = refined(data[begin : begin + CHUNK + WINDOW])[1]
                 found = window_ids(ids, np.arange(first - begin, first - begin + n))
-                out.append((s["bucket"], row, first, s["place"], found.view(np.int64), s["large"]))
+                out.append((s["bucket"], row, also, first, s["place"], found.view(np.int64), s["large"]))
         if out:
-            bucket, row, first, place, ids, large = zip(*out, strict=True)
+            bucket, row, also, first, place, ids, large = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket, pa.int64()),
                     pa.array(row, pa.int64()),
+                    pa.array(also, pa.int32()),
                     pa.array(first, pa.int64()),
                     pa.array(place, pa.int32()),
                     pa.ListArray.from_arrays(
@@ -97,12 +102,12 @@ def _windows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ),
                     pa.array(large, pa.bool_()),
                 ],
-                ["bucket", "row", "first", "place", "ids", "large"],
+                ["bucket", "row", "also", "first", "place", "ids", "large"],
             )
 
 
 def _equal_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, start, end) of windows that occur again in their bucket at the same offset."""
+    """(row, also, start, end) of windows that occur again in their bucket at the same offset."""
     for table, bounds in whole_groups(batches, "bucket"):
         ids = table.column("ids").combine_chunks()
         sizes = np.diff(ids.offsets.to_numpy())
@@ -112,6 +117,7 @@ def _equal_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         place = table.column("place").to_numpy()[owner].astype(np.int64) - step
         start = table.column("first").to_numpy()[owner] + step
         row = table.column("row").to_numpy()[owner]
+        also = table.column("also").to_numpy()[owner]
         value = ids.flatten().to_numpy().view(np.uint64)
         order = np.lexsort((value, place, group))
         same = np.ones(max(len(order) - 1, 0), bool)
@@ -121,13 +127,18 @@ def _equal_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if twice.any():
             at = np.sort(order[twice])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row[at]), pa.array(start[at]), pa.array(start[at] + WINDOW)],
-                ["row", "start", "end"],
+                [
+                    pa.array(row[at]),
+                    pa.array(also[at]),
+                    pa.array(start[at]),
+                    pa.array(start[at] + WINDOW),
+                ],
+                ["row", "also", "start", "end"],
             )
 
 
 def _marks(rows: DataFrame) -> DataFrame:
-    """(row, start, end) whose union is, in every text, what repeated windows cover."""
+    """(row, also, start, end) whose union is, in every text, what repeated windows cover."""
     found = stage(rows.mapInArrow(_anchors_of, ANCHOR), "anchors")
     # Counts are written out before they are joined: between two plain shuffles Spark can split
     # the rows of a hot bucket, below an aggregate it could not.
@@ -135,13 +146,13 @@ def _marks(rows: DataFrame) -> DataFrame:
     often = stage(often.select("bucket"), "often")
     suffixes = stage(found.join(often, "bucket"), "suffixes")
 
-    one = F.min(F.struct("row", "first", "windows", "place"))
+    one = F.min(F.struct("row", "also", "first", "windows", "place"))
     kinds = suffixes.groupBy("bucket", "context").agg(F.count("*").alias("n"), one.alias("one"))
     kinds = stage(kinds, "contexts")
     # All windows of a context that occurs again are repeated.
     settled = suffixes.join(kinds.filter("n > 1").select("bucket", "context"), ["bucket", "context"])
     last = F.col("first") + F.col("windows") - 1
-    marks = settled.select("row", F.col("first").alias("start"), (last + WINDOW).alias("end"))
+    marks = settled.select("row", "also", F.col("first").alias("start"), (last + WINDOW).alias("end"))
 
     # Buckets with a context that occurs once, beside others, are refined by single windows;
     # one suffix stands for each context.
@@ -153,30 +164,41 @@ def _marks(rows: DataFrame) -> DataFrame:
     open_rows = (
         kinds.join(stage(unlike, "unlike"), "bucket")
         .select("one.*", "bucket", (F.col("kinds") > BUCKET_ROWS).alias("large"))
-        .groupBy("row")
+        .groupBy("row", "also")
         .agg(F.collect_list(F.struct("bucket", "first", "windows", "place", "large")).alias("open"))
     )
     # A row that is equal to another in key and text opens no context that occurs once, so that
     # reading both adds no window that was not repeated before.
-    texts = rows.join(stage(open_rows, "open"), "row")
-    windows = "bucket bigint, row bigint, first bigint, place int, ids array<bigint>, large boolean"
-    opened = stage(texts.select("row", "body", "open").mapInArrow(_windows_of, windows), "windows")
+    texts = rows.join(stage(open_rows, "open"), ["row", "also"])
+    windows = "bucket bigint, row bigint, also int, first bigint, place int, ids array<bigint>, large boolean"
+    texts = texts.select("row", "also", "body", "open")
+    opened = stage(texts.mapInArrow(_windows_of, windows), "windows")
     few = opened.filter("not large").repartition("bucket").sortWithinPartitions("bucket")
-    equal = few.drop("large").mapInArrow(_equal_windows, "row bigint, start bigint, end bigint")
+    marked = "row bigint, also int, start bigint, end bigint"
+    equal = few.drop("large").mapInArrow(_equal_windows, marked)
 
-    single = opened.filter("large").select("bucket", "row", "first", "place", F.posexplode("ids"))
+    single = opened.filter("large").select("bucket", "row", "also", "first", "place", F.posexplode("ids"))
     single = single.select(
         F.xxhash64("bucket", F.expr("place - pos"), "col").alias("a"),
         F.hash("col", F.expr("place - pos"), "bucket").alias("b"),
         "row",
+        "also",
         F.expr("first + pos").alias("start"),
     )
     again = single.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1")
     dealt = single.join(stage(again.select("a", "b"), "again"), ["a", "b"])
-    dealt = dealt.select("row", "start", (F.col("start") + WINDOW).alias("end"))
+    dealt = dealt.select("row", "also", "start", (F.col("start") + WINDOW).alias("end"))
     return marks.unionByName(equal).unionByName(dealt)
 
 
+def _names(key: str, text: str) -> list[Column]:
+    """96 bits of hashes that tell rows apart: two rows of 10^11 share them once in 10^7 runs."""
+    return [
+        F.xxhash64(F.col(key), F.lit(0), F.col(text)).alias("row"),
+        F.hash(F.col(text), F.lit(1), F.col(key)).alias("also"),
+    ]
+
+
 def repeated_spans(
     docs: DataFrame, key: str = "doc_id", text: str = "text", into: str = "repeated"
 ) -> DataFrame:
@@ -185,14 +207,12 @@ def repeated_spans(
     A window is WINDOW bytes of the text's UTF-8 form; it is repeated if equal bytes start
     anywhere else, in the same text or another. Texts shorter than a window, null and empty
     ones, have no runs. Rows that are equal in key and text are separate documents. Keys may
-    be null or repeated: rows are told apart by a 64-bit hash of key and text. Other columns
+    be null or repeated: rows are told apart by two hashes of key and text. Other columns
     stay as they are; one called `into` is replaced.
     """
     prepared(docs.sparkSession)
     body = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")
-    row = F.xxhash64(F.col(key), F.lit(0), F.col(text))
-    rows = docs.select(row.alias("row"), body.alias("body"))
-    marks = stage(_marks(rows.filter(F.length("body") >= WINDOW)), "marks")
+    rows = docs.select(*_names(key, text), body.alias("body"))
 
     @F.pandas_udf(SPANS)
     def merged(starts: pd.Series, ends: pd.Series) -> pd.Series:
@@ -210,11 +230,14 @@ def repeated_spans(
             )
         return pd.Series(out, dtype=object)
 
-    lists = marks.groupBy("row").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
-    )
-    spans = stage(lists.select("row", merged("starts", "ends").alias("spans")), "spans")
-    joined = docs.select(boxed(docs).alias("doc"), row.alias("row")).join(spans, "row", "left")
+    name = ["row", "also"]
+    with scratch(docs.sparkSession):
+        marks = stage(_marks(rows.filter(F.length("body") >= WINDOW)), "marks")
+        lists = marks.groupBy(*name).agg(
+            F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
+        )
+        spans = stage(lists.select(*name, merged("starts", "ends").alias("spans")), "spans", keep=True)
+    joined = docs.select(boxed(docs).alias("doc"), *_names(key, text)).join(spans, name, "left")
     found = F.coalesce("spans", F.array().cast(SPANS))
     return joined.select(F.col("doc").withField(into, found).alias("doc")).select("doc.*")
 

@@ -7,8 +7,9 @@ from collections import Counter
 import numpy as np
 import xxhash
 from cases import SCHEMA, documents, empty, hostile
+from pyspark.sql import functions as F
 
-from shiplog.llm import simhash, suffix_buckets, suffix_dedup
+from shiplog.llm import common, simhash, suffix_buckets, suffix_dedup
 from shiplog.llm.components import components
 
 
@@ -164,6 +165,37 @@ def test_repeats_by_brute_force(spark, monkeypatch):
         assert sum(r[2] for r in got) > 5000 and any(0 < r[2] < r[1] for r in got)
 
 
+def staged_folders(monkeypatch, tmp_path, run):
+    """The result of `run` and the kinds of staged tables that are left then."""
+    monkeypatch.setattr(common, "scratch_root", lambda _: str(tmp_path))
+    result = sorted(map(tuple, run().collect()), key=repr)
+    return result, sorted(f.name.rpartition("-")[0] for f in (tmp_path / "llm" / "staged").iterdir())
+
+
+def test_rows_of_one_hash_are_told_apart_and_leftovers_go(spark, tmp_path, monkeypatch):
+    names = suffix_dedup._names
+    monkeypatch.setattr(
+        suffix_dedup, "_names", lambda k, t: [F.lit(7).cast("long").alias("row"), names(k, t)[1]]
+    )
+    rows = list(enumerate(passages(6)))
+    docs = documents(spark, [t for _, t in rows])
+    for bucket in (1, 1024):
+        monkeypatch.setattr(suffix_dedup, "BUCKET_ROWS", bucket)
+        folder = tmp_path / str(bucket)
+        got, left = staged_folders(monkeypatch, folder, lambda: suffix_dedup.without_repeats(docs))
+        assert got == kept_by_hand(rows)
+        assert left == ["spans"]
+
+
+def test_simhash_leaves_what_its_result_reads(spark, tmp_path, monkeypatch):
+    rows = list(enumerate(near_copies(2, 40)))
+    docs = documents(spark, [t for _, t in rows])
+    got, left = staged_folders(monkeypatch, tmp_path / "a", lambda: simhash.simhash_groups(docs))
+    assert got == groups_by_hand(rows) and left == ["groups", "prints"]
+    _, left = staged_folders(monkeypatch, tmp_path / "b", lambda: simhash.one_per_group(docs))
+    assert left == ["kept"]
+
+
 def test_repeats_on_hostile_tables(spark):
     docs = hostile(spark)
     twice = docs.union(docs.filter("doc_id = 10"))
