@@ -23,6 +23,10 @@ REQUIRED_SETTINGS = {
 }
 
 
+# Folders of local applications for which the cluster names none.
+_own_roots: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for name, value in REQUIRED_SETTINGS.items():
         spark.conf.set(name, value)
@@ -36,9 +40,11 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="shiplog-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    # The setting cannot be changed once the session runs.
+    application = spark.sparkContext.applicationId
+    if application not in _own_roots:
+        _own_roots[application] = tempfile.mkdtemp(prefix="shiplog-")
+    return _own_roots[application]
 
 
 # (path, whether the job's result is read from it) of what the running job has written.
