@@ -12,6 +12,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 from zlib import crc32
 
 import numpy as np
@@ -290,174 +291,298 @@ class Field:
         return MARGIN + between + before + after
 
 
+#: What the arrays of a block keep of a token: its form up to the length that features look at.
+FORM, LOOSE = 24, 16
+_ONES = np.uint32(0xFFFFFFFF)
+#: What the checksum makes of each byte.
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = (_CRC >> np.uint32(1)) ^ (_CRC & np.uint32(1)) * np.uint32(0xEDB88320)
+
+
 @lru_cache(1 << 15)
 def _token(token: str) -> tuple:
-    """(shape, digits, weight, marks, whether it is a line's end, may begin and may end a span)."""
-    form = shape(token)
+    """(form, first and last mark of the form, digits, weight, marks, letters, may begin a span, may
+    end one, whether it is a line's end, a number up to 255)."""
+    form = str(min(len(token), 5)) if token.isascii() and token.isdecimal() else shape(token)
     weight = 4 if token == "@" else 0
     if HIT.search(token):
         weight += sum(c.isdecimal() for c in token)
-    marks = "".join(sorted(set(form) - set("a12345_")))
-    may_begin = token[0].isalnum() or token[0] in "+("
     return (
-        form, NOT_DIGIT.sub("", token), weight, marks, token[0] in "\n\r", may_begin, token[-1].isalnum(),
-    )
+        form[:FORM],
+        form[0],
+        form[-1],
+        NOT_DIGIT.sub("", token),
+        weight,
+        "".join(sorted(set(form) - set("a12345_"))),
+        "a" in form,
+        token[0].isalnum() or token[0] in "+(",
+        token[-1].isalnum(),
+        token[0] in "\n\r",
+        token.isdecimal() and len(token) < 4 and int(token) < 256,
+    )
 
 
-@lru_cache(1 << 15)
-def _loosened(form: str, state: int) -> tuple[str, int]:
-    """What `form` adds to the loose form, and the state after it.
+@lru_cache(1 << 12)
+def _beside(side: str, char: str) -> int:
+    return slot(side, shape(char))
 
-    State 2 is right after digits, 1 after one mark that numbers may have between them, which goes
-    with the digits, 0 elsewhere.
-    """
-    added = ""
-    for c in form:
-        if c in "12345":
-            added += "" if state else "9"
-            state = 2
-        elif state == 2 and c in " ._-":
-            state = 1
-        else:
-            added += c
-            state = 0
-    return added, state
 
+def _open_crc(*parts: object) -> np.uint32:
+    """The running checksum of a feature's name, to which its last part is added byte by byte."""
+    return np.uint32(crc32("".join(f"{p}|" for p in parts).encode())) ^ _ONES
 
-@lru_cache(1 << 15)
-def _small(
-    n: int, letters: bool, good: bool, octets: bool, at: int, dot: bool, marks: str,
-    left: str, right: str, first: str, last: str,
-) -> tuple[int, ...]:
-    return (
-        slot("bias"),
-        slot("digits", n, letters),
-        slot("luhn", good),
-        slot("octets", octets),
-        slot("at", at, dot),
-        slot("marks", marks),
-        slot("left", left),
-        slot("right", right),
-        slot("ends", first, last),
-    )
+
+def _closed(running: np.ndarray) -> np.ndarray:
+    return ((running ^ _ONES) & np.uint32((1 << BITS) - 1)).astype(np.int64)
+
+
+class _Forms:
+    """The UTF-8 bytes of short texts, character by character."""
+
+    def __init__(self, texts: list[str]):
+        self.size = np.array([len(t) for t in texts])
+        longest = int(self.size.max(initial=0))
+        codes = np.zeros((len(texts), longest), np.uint32)
+        for n, t in enumerate(texts):
+            codes[n, : len(t)] = [ord(c) for c in t]
+        self.codes = codes
+        self.ascii = bool((codes < 128).all())
+
+    def added(self, running: np.ndarray, of: np.ndarray, k: int) -> np.ndarray:
+        """`running` with the k-th character of the texts `of`, all of them so long."""
+        code = self.codes[of, k]
+        if self.ascii:
+            return _stepped(running, code)
+        out = running.copy()
+        for low, high, lead, shift in (
+            (0, 1 << 7, 0, 0), (1 << 7, 1 << 11, 0xC0, 6), (1 << 11, 1 << 16, 0xE0, 12),
+            (1 << 16, 1 << 21, 0xF0, 18),
+        ):
+            at = np.flatnonzero((code >= low) & (code < high))
+            c = code[at]
+            state = _stepped(out[at], lead | (c >> np.uint32(shift)))
+            for s in range(shift - 6, -1, -6):
+                state = _stepped(state, 0x80 | ((c >> np.uint32(s)) & 0x3F))
+            out[at] = state
+        return out
+
+
+def _stepped(running: np.ndarray, byte: np.ndarray | int) -> np.ndarray:
+    return _CRC[(running ^ byte) & np.uint32(255)] ^ (running >> np.uint32(8))
 
 
-def candidates(
-    text: str, start: int, end: int, block: int = 4096
-) -> Iterator[tuple[list[tuple[int, int, int, int]], list[tuple[int, ...]]]]:
-    """The spans of a lattice, a block of tokens at a time: (first token, end token, start, end)
-    of each and, as `features` gives them in some order, its slots.
+class _Marks:
+    """Sets of marks, numbered as they come up."""
 
-    Features grow with a span, token by token, so that none is looked at as a whole.
+    def __init__(self, texts: list[str]):
+        self.texts, self.sets = texts, [""]
+        self.numbers, self.slots = {"": 0}, [slot("marks", "")]
+
+    def joined(self, sets: np.ndarray, of: np.ndarray) -> np.ndarray:
+        pairs, place = np.unique(sets * len(self.texts) + of, return_inverse=True)
+        after = []
+        for pair in pairs.tolist():
+            number, token = divmod(pair, len(self.texts))
+            name = "".join(sorted({*self.sets[number], *self.texts[token]}))
+            if name not in self.numbers:
+                self.numbers[name] = len(self.sets)
+                self.sets.append(name)
+                self.slots.append(slot("marks", name))
+            after.append(self.numbers[name])
+        return np.array(after, np.int64)[place]
+
+
+#: A range of a text to look at, with a number by which the caller knows the text.
+Piece = tuple[int, str, int, int]
+Columns = tuple[np.ndarray, ...]
+
+
+def candidates(pieces: Iterable[Piece], block: int = 8192) -> Iterator[tuple[Columns, np.ndarray]]:
+    """The spans of the lattices of all pieces, a block of tokens at a time: (place of the piece, first
+    token, end token, start, end) as columns and, by row, the slots of `features`, in some order.
+
+    Tokens are numbered through all pieces, with one number left out between two pieces. Spans of
+    equal length grow side by side, so that a token costs array operations only.
     """
-    base = 0
-    for tokens, fresh in token_blocks(text, start, end, block):
-        facts = [_token(text[a:b]) if b - a <= 64 else _token.__wrapped__(text[a:b]) for a, b in tokens]
-        spans, slots = [], []
-        for i in range(fresh):
-            if not facts[i][5]:
-                continue
-            a = tokens[i][0]
-            left = shape(text[max(0, a - 1) : a])
-            form, loose, state, digits, marks = "", "", 0, "", ""
-            weight = at = dots = 0
-            letters = dot = False
-            first = facts[i][0][:1]
-            for j in range(i, min(i + MAX_TOKENS, len(tokens))):
-                piece, numbers, more, others, line_end, _, may_end = facts[j]
-                if line_end:
-                    break
-                weight += more
-                digits += numbers
-                letters = letters or "a" in piece
-                if len(form) < 24:
-                    form += piece
-                if len(loose) < 16:
-                    added, state = _loosened(piece, state)
-                    loose += added
-                for c in others:
-                    if c not in marks:
-                        marks = "".join(sorted(marks + c))
-                if piece == ".":
-                    dots += 1
-                    dot = dot or at > 0
-                elif piece == "@":
-                    at += 1
-                if weight < 4 or not may_end:
-                    continue
-                b = tokens[j][1]
-                n = len(digits)
-                parts = text[a:b].split(".") if dots == 3 else ()
-                small = _small(
-                    min(n, 20),
-                    letters,
-                    13 < n < 20 and not letters and luhn(digits),
-                    len(parts) == 4 and all(p.isdecimal() and len(p) < 4 and int(p) < 256 for p in parts),
-                    at,
-                    dot,
-                    marks,
-                    left,
-                    shape(text[b : b + 1]),
-                    first,
-                    piece[-1:],
+    for tokens, piece, number, starts, ends, left, right, fresh in token_blocks(pieces, block):
+        known: dict[str, int] = {}
+        of = np.array([known.setdefault(t, len(known)) for t in tokens])
+        facts = [_token(t) if len(t) <= 64 else _token.__wrapped__(t) for t in known]
+        form, first, last, digits, weight, marks, letters, begins, closes, breaks, octet = zip(
+            *facts, strict=True
+        )
+        forms, lasts, sets = _Forms(list(form)), _Forms(list(last)), _Marks(list(marks))
+        marked = np.array([bool(m) for m in marks])
+        is_digit = (forms.codes >= 49) & (forms.codes <= 53)
+        is_joint = np.isin(forms.codes, [ord(c) for c in " ._-"])
+        opened = np.array([_open_crc("ends", f) for f in first], np.uint32)
+        closes, octet = np.array(closes)[of], np.array(octet)[of]
+        n_digits = np.array([len(d) for d in digits])[of]
+
+        def upto(x: Iterable) -> np.ndarray:
+            return np.r_[0, np.cumsum(np.array(x, np.int64)[of])]
+
+        weights, lettered, digit_at = upto(weight), upto(letters), np.r_[0, np.cumsum(n_digits)]
+        is_at = np.array([t == "@" for t in known])
+        ats = upto(is_at)
+        is_dot = np.array([t == "." for t in known])[of]
+        n = len(tokens)
+        places = np.arange(n)
+        last_dot = np.maximum.accumulate(np.where(is_dot, places, -1))
+        next_at = np.minimum.accumulate(np.where(is_at[of], places, n)[::-1])[::-1]
+        # A span ends before a line's end and with its piece.
+        stop = np.where(np.array(breaks)[of], places, n)
+        cut = np.flatnonzero(np.diff(number) > 1)
+        stop[cut] = np.minimum(stop[cut], cut + 1)
+        stop = np.minimum.accumulate(stop[::-1])[::-1]
+        ip = np.zeros(n, bool)
+        if n >= 7:
+            ip[: n - 6] = True
+            for k in range(7):
+                ip[: n - 6] &= (is_dot if k % 2 else octet)[k : n - 6 + k]
+        d = np.frombuffer("".join(digits[o] for o in of.tolist()).encode(), np.uint8).astype(np.int64) - 48
+        odd = np.arange(len(d)) & 1
+        twice = 2 * d - 9 * (d > 4)
+        # Sums of a number's checksum, by whether its last digit has an even place.
+        check = [np.r_[0, np.cumsum(np.where(odd == x, d, twice))] for x in (0, 1)]
+        digit_slots = np.array([[slot("digits", m, x) for x in (False, True)] for m in range(21)])
+        luhn_slots = np.array([slot("luhn", x) for x in (False, True)])
+        octet_slots = np.array([slot("octets", x) for x in (False, True)])
+        at_slots = np.array([[slot("at", m, x) for x in (False, True)] for m in range(MAX_TOKENS + 1)])
+
+        at = np.flatnonzero(np.array(begins)[of][:fresh] & (stop[:fresh] > places[:fresh]))
+        full = np.full(len(at), _open_crc("form"), np.uint32)
+        loose = np.full(len(at), _open_crc("loose"), np.uint32)
+        n_full, n_loose, state, held = (np.zeros(len(at), np.int64) for _ in range(4))
+        spans: list[Columns] = []
+        slots: list[np.ndarray] = []
+        for size in range(MAX_TOKENS):
+            if size:
+                on = np.flatnonzero(stop[at] > at + size)
+                at, full, loose, n_full, n_loose, state, held = (
+                    x[on] for x in (at, full, loose, n_full, n_loose, state, held)
                 )
-                spans.append((base + i, base + j + 1, a, b))
-                slots.append((slot("form", form[:24]), slot("loose", loose[:16]), *small))
-        yield spans, slots
-        base += fresh
-
-
-def token_blocks(
-    text: str, start: int, end: int, block: int
-) -> Iterator[tuple[list[tuple[int, int]], int]]:
-    """Token ranges in blocks, each with those that spans of it may reach into, and how many of
-    them are its own."""
-    held: list[tuple[int, int]] = []
-    for m in TOKEN.finditer(text, start, end):
-        held.append(m.span())
-        if len(held) == block + MAX_TOKENS:
-            yield held, block
-            held = held[block:]
-    if held:
-        yield held, len(held)
-
-
-def decoded(field: Field, text: str, start: int, end: int) -> Iterator[Span]:
-    """What `Field.best` finds in the lattice of an island of any length.
+            if not len(at):
+                break
+            j = at + size
+            token = of[j]
+            length = forms.size[token]
+            for k in range(int(length.max())):
+                row = np.flatnonzero(length > k)
+                t = token[row]
+                short = row[n_full[row] < FORM]
+                full[short] = forms.added(full[short], token[short], k)
+                n_full[short] += 1
+                was, digit = state[row], is_digit[t, k]
+                joint = ~digit & is_joint[t, k] & (was == 2)
+                # Runs of digits with single marks between them are one 9.
+                new = row[digit & (was == 0) & (n_loose[row] < LOOSE)]
+                loose[new] = _stepped(loose[new], np.uint32(ord("9")))
+                n_loose[new] += 1
+                new = row[~digit & ~joint & (n_loose[row] < LOOSE)]
+                loose[new] = forms.added(loose[new], token[new], k)
+                n_loose[new] += 1
+                state[row] = np.where(digit, 2, np.where(joint, 1, 0))
+            row = np.flatnonzero(marked[token])
+            held[row] = sets.joined(held[row], token[row])
+
+            row = np.flatnonzero((weights[j + 1] - weights[at] >= 4) & closes[j])
+            if not len(row):
+                continue
+            i, j, token = at[row], j[row], token[row]
+            low, high = digit_at[i], digit_at[j + 1]
+            many = high - low
+            words = lettered[j + 1] > lettered[i]
+            even = (high - 1) & 1
+            total = np.where(even, check[1][high] - check[1][low], check[0][high] - check[0][low])
+            good = (many > 13) & (many < 20) & ~words & (total % 10 == 0)
+            ends_slot = opened[of[i]]
+            for k in range(int(lasts.size.max())):
+                ends_slot = lasts.added(ends_slot, token, k)
+            found = np.empty((len(row), 11), np.int64)
+            found[:, 0] = slot("bias")
+            found[:, 1] = _closed(full[row])
+            found[:, 2] = _closed(loose[row])
+            found[:, 3] = digit_slots[np.minimum(many, 20), words.astype(int)]
+            found[:, 4] = luhn_slots[good.astype(int)]
+            found[:, 5] = octet_slots[(ip[i] if size == 6 else np.zeros(len(i), bool)).astype(int)]
+            found[:, 6] = at_slots[ats[j + 1] - ats[i], (last_dot[j] > next_at[i]).astype(int)]
+            found[:, 7] = np.array(sets.slots)[held[row]]
+            found[:, 8] = left[i]
+            found[:, 9] = right[j]
+            found[:, 10] = _closed(ends_slot)
+            spans.append((piece[i], number[i], number[j] + 1, starts[i], ends[j]))
+            slots.append(found)
+        if spans:
+            yield tuple(map(np.concatenate, zip(*spans, strict=True))), np.concatenate(slots)
+
+
+def token_blocks(pieces: Iterable[Piece], block: int) -> Iterator[tuple]:
+    """Tokens in blocks, each with those that spans of it may reach into: (texts, places of pieces,
+    numbers, starts, ends, slots of the marks before and after, how many are the block's own)."""
+    tokens: list[str] = []
+    rows: list[tuple[int, ...]] = []
+    number = 0
+    for place, (_, text, start, end) in enumerate(pieces):
+        for m in TOKEN.finditer(text, start, end):
+            a, b = m.span()
+            left, right = _beside("left", text[max(0, a - 1) : a]), _beside("right", text[b : b + 1])
+            tokens.append(m.group())
+            rows.append((place, number, a, b, left, right))
+            number += 1
+            if len(tokens) == block + MAX_TOKENS:
+                yield tokens, *np.array(rows, np.int64).T, block
+                tokens, rows = tokens[block:], rows[block:]
+        number += 1
+    if tokens:
+        yield tokens, *np.array(rows, np.int64).T, len(tokens)
+
+
+def decoded(field: Field, pieces: Iterable[Piece]) -> Iterator[tuple[int, Span]]:
+    """What `Field.best` finds in the lattices of pieces of any length, each with its piece's number.
 
     Most candidates score so low that staying outside is as good, whatever surrounds them. Where
     the others lie apart, each group of them is cut on its own.
     """
     floor = field.floor()
-    far: list[tuple[int, int, int, int, np.ndarray]] = []
-    for spans, slots in candidates(text, start, end):
-        if not spans:
-            continue
-        scores = field.w[field.offsets[:, :, None] + np.array(slots)[None]].sum(axis=2).T
-        size = np.array([j - i for i, j, _, _ in spans])
-        open_spans = np.flatnonzero((scores > floor[size - 1]).any(axis=1))
-        far += [(*spans[c], scores[c]) for c in open_spans.tolist()]
-    far.sort(key=lambda c: c[:2])
-    group: list[tuple[int, int, int, int, np.ndarray]] = []
+    weights = np.ascontiguousarray(field.w[: field.size].reshape(len(KINDS), -1).T)
+    met: list[tuple[int, int]] = []
+
+    def noted() -> Iterator[Piece]:
+        for piece in pieces:
+            met.append((piece[0], piece[3]))
+            yield piece
+
+    far: list[tuple] = []
+    for spans, slots in candidates(noted()):
+        scores = np.zeros((len(slots), len(KINDS)))
+        for column in slots.T:
+            scores += weights[column]
+        at = np.flatnonzero((scores > floor[spans[2] - spans[1] - 1]).any(axis=1))
+        far += zip(*(c[at].tolist() for c in spans), scores[at], strict=True)
+    far.sort(key=lambda c: c[1:3])
+    group: list[tuple] = []
     reach = 0
     for c in [*far, None]:
         # One token outside parts two groups: what comes before it and after do not meet.
-        if group and (c is None or c[0] > reach):
-            yield from _cut_group(field, group, reach, text, end)
+        if group and (c is None or c[1] > reach):
+            name, end = met[group[0][0]]
+            for span in _cut_group(field, group, reach, end):
+                yield name, span
             group = []
         if c is not None:
-            reach = max(reach, c[1]) if group else c[1]
+            reach = max(reach, c[2]) if group else c[2]
             group.append(c)
 
 
-def _cut_group(field: Field, group: list, reach: int, text: str, end: int) -> Iterator[Span]:
-    first = group[0][0]
+def _cut_group(field: Field, group: list, reach: int, end: int) -> Iterator[Span]:
+    first = group[0][1]
     # The token after the group, if there is one, is outside.
-    last_end = max(b for _, _, _, b, _ in group)
-    more = last_end < end
+    more = max(c[4] for c in group) < end
     into: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(reach - first + 1 + more)]
     places = {}
-    for i, j, a, b, scores in group:
+    for _, i, j, a, b, scores in group:
         into[j - first].append((i - first, scores))
         places[i - first], places[-(j - first)] = a, b
     for k, i, j in field.cut(into):
@@ -520,17 +645,37 @@ def train(texts: Iterable[str]) -> np.ndarray:
     return field.w
 
 
-def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
-    """What the field finds apart from every base span."""
-    found = []
-    for a, b in islands(text):
-        if all(s <= a and b <= e for _, s, e in base if s < b and a < e) and any(
-            s <= a and b <= e for _, s, e in base
-        ):
-            continue
-        for span in decoded(field, text, max(0, a - 1), min(len(text), b + 1)):
-            if not any(s < span[2] and span[1] < e for _, s, e in base):
-                found.append(span)
+class _Cover:
+    """Base spans of a text, by start, and which of them a range touches."""
+
+    def __init__(self, base: list[Span]):
+        self.spans = [(s, e) for _, s, e in base]
+        self.starts = [s for s, _ in self.spans]
+        self.reach = list(accumulate((e for _, e in self.spans), max))
+
+    def touching(self, a: int, b: int) -> Iterator[tuple[int, int]]:
+        at = bisect_left(self.starts, b) - 1
+        while at >= 0 and self.reach[at] > a:
+            if self.spans[at][1] > a:
+                yield self.spans[at]
+            at -= 1
+
+
+def added_spans(field: Field, texts: list[str], bases: list[list[Span]]) -> list[list[Span]]:
+    """What the field finds in each text apart from every base span."""
+    found: list[list[Span]] = [[] for _ in texts]
+    covers = [_Cover(base) for base in bases]
+
+    def pieces() -> Iterator[Piece]:
+        for n, text in enumerate(texts):
+            for a, b in islands(text):
+                known = list(covers[n].touching(a, b))
+                if not known or not all(s <= a and b <= e for s, e in known):
+                    yield n, text, max(0, a - 1), min(len(text), b + 1)
+
+    for n, span in decoded(field, pieces()):
+        if not any(covers[n].touching(*span[1:])):
+            found[n].append(span)
     return found
 
 
@@ -577,15 +722,16 @@ def find_personal_data(
         w = np.zeros(Field().w.size)
         w[list(weights)] = list(weights.values())
         field = Field(w)
+        bodies = [t or "" for t in texts]
+        bases = [base_spans(t) for t in bodies]
+        added = added_spans(field, bodies, bases) if weights else [[] for _ in bodies]
         out = []
-        for t in texts:
-            base = base_spans(t) if t else []
-            added = added_spans(field, t, base) if t and weights else []
+        for base, more in zip(bases, added, strict=True):
             known = set(base)
             out.append(
                 [
                     {"kind": k, "start": a, "end": b, "base": (k, a, b) in known}
-                    for k, a, b in ordered(base + added)
+                    for k, a, b in ordered(base + more)
                 ]
             )
         return pd.Series(out, dtype=object)

@@ -164,14 +164,21 @@ def test_spans_of_long_islands_are_those_of_the_whole_lattice():
         field = pii.Field()
         field.w[:] = np.random.default_rng(seed).normal(0.3 * (seed % 3), 0.8, field.w.size)
         lattice = pii.Lattice(text, 0, len(text))
-        assert sorted(pii.decoded(field, text, 0, len(text))) == sorted(field.best(lattice))
+        # Two pieces beside each other, which no span may cross.
+        found = list(pii.decoded(field, [(3, text, 0, len(text)), (seed, text, 0, len(text))]))
+        best = sorted(field.best(lattice))
+        assert sorted(found) == sorted([(3, s) for s in best] + [(seed, s) for s in best])
         plain = [
             (lattice.starts[i], lattice.ends[j - 1], sorted(found))
             for j, here in enumerate(lattice.into)
             for i, found in here
         ]
-        blocks = pii.candidates(text, 0, len(text), block=7)
-        grown = [(a, b, sorted(f)) for s, x in blocks for (_, _, a, b), f in zip(s, x, strict=True)]
+        blocks = pii.candidates([(0, text, 0, len(text))], block=7)
+        grown = [
+            (a, b, sorted(f))
+            for spans, slots in blocks
+            for *_, a, b, f in zip(*(c.tolist() for c in spans), slots.tolist(), strict=True)
+        ]
         assert sorted(plain) == sorted(grown)
 
 
