@@ -13,10 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiplog.session import staged
+
 
 @dataclass(frozen=True)
 class MergePolicy:
@@ -91,6 +95,36 @@ def fold_batch(
     return folded.select(*policy.keys, *unpacked, *keep_known)
 
 
+def last_arrivals(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The whole last row of every key, of a batch that is read from files.
+
+    Keys and places are folded alone; whole rows are neither sorted nor aggregated, and cross the
+    network only if the list of repeated keys is too long to be sent to all tasks. That list is
+    written first, so that Spark knows its size; it has one row for a key however often that comes,
+    and nothing is grouped after the join, so that Spark may split a hot key there.
+    """
+    place = F.struct(*order)
+    narrow = batch.groupBy(*keys, place.alias("_place")).agg(F.count("*").alias("_n"))
+    last = narrow.groupBy(*keys).agg(
+        F.max(F.struct("_place", "_n")).alias("_last"), F.sum("_n").alias("_rows")
+    )
+    repeated = staged(last.filter("_rows > 1").select(*keys, "_last"), "repeated-keys")
+    renamed = repeated.select(*[F.col(k).alias(f"_{k}") for k in keys], "_last")
+
+    def same_key() -> Column:
+        return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+    met = batch.join(renamed, same_key(), "left")
+    alone = F.col("_last").isNull() | (
+        place.eqNullSafe(F.col("_last._place")) & (F.col("_last._n") == 1)
+    )
+    # Rows at one place of one key: any of them.
+    ties = batch.join(renamed.filter("_last._n > 1"), same_key(), "left_semi")
+    rest = [c for c in batch.columns if c not in keys]
+    one = ties.groupBy(*keys).agg(F.max_by(F.struct(*rest), place).alias("_one"))
+    return met.filter(alone).select(*batch.columns).unionByName(one.select(*keys, "_one.*"))
+
+
 def first_arrivals(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The whole first row of every key."""
     rest = [c for c in batch.columns if c not in keys and c not in order]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplog import schemas
-from shiplog.operators.merge import MergePolicy, fold_batch, merge_by_key
+from shiplog.operators.merge import MergePolicy, fold_batch, last_arrivals, merge_by_key
 
 KEY = ("org_slug", "report_day", "user_id")
 
@@ -58,6 +58,15 @@ def fold_facts(facts: DataFrame, *columns: str) -> DataFrame:
     return folded.select(*names)
 
 
+def last_facts(facts: DataFrame) -> DataFrame:
+    """`fold_facts` of records that are read from files: only keys and places are folded.
+
+    `created_at` is the same for all rows of an import, so the last row may give it.
+    """
+    last = last_arrivals(facts, KEY, ("part_no", "block_start", "line_no"))
+    return last.select(*schemas.USAGE_FACTS.fieldNames())
+
+
 def merge_facts(target: DataFrame, folded: DataFrame) -> DataFrame:
     """Users missing from a re-import stay; everything but `created_at` is overwritten."""
     return merge_by_key(target, folded, USAGE_POLICY)

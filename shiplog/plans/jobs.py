@@ -242,7 +242,7 @@ def import_usage(
     )
     facts = usage_facts.facts_of_records(good_records, now)
     days = committed.filter(F.col("verdict") == "commit").select(*usage_days.DAY)
-    store.merge("usage_facts", usage_facts.fold_facts(facts), touched=days)
+    store.merge("usage_facts", usage_facts.last_facts(facts), touched=days)
     _keep_prints(store, answers, committed.select(*usage_days.DAY), now)
 
     summary = (
@@ -340,7 +340,7 @@ def reimport_days(
         judged.filter(F.col("verdict") == "commit").select(*usage_days.DAY), "committed-days"
     )
     facts = usage_facts.facts_of_records(checked.join(good, usage_days.DAY, "left_semi"), now)
-    store.merge("usage_facts", usage_facts.fold_facts(facts), touched=good)
+    store.merge("usage_facts", usage_facts.last_facts(facts), touched=good)
     _keep_prints(store, answers, good, now)
     return judged
 

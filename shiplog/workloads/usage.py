@@ -477,8 +477,7 @@ def usage_day_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     # deals them out by the full key.
     days = staged(days.select(*usage_days.DAY), "committed-days")
     records = checked.join(days, usage_days.DAY, "left_semi")
-    read = ("user_initiated_interaction_count", "loc_added_sum")
-    facts = usage_facts.fold_facts(usage_facts.facts_of_records(records, _now()), *read)
+    facts = usage_facts.last_facts(usage_facts.facts_of_records(records, _now()))
     return facts.select(
         "org_slug",
         _day_text(),

@@ -52,6 +52,33 @@ def test_merge_equals_row_by_row_upserts_in_any_input_order(spark):
     assert rows(second) == rows(merged)
 
 
+def test_last_arrivals_are_whole_rows_also_for_null_keys_hot_keys_and_ties(spark, tmp_path):
+    rng = random.Random(4)
+    key = lambda i: 5 if i % 3 == 0 else rng.choice([None, *range(60)])
+    data = [(key(i), rng.randrange(3), i // 2 if i % 7 else None, f"row {i}") for i in range(300)]
+    # The same row twice, at the same place, as the last of its key.
+    data += [(99, 1, 1000, "twice"), (99, 1, 1000, "twice"), (98, 0, 0, "once")]
+    batch = spark.createDataFrame(data, "k int, p int, o int, v string")
+    batch.write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    best = {}
+    for k, p, o, v in data:
+        place = (p, -1 if o is None else o)
+        if k not in best or place > best[k][0]:
+            best[k] = place, set()
+        if place == best[k][0]:
+            best[k][1].add((k, p, o, v))
+    for limit in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            found = [tuple(r) for r in merge.last_arrivals(batch, ["k"], ["p", "o"]).collect()]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert len(found) == len(best)
+        assert all(r in best[r[0]][1] for r in found)
+    assert merge.last_arrivals(batch.limit(0), ["k"], ["p"]).count() == 0
+
+
 def test_insert_absent_takes_the_first_arrival(spark):
     t = spark.createDataFrame([(1, "old")], "k int, a string")
     b = spark.createDataFrame([(1, "n", 0), (2, "second", 2), (2, None, 1)], "k int, a string, o int")
