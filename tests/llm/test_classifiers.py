@@ -1,14 +1,18 @@
 """Toxicity, language and quality rules: held-out accuracy and base statistics by hand."""
 
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
+import xxhash
 from cases import SCHEMA, by_id, empty, hostile
 from pyspark.sql import functions as F
 
 from shiplog.llm import language_id as profiling
+from shiplog.llm import quality_rules as rules
+from shiplog.llm import toxicity as ftrl
 from shiplog.llm.common import sampled
 from shiplog.llm.language_id import language_id
 from shiplog.llm.quality_rules import BASE, keep_good, learn_rules, quality
@@ -49,6 +53,46 @@ def test_toxicity_on_held_out_rows(spark):
     assert not any(p for y, p in test if not y)
 
 
+def plain_features(text):
+    words = [w.lower().strip(ftrl.EDGES) for w in text.split()]
+    words = [xxhash.xxh64_intdigest(w.encode(), 7) for w in words if w]
+    found = list(words)
+    for gap in (1, 2):
+        for a, b in zip(words, words[gap:], strict=False):
+            found.append(((a * 0x9E3779B97F4A7C15 + gap) % 2**64) ^ (b >> 7))
+    mixed = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 % 2**64 for x in found)
+    return {(x >> 40) % 2**ftrl.BITS for x in mixed}
+
+
+def test_toxicity_scores_are_those_of_plain_ftrl(spark):
+    rows, labels = insults(240)
+    rows.append((1000, "", None, None, None))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    table = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    texts, z, n = {r[0]: r[1] for r in rows}, Counter(), Counter()
+
+    def weight(f):
+        l1 = ftrl.L1 if f != "bias" else 0.0
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - math.copysign(l1, z[f])) / ((ftrl.BETA + math.sqrt(n[f])) / ftrl.ALPHA + ftrl.L2)
+
+    order = table.orderBy(F.xxhash64("doc_id")).collect()
+    taught = [(r.toxic, plain_features(texts[r.doc_id]) | {"bias"}) for r in order if not held(r.doc_id, 3, 1)]
+    for _ in range(ftrl.EPOCHS):
+        for y, at in taught:
+            w = {f: weight(f) for f in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for f in at:
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / ftrl.ALPHA * w[f]
+                n[f] += g * g
+    # The three words that tell, at least, and the bias.
+    assert sum(weight(f) != 0 for f in z) >= 4
+    for i, r in by_id(toxicity(docs, table)).items():
+        total = sum(weight(f) for f in plain_features(texts[i]) | {"bias"})
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-4
+
+
 def test_toxicity_on_hostile_tables(spark):
     docs = hostile(spark)
     labels = spark.createDataFrame([(1, 1), (1, None), (2, 0), (None, 1)], "doc_id bigint, toxic int")
@@ -213,3 +257,71 @@ def test_samples_are_full_whatever_the_table_claims_to_hold(spark, monkeypatch):
         none = sampled(rows.limit(0), order, 5).collect()
     assert sorted(r[0] for r in found.select(order).collect()) == least
     assert len(every) == 5000 and none == []
+
+
+def covered_by_hand(rows, cuts):
+    """Rules of (name, above, threshold), grown and pruned over plain rows."""
+
+    def holds(rule, r):
+        return all(r[name] > t if above else r[name] <= t for name, above, t in rule)
+
+    def count(some):
+        return sum(r["bad"] for r in some), sum(1 - r["bad"] for r in some)
+
+    least = rules.LEAST_SHARE * sum(r["prunes"] and r["bad"] for r in rows)
+    found, left = [], rows
+    while len(found) < rules.MAX_RULES:
+        rule = []
+        while len(rule) < rules.MAX_CONDITIONS:
+            inside = [r for r in left if not r["prunes"] and holds(rule, r)]
+            p0, n0 = count(inside)
+            best = 0.0, None
+            for name in sorted(cuts) if p0 else ():
+                for t in cuts[name]:
+                    for above in (True, False):
+                        p, n = count([r for r in inside if holds([(name, above, t)], r)])
+                        gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
+                        if gain > best[0] + 1e-9:
+                            best = gain, (name, above, t)
+            if best[1] is None:
+                break
+            rule.append(best[1])
+        if not rule:
+            break
+        scored = []
+        for k in range(1, len(rule) + 1):
+            p, n = count([r for r in left if r["prunes"] and holds(rule[:k], r)])
+            scored.append(((p - n) / (p + n) if p + n else -1.0, -k, p, n))
+        _, k, p, n = max(scored)
+        if p <= least or p < rules.LEAST_PRECISION * (p + n):
+            break
+        found.append(tuple(rule[:-k]))
+        left = [r for r in left if not holds(rule[:-k], r)]
+    return found
+
+
+def test_the_learned_list_is_that_of_plain_sequential_covering(spark):
+    rng, texts, labels = random.Random(11), [], []
+    for i in range(400):
+        words = [rng.choice("abcdefgh") * rng.randrange(2, 9) + str(rng.randrange(99)) for _ in range(60)]
+        kind = rng.randrange(5)
+        if kind == 0:
+            words = [w + rng.choice("#*$%&|") for w in words]
+        elif kind == 1:
+            words = [w[:2] for w in words]
+        texts.append((i, " ".join(words), None, None, None))
+        # Some labels are wrong.
+        labels.append((i, int((kind > 1) != (rng.random() < 0.04))))
+    docs = spark.createDataFrame(texts, SCHEMA)
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    learned = learn_rules(docs, table)
+    assert learned
+    stats = rules.with_statistics(docs.join(table, "doc_id"), "text").filter("not base_failed")
+    stats = stats.select(
+        (1 - F.col("quality")).alias("bad"),
+        (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0).alias("prunes"),
+        *(value.alias(name) for name, value in rules._ratios().items()),
+    )
+    rows = [r.asDict() for r in stats.collect()]
+    expected = covered_by_hand(rows, rules._thresholds(stats))
+    assert [tuple((c.name, c.above, c.threshold) for c in rule) for rule in learned] == expected
