@@ -18,6 +18,7 @@ text is far quicker than as many calls into the JVM.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -118,52 +119,79 @@ def _object_is_wrong(unpacked: str, spec: Obj) -> str:
 #
 # Most texts are accepted without the exact check, which unpacks every object. Where `from_json`
 # reports no error, numbers, booleans and nesting have the right types. It leaves open:
-#   a string field given something else   top level: asked of the VARIANT; below: the typed text
-#                                         would read like a JSON number, boolean, list or object
+#   a string field given something else   the typed text reads like a JSON number, boolean, list or
+#                                         object, and one of the keys of string fields is followed
+#                                         by something else than a string or a null
 #   a null where none is allowed          the text holds the word null and the value is NULL
 #   a required field that is missing      the value is NULL
 #   "NaN" and the like for a number       the value is not finite
 # Any of these signs, also one that is there by chance, hands the text to the exact check.
 
-_LITERAL = r"^(-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?|true|false|[\[{].*)$"
+_LITERAL = r"^((-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?|true|false)$|[\[{])"
 
 
-def _is_doubtful(value: str, type_: Scalar | Obj | Arr, presence: str, var: str) -> str:
-    """SQL condition on the typed value, never NULL."""
+def _is_doubtful(
+    value: str, type_: Scalar | Obj | Arr, presence: str, var: str, keyed: bool = True
+) -> str:
+    """SQL condition on the typed value, never NULL; without `keyed`, the texts of string fields
+    are taken for strings. Those of lists have no key and are always looked at."""
     signs = []
     if presence == REQUIRED:
         signs.append(f"{value} is null")
     elif presence == DEFAULT:
         signs.append(f"(_holds_null and {value} is null)")
-    if type_ is STRING:
+    if type_ is STRING and keyed:
         signs.append(f"coalesce(regexp_like({value}, r'{_LITERAL}'), false)")
     elif type_ is DOUBLE:
         signs.append(f"not coalesce(abs({value}) < double('Infinity'), true)")
     elif isinstance(type_, Arr):
         each = OPTIONAL if type_.null_elements else REQUIRED
-        inner = _is_doubtful(var, type_.element, each, _inner(var))
-        signs.append(f"coalesce(exists({value}, {var} -> {inner}), false)")
+        listed = keyed or type_.element is STRING
+        inner = _is_doubtful(var, type_.element, each, _inner(var), listed)
+        if inner != "false":
+            signs.append(f"coalesce(exists({value}, {var} -> {inner}), false)")
     elif isinstance(type_, Obj):
-        inner = [
-            _is_doubtful(f"{value}.`{f.name}`", f.type, f.presence, var) for f in type_.fields
-        ]
-        signs.append(f"({value} is not null and ({' or '.join(inner)}))")
+        inner = _any_doubtful(value, type_, var, keyed)
+        if inner != "false":
+            signs.append(f"({value} is not null and {inner})")
+    return f"({' or '.join(signs)})" if signs else "false"
+
+
+def _any_doubtful(value: str, spec: Obj, var: str, keyed: bool) -> str:
+    signs = [
+        _is_doubtful(f"{value}.`{f.name}`", f.type, f.presence, var, keyed) for f in spec.fields
+    ]
+    signs = [s for s in signs if s != "false"]
     return f"({' or '.join(signs)})" if signs else "false"
 
 
-def _is_plain(spec: Obj) -> str:
+def _string_keys(type_: Scalar | Obj | Arr) -> set[str]:
+    if isinstance(type_, Arr):
+        return _string_keys(type_.element)
+    if not isinstance(type_, Obj):
+        return set()
+    inner = set().union(*[_string_keys(f.type) for f in type_.fields])
+    return inner | {f.name for f in type_.fields if f.type is STRING}
+
+
+def _holds_strings_only(text: str, spec: Obj) -> str:
+    """SQL condition: what follows a key of a string field, wherever it stands in the text, is a
+    string or a null. Keys with escaped letters would not be seen, so none may be there.
+
+    Values are looked at first, at every quotation mark that may close a key; few go on to the keys.
+    """
+    keys = "|".join(re.escape(k) for k in sorted(_string_keys(spec)))
+    other = rf'"(?=[ \t\r\n]*:[ \t\r\n]*[^"n \t\r\n])(?<="(?:{keys})")'
+    return rf"(not contains({text}, r'\u') and not regexp_like({text}, r'{other}'))"
+
+
+def _is_plain(text: str, spec: Obj) -> str:
     """SQL condition, never NULL: the text needs no exact check."""
-    conditions = ["_typed._corrupt is null"]
-    for f in spec.fields:
-        if f.type is STRING:
-            kind = f"schema_of_variant(variant_get(_parsed, '$[0].{f.name}', 'variant'))"
-            kinds = "'STRING', 'VOID'" if f.presence == OPTIONAL else "'STRING'"
-            absent = "true" if f.presence == OPTIONAL else "false"
-            conditions.append(f"coalesce({kind} in ({kinds}), {absent})")
-        else:
-            doubtful = _is_doubtful(f"_typed.`{f.name}`", f.type, f.presence, "e")
-            conditions.append(f"not {doubtful}")
-    return " and ".join(conditions)
+    sure = f"not {_any_doubtful('_typed', spec, 'e', True)}"
+    if _string_keys(spec):
+        without = f"not {_any_doubtful('_typed', spec, 'e', False)}"
+        sure = f"({sure} or ({without} and {_holds_strings_only(text, spec)}))"
+    return f"_typed._corrupt is null and {sure}"
 
 
 # ---------------------------------------------------------------- typed value
@@ -208,24 +236,27 @@ def with_decoded(
 
     The record is the single output of a generator. As a plain column, a later filter on it would
     be pushed below the projections and would parse the text again for every use of the parse.
+    It is computed in a projection below the generator, for which Spark generates code.
 
     The parser stops at the end of the first document. So the text is put into an array before a
     mark made from it: a text that closes the array, adds elements or trails after the document
     is not followed by the mark as the second and last element. A text that holds its own mark is
-    refused. Repeated keys make the parse fail.
+    refused; only escaped letters could then stand for it, so only with these a third element is
+    looked for. Repeated keys make the parse fail.
     """
     mark = f"hex(xxhash64({text}))"
     typed_schema = T.StructType([*spec.spark_type, T.StructField("_corrupt", T.StringType())])
     typed = F.from_json(text, typed_schema, {"columnNameOfCorruptRecord": "_corrupt"})
     one_object = (
         f"coalesce(try_variant_get(_parsed, '$[1]', 'string') = {mark}"
-        f" and variant_get(_parsed, '$[2]', 'variant') is null"
         f" and not contains({text}, {mark})"
+        rf" and (not contains({text}, r'\u')"
+        f" or variant_get(_parsed, '$[2]', 'variant') is null)"
         rf" and (startswith({text}, '{{') or regexp_like({text}, r'^\s*\{{')), false)"
     )
     fits = f"not {_is_wrong(_DOCUMENT, spec, REQUIRED, 'o')}"
     if quick:
-        fits = f"if({_is_plain(spec)}, true, {fits})"
+        fits = f"if({_is_plain(text, spec)}, true, {fits})"
     parsed = df.withColumns(
         {
             "_parsed": F.expr(f"try_parse_json(concat('[', {text}, ',\"', {mark}, '\"]'))"),
@@ -234,8 +265,9 @@ def with_decoded(
         }
     )
     value = _filled("_typed", spec, REQUIRED, "e")
-    record = F.expr(f"array(if({one_object} and {fits}, {value}, null))")
-    return parsed.select(*df.columns, F.explode_outer(record).alias(out))
+    record = F.expr(f"if({one_object} and {fits}, {value}, null)").alias("_record")
+    decoded = parsed.select(*df.columns, record)
+    return decoded.select(*df.columns, F.explode_outer(F.array("_record")).alias(out))
 
 
 # ---------------------------------------------------------------- repeated keys

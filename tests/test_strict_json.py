@@ -5,6 +5,7 @@ import json
 
 from conftest import usage_record
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiplog import schemas
 from shiplog.functions.strict_json import (
@@ -17,6 +18,7 @@ from shiplog.functions.strict_json import (
     STRING,
     Arr,
     Field,
+    _is_plain,
     obj,
     with_decoded,
     with_unknown_repeats,
@@ -165,3 +167,30 @@ def test_only_repeats_of_known_keys_are_refused(spark):
     assert {r.text: r.record is not None for r in again.collect()} == REPEATS
     # The caller's session still refuses them.
     assert spark.sql("""select try_parse_json('{"a":1,"a":2}') v""").first().v is None
+
+
+LOOKALIKES = {
+    '{"id":1,"name":"7","kids":[{"key":"5"},{"key":"true"}],"box":{"tag":"[]"}}': True,
+    '{"id":1,"name":"7","note" : "1","kids":[{"key" :\n"5"}]}': True,
+    '{"id":1,"name":7}': False,
+    '{"id":1,"name":"a","kids":[{"key":"5"},{"key" : 5}]}': False,
+    '{"id":1,"name":"a","kids":[{"key":"5"},{"\\u006bey":5}]}': False,
+    '{"id":1,"name":"a","box":{"tag":{\n"x":1}}}': False,
+    '{"id":1,"name":"a","box":{"tag":[\n1]}}': False,
+}
+
+
+def test_strings_that_read_like_numbers_need_no_exact_check(spark):
+    """What follows their keys tells them from numbers."""
+    typed = T.StructType([*SPEC.spark_type, T.StructField("_corrupt", T.StringType())])
+    df = spark.createDataFrame([(t,) for t in LOOKALIKES], "text string").withColumns(
+        {
+            "_typed": F.from_json("text", typed, {"columnNameOfCorruptRecord": "_corrupt"}),
+            "_holds_null": F.contains("text", F.lit("null")),
+        }
+    )
+    plain = df.select("text", F.expr(_is_plain("text", SPEC)).alias("plain")).collect()
+    assert {r.text: r.plain for r in plain} == LOOKALIKES
+    for quick in (True, False):
+        found = decode(spark, LOOKALIKES, SPEC, quick)
+        assert [r is not None for r in found] == list(LOOKALIKES.values())
