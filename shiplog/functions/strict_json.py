@@ -281,18 +281,29 @@ def repeats_known_key(text: str, spec: Obj, var: str = "k") -> str:
     more than once.
 
     The keys are listed along the specification; what lies under other keys is not looked into.
+    exists() over a one-element array evaluates a parse once for all that is asked of it.
     """
     names = ", ".join(f"'{f.name}'" for f in spec.fields)
-    keys = f"filter(json_object_keys({text}), {var} -> {var} in ({names}))"
-    found = [f"coalesce(size({keys}) > size(array_distinct({keys})), false)"]
+    known = f"filter({var}, {var}_k -> {var}_k in ({names}))"
+    repeated = (
+        f"size({var}) > size(array_distinct({var}))"
+        f" and size({known}) > size(array_intersect({var}, array({names})))"
+    )
+    found = [f"coalesce(exists(array(json_object_keys({text})), {var} -> {repeated}), false)"]
+    types, deeper = [], []
     for f in spec.fields:
-        inner = f"get_json_object({text}, '$.{f.name}')"
+        value = f"{var}.`{f.name}`"
         if isinstance(f.type, Obj):
-            found.append(repeats_known_key(inner, f.type, _inner(var)))
+            types.append(f"`{f.name}` string")
+            deeper.append(repeats_known_key(value, f.type, _inner(var)))
         elif isinstance(f.type, Arr) and isinstance(f.type.element, Obj):
-            each = repeats_known_key(_inner(var), f.type.element, _inner(_inner(var)))
-            elements = f"from_json({inner}, 'array<string>')"
-            found.append(f"coalesce(exists({elements}, {_inner(var)} -> {each}), false)")
+            types.append(f"`{f.name}` array<string>")
+            element = _inner(var)
+            each = repeats_known_key(element, f.type.element, _inner(element))
+            deeper.append(f"coalesce(exists({value}, {element} -> {each}), false)")
+    if deeper:
+        parts = f"from_json({text}, '{', '.join(types)}')"
+        found.append(f"coalesce(exists(array({parts}), {var} -> {' or '.join(deeper)}), false)")
     return f"({' or '.join(found)})"
 
 
@@ -301,4 +312,4 @@ def with_unknown_repeats(df: DataFrame, text: str, spec: Obj, out: str) -> DataF
     have are let through, repeated ones that it has are refused."""
     decoded = with_decoded(df, text, spec, out)
     repeats = F.expr(repeats_known_key(f"`{text}`", spec))
-    return decoded.withColumn(out, F.when(~repeats, F.col(out)))
+    return decoded.withColumn(out, F.when(F.col(out).isNotNull() & ~repeats, F.col(out)))

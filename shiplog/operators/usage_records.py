@@ -16,8 +16,14 @@ INDEX_STAGE, PART_STAGE, RECORD_STAGE = 0, 1, 2
 
 
 def decode_lines(lines: DataFrame) -> DataFrame:
-    """Drop blank lines; add `record`, NULL where a line breaks the specification."""
-    written = lines.filter(has_content(F.col("line")))
+    """Drop blank lines; add `record`, NULL where a line breaks the specification.
+
+    A generator hands the lines on: the filter would else be pushed below whatever makes them, down
+    to the scan, and make every line a second time there.
+    """
+    others = [c for c in lines.columns if c != "line"]
+    made = lines.select(*others, F.explode_outer(F.array("line")).alias("line"))
+    written = made.select(*lines.columns).filter(has_content(F.col("line")))
     return with_decoded(written, "line", schemas.USAGE_RECORD, "record")
 
 

@@ -292,3 +292,14 @@ def test_empty_day_plan(spark):
     points = spark.sql("select 'a' org_slug, date'2024-01-05' start_day")
     assert day_plan.plan_days(points, F.lit("2024-01-04")).count() == 0
     assert day_plan.plan_days(points, F.lit("2024-01-05")).count() == 1
+
+
+def test_lines_that_are_made_are_made_once(spark):
+    """The filter on blank lines does not go below what makes them."""
+    from shiplog.operators.usage_records import decode_lines
+
+    rows_ = spark.createDataFrame([(1, "a"), (2, " ")], "k int, t string")
+    lines_ = rows_.repartition(2, "k").withColumn("line", F.expr("regexp_replace(t, 'a', '{}')"))
+    decoded = decode_lines(lines_)
+    assert decoded._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert [r.k for r in decoded.collect()] == [1]

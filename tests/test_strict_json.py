@@ -20,6 +20,7 @@ from shiplog.functions.strict_json import (
     Field,
     _is_plain,
     obj,
+    repeats_known_key,
     with_decoded,
     with_unknown_repeats,
 )
@@ -169,6 +170,12 @@ def test_only_repeats_of_known_keys_are_refused(spark):
     assert spark.sql("""select try_parse_json('{"a":1,"a":2}') v""").first().v is None
 
 
+def test_repeated_keys_are_found_with_one_parse_per_level():
+    """Not one scan of the whole text for each of its objects."""
+    assert "get_json_object" not in repeats_known_key("line", schemas.USAGE_RECORD)
+    assert repeats_known_key("line", schemas.USAGE_RECORD).count("(line") == 2
+
+
 LOOKALIKES = {
     '{"id":1,"name":"7","kids":[{"key":"5"},{"key":"true"}],"box":{"tag":"[]"}}': True,
     '{"id":1,"name":"7","note" : "1","kids":[{"key" :\n"5"}]}': True,
