@@ -118,11 +118,16 @@ def last_arrivals(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     alone = F.col("_last").isNull() | (
         place.eqNullSafe(F.col("_last._place")) & (F.col("_last._n") == 1)
     )
+    last_rows = met.filter(alone).select(*batch.columns)
+    tied = renamed.filter("_last._n > 1")
+    # Normally no place comes twice; the join would sort and shuffle the batch again for nothing.
+    if tied.isEmpty():
+        return last_rows
     # Rows at one place of one key: any of them.
-    ties = batch.join(renamed.filter("_last._n > 1"), same_key(), "left_semi")
+    ties = batch.join(tied, same_key(), "left_semi")
     rest = [c for c in batch.columns if c not in keys]
     one = ties.groupBy(*keys).agg(F.max_by(F.struct(*rest), place).alias("_one"))
-    return met.filter(alone).select(*batch.columns).unionByName(one.select(*keys, "_one.*"))
+    return last_rows.unionByName(one.select(*keys, "_one.*"))
 
 
 def first_arrivals(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -303,3 +303,14 @@ def test_lines_that_are_made_are_made_once(spark):
     decoded = decode_lines(lines_)
     assert decoded._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
     assert [r.k for r in decoded.collect()] == [1]
+
+
+def test_last_arrivals_meet_the_batch_once_without_ties(spark):
+    from shiplog.operators.merge import last_arrivals
+
+    batch = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, n int, v string")
+    last = last_arrivals(batch, ["k"], ["n"])
+    assert last._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert sorted(r.v for r in last.collect()) == ["b", "c"]
+    tied = last_arrivals(batch.unionByName(batch), ["k"], ["n"])
+    assert sorted(r.v for r in tied.collect()) == ["b", "c"]
